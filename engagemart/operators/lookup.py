@@ -14,11 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from engagemart.scratch import materialize
+
 BROADCAST_BYTES = 64 * 1024**2
+# A key with a larger share of the facts than this is joined by broadcast, so there
+# are at most 1 / HOT_SHARE such keys.
+HOT_SHARE = 1 / 20_000
+_SAMPLED_FACTS = 10_000_000
 _ROW_OVERHEAD = 16
 _FIXED_WIDTH = 8
-_HOT_SHARE = 1 / 1000
-_TRACKED_KEYS = 20_000
 
 
 @dataclass(frozen=True)
@@ -36,63 +40,64 @@ class Lookup:
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    total = F.lit(_ROW_OVERHEAD)
+    total = F.lit(_ROW_OVERHEAD + _FIXED_WIDTH * len(df.columns))
     for field in df.schema.fields:
-        total = total + F.lit(_FIXED_WIDTH)
         if not isinstance(field.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)):
             total = total + F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0))
     return total.cast("bigint")
 
 
 def measure(frame: DataFrame, limit: int = BROADCAST_BYTES) -> Lookup:
-    """Count rows and bytes of a lookup table in one pass without a shuffle of rows."""
+    """Count rows and bytes of a lookup table in one pass, moving only partial sums."""
     size = frame.agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_row_bytes(frame)), F.lit(0)).alias("bytes")
     ).first()
     return Lookup(frame, size["rows"], size["bytes"], limit)
 
 
-def _hot_keys(facts: DataFrame, key: str, share: float) -> tuple[list, bool]:
-    """Keys that hold at least ``share`` of the facts, and whether NULL is one of them.
+def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """Non-NULL keys that hold more than ``share`` of the facts, as a small written table.
 
-    A bounded sketch finds them in one pass over one column. It only decides which
-    way a row is joined, so an estimate that is off never changes the result.
+    Found on a sample of one column. The sample only decides which way a row is
+    joined; results do not depend on it.
     """
-    limit = int(1 / share)
-    profile = facts.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.expr(f"approx_top_k(`{key}`, {limit}, {max(_TRACKED_KEYS, limit)})").alias("top"),
-    ).first()
-    floor = profile["total"] * share
-    hot = [item["item"] for item in profile["top"] if item["count"] >= floor]
-    return [value for value in hot if value is not None], None in hot
+    total = facts.count()
+    fraction = min(1.0, _SAMPLED_FACTS / max(total, 1))
+    keys = facts.select(key)
+    if fraction < 1.0:
+        keys = keys.sample(fraction, seed=0)
+    counts = keys.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > F.lit(total * fraction * share)).select(key)
+    return materialize(hot, "hot-keys").frame
+
+
+def _join(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    same_key = F.col(f"fact.{key}") == F.col(f"lookup.{key}")
+    return facts.alias("fact").join(lookup.alias("lookup"), same_key, "left")
 
 
 def left_lookup(
-    facts: DataFrame, lookup: Lookup, key: str, hot_share: float = _HOT_SHARE
+    facts: DataFrame, lookup: Lookup, key: str, hot_share: float = HOT_SHARE
 ) -> DataFrame:
     """``facts`` left-joined to ``lookup`` on ``key``; address sides as ``fact.*``, ``lookup.*``.
 
-    ``facts`` must be cheap to read twice (a scan or a written table) when the
-    lookup is too large to broadcast.
+    When the lookup is too large to broadcast, ``facts`` is read more than once and
+    should be a scan or a written table.
     """
-
-    def join(left: DataFrame, right: DataFrame) -> DataFrame:
-        same_key = F.col(f"fact.{key}") == F.col(f"lookup.{key}")
-        return left.alias("fact").join(right.alias("lookup"), same_key, "left")
-
     if lookup.fits_broadcast:
-        return join(facts, F.broadcast(lookup.frame))
-
-    hot, null_is_hot = _hot_keys(facts, key, hot_share)
-    if not hot and not null_is_hot:
-        return join(facts, lookup.frame)
+        return _join(facts, F.broadcast(lookup.frame), key)
 
-    hot_rows = measure(lookup.frame.where(F.col(key).isin(hot)), lookup.limit)
+    hot = hot_keys(facts, key, hot_share)
+    hot_rows = measure(lookup.frame.join(F.broadcast(hot), key, "left_semi"), lookup.limit)
     if not hot_rows.fits_broadcast:
-        # Only a lookup with many rows per key gets here; adaptive execution splits the skew.
-        return join(facts, lookup.frame)
-    is_hot = F.col(key).isNull() | F.col(key).isin(hot)
-    return join(facts.where(is_hot), F.broadcast(hot_rows.frame)).unionAll(
-        join(facts.where(~is_hot), lookup.frame)
+        # Only a lookup with very many rows per key gets here; adaptive execution splits it.
+        return _join(facts, lookup.frame, key)
+
+    # NULL keys match nothing, so they go the way of the hot keys and are never shuffled.
+    marked = facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    aside = marked.where("_hot").unionAll(marked.where(F.col(key).isNull()))
+    aside = aside.select(*facts.columns)
+    spread = facts.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti")
+    return _join(aside, F.broadcast(hot_rows.frame), key).unionAll(
+        _join(spread.select(*facts.columns), lookup.frame, key)
     )

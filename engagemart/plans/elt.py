@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 
 from engagemart import constants as K
 from engagemart.operators import quality as Q
+from engagemart.operators.ranking import rankable
 from engagemart.plans import marts as M
-from engagemart.scratch import materialize
-from engagemart.sinks.publish import Run, TableStore
+from engagemart.sinks.publish import TableStore
 
 
 def run_elt(
@@ -28,9 +28,9 @@ def run_elt(
 ) -> None:
     """Publish the core marts, or all twelve with ``all_marts``.
 
-    Nothing becomes visible unless the gate passes and every mart is written.
-    Without the gate the hashtag counts go through the brand join, because brand
-    ids are then not known to be unique.
+    Nothing becomes visible unless the gate passes and every mart is written. The
+    gate also proves brand and post ids unique, which spares the hashtag counts the
+    brand join and the post counts a distinct; without it both are done in full.
     """
     if with_gate:
         Q.enforce(Q.verify_tables(raw))
@@ -44,7 +44,8 @@ def run_elt(
     )
     run.write("brand_media_post_time", M.brand_media_post_time(information))
     by_brand = run.write(
-        "aggregated_brand_information", M.aggregated_brand_information(information, round_avg)
+        "aggregated_brand_information",
+        M.aggregated_brand_information(information, round_avg, media_ids_unique=with_gate),
     )
 
     search = M.hashtag_search(raw["media_hashtag"], brands)
@@ -57,16 +58,12 @@ def run_elt(
         run.write("hashtag_count", M.hashtag_count(captions, top_k))
     by_hashtag = run.write("aggregated_hashtag_search", M.aggregated_hashtag_search(search))
 
-    _popularity(run, by_brand, by_hashtag, basic, all_marts)
-    run.commit()
-
-
-def _popularity(
-    run: Run, by_brand: DataFrame, by_hashtag: DataFrame, basic: DataFrame, all_marts: bool
-) -> None:
     early = M.popularity_factor_early_stage(by_brand, by_hashtag)
     if all_marts:
         early = run.write("popularity_factor_early_stage", early)
-    inputs = materialize(M.popularity_inputs(early, basic), "popularity")
-    factor = run.write("popularity_factor", M.popularity_factor(inputs.frame, inputs.rows))
-    run.write("popularity_calculation", M.popularity_calculation(factor, inputs.rows))
+    inputs, rows = rankable(
+        M.popularity_inputs(early, basic), M.popularity_bound(brands), "popularity"
+    )
+    factor = run.write("popularity_factor", M.popularity_factor(inputs, rows))
+    run.write("popularity_calculation", M.popularity_calculation(factor, rows))
+    run.commit()

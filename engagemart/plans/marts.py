@@ -105,14 +105,21 @@ def hashtag_count_of_topics(topics: DataFrame, top_k: int | None = K.TOP_HASHTAG
 
 
 def aggregated_brand_information(
-    information: DataFrame, round_avg: int | None = K.AVERAGE_DIGITS
+    information: DataFrame,
+    round_avg: int | None = K.AVERAGE_DIGITS,
+    media_ids_unique: bool = False,
 ) -> DataFrame:
+    """Average rate and number of posts per tag.
+
+    Where post ids are known to be unique (the quality gate checks it), plain counting
+    gives the distinct count and only partial sums are shuffled instead of all ids.
+    """
     average = F.avg("engagement_rate")
     if round_avg is not None:
         average = F.round(average, round_avg)
+    posts = F.count("media_id") if media_ids_unique else F.count_distinct("media_id")
     return information.groupBy("tag_name").agg(
-        average.alias("avg_engagement_rate"),
-        F.count_distinct("media_id").alias("brand_media_cnt"),
+        average.alias("avg_engagement_rate"), posts.alias("brand_media_cnt")
     )
 
 
@@ -138,15 +145,15 @@ def popularity_inputs(early: DataFrame, basic_info: DataFrame) -> DataFrame:
     )
 
 
-def popularity_factor(inputs: DataFrame, rows: int | None = None) -> DataFrame:
-    """Ranks by rate, reach and followers. ``inputs`` should be a written table."""
+def popularity_factor(inputs: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Ranks by rate, reach and followers. ``inputs`` as returned by ``rankable``."""
     measures = ["avg_engagement_rate", "hashtaged_media_cnt", "followers_count"]
-    ranked = add_ranks(inputs, [Rank(name, f"rank_{name}") for name in measures], rows)
+    ranked = add_ranks(inputs, [Rank(name, f"rank_{name}") for name in measures], max_rows)
     return ranked.withColumns({f"rank_{name}": F.col(f"rank_{name}").cast("int") for name in measures})
 
 
-def popularity_calculation(factor: DataFrame, rows: int | None = None) -> DataFrame:
-    """Rank of the rank sum, best first."""
+def popularity_calculation(factor: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Rank of the rank sum, best first. ``factor`` as returned by ``rankable``."""
     summed = factor.select(
         "tag_name",
         (
@@ -155,10 +162,18 @@ def popularity_calculation(factor: DataFrame, rows: int | None = None) -> DataFr
             + F.col("rank_followers_count")
         ).alias("sum_rank"),
     )
-    ranked = add_ranks(summed, [Rank("sum_rank", "popularity_rank", descending=False)], rows)
+    ranked = add_ranks(summed, [Rank("sum_rank", "popularity_rank", descending=False)], max_rows)
     return ranked.withColumn("popularity_rank", F.col("popularity_rank").cast("int"))
 
 
+def popularity_bound(brands: Lookup) -> int:
+    """Most rows the popularity marts can have.
+
+    Every brand row meets at most one tag group, and posts without a brand form one.
+    """
+    return brands.rows + 1
+
+
 def brand_media_post_time(information: DataFrame) -> DataFrame:
     """Posting times, from an information table with or without those columns."""
     if "post_time" not in information.columns:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from engagemart import constants as K
 from engagemart import fixtures as X
 from engagemart.operators import quality as Q
-from engagemart.operators.ranking import Rank, add_ranks
+from engagemart.operators.lookup import Lookup
+from engagemart.operators.ranking import Rank, add_ranks, rankable
 from engagemart.plans import marts as M
 from engagemart.plans import staging as S
 from engagemart.plans.elt import run_elt
@@ -92,23 +93,33 @@ def aggregated_hashtag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.aggregated_hashtag_search(hashtag_search(spark, sf_dir))
 
 
-def popularity_factor_early_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _early_stage(spark: SparkSession, sf_dir: str, brands: Lookup) -> DataFrame:
+    information = M.brand_information(X.media(spark, sf_dir), brands)
+    search = M.hashtag_search(X.media_hashtag(spark, sf_dir), brands)
     return M.popularity_factor_early_stage(
-        aggregated_brand_information(spark, sf_dir), aggregated_hashtag_search(spark, sf_dir)
+        M.aggregated_brand_information(information), M.aggregated_hashtag_search(search)
     )
 
 
+def _ranked_popularity(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    brand = X.brand(spark, sf_dir)
+    brands = M.brand_lookup(brand)
+    early = _early_stage(spark, sf_dir, brands)
+    inputs = M.popularity_inputs(early, M.brand_basic_info(brand))
+    inputs, rows = rankable(inputs, M.popularity_bound(brands), "popularity")
+    return M.popularity_factor(inputs, rows), rows
+
+
+def popularity_factor_early_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _early_stage(spark, sf_dir, M.brand_lookup(X.brand(spark, sf_dir)))
+
+
 def popularity_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = M.popularity_inputs(
-        popularity_factor_early_stage(spark, sf_dir), brand_basic_info(spark, sf_dir)
-    )
-    written = materialize(inputs, "popularity")
-    return M.popularity_factor(written.frame, written.rows)
+    return _ranked_popularity(spark, sf_dir)[0]
 
 
 def popularity_calculation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    factor = materialize(popularity_factor(spark, sf_dir), "popularity-factor")
-    return M.popularity_calculation(factor.frame, factor.rows)
+    return M.popularity_calculation(*rankable(*_ranked_popularity(spark, sf_dir), "factor"))
 
 
 def brand_media_post_time(spark: SparkSession, sf_dir: str) -> DataFrame:
