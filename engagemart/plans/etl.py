@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from engagemart import constants as K
 from engagemart.operators import quality as Q
 from engagemart.plans.staging import STAGERS
 from engagemart.schemas import RAW_DOCUMENTS, RAW_TABLES
-from engagemart.sinks.loads import RawStore, load
+from engagemart.sinks.loads import DEFAULT_BUCKETS, RawStore, load
 from engagemart.sinks.tables import STAGING_FORMAT
 from engagemart.sources import contract as contracts
 from engagemart.sources.slices import read_slice
@@ -73,5 +73,6 @@ def run_etl(
     load_entity(store, entity, staged, slice_id)
 
 
-def raw_store(spark, root: str) -> RawStore:
-    return RawStore(spark, root, RAW_TABLES)
+def raw_store(spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS) -> RawStore:
+    """The raw tables under ``root``. ``buckets`` sizes new upsert tables: aim for 10 GB each."""
+    return RawStore(spark, root, RAW_TABLES, buckets)

@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOGICAL_DATE = "2024-02-01T03:00:00+00:00"
 EARLIER_DATE = "2024-02-01T02:00:00+00:00"
 RANGE_ROWS = 5_000
+BUCKETS = 8
 
 MEDIA_CONTRACT = [
     Row(column_name=name, is_nullable=null, data_type=kind,
@@ -139,9 +140,10 @@ def mart_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build and publish all twelve marts; rows per published mart."""
     store = TableStore(spark, new_path(spark, "marts"))
     run_elt(X.raw_tables(spark, sf_dir), store, "hour-03", with_gate=False, all_marts=True)
+    published = store.read_all((*K.CORE_MARTS, *K.EXTRA_MARTS))
     counts = [
-        store.read(name).agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("rows"))
-        for name in (*K.CORE_MARTS, *K.EXTRA_MARTS)
+        mart.agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("rows"))
+        for name, mart in published.items()
     ]
     return reduce(DataFrame.unionAll, counts)
 
@@ -207,7 +209,7 @@ def etl_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON slice -> staging -> checks -> upsert, run twice for the same hour."""
     root = new_path(spark, "etl")
     X.media_documents(spark, sf_dir).write.json(f"{root}/raw")
-    store = raw_store(spark, f"{root}/tables")
+    store = raw_store(spark, f"{root}/tables", BUCKETS)
     for _ in range(2):
         run_etl(
             store, "media", f"{root}/raw", f"{root}/stage", LOGICAL_DATE, "hour-03", multi_line=False
@@ -293,7 +295,7 @@ def load_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts upserted with a batch that has new, known and repeated keys; batch loaded twice."""
-    store = raw_store(spark, new_path(spark, "tables"))
+    store = raw_store(spark, new_path(spark, "tables"), BUCKETS)
     posts = X.media(spark, sf_dir).withColumn("updated_at", F.col("ts"))
     batch = X.source(sf_dir).read(spark, "lineitem").selectExpr(
         "cast(l_orderkey as string) media_id",
@@ -303,7 +305,7 @@ def load_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_shipdate updated_at",
     )
     for rows in (posts, batch, batch):
-        store.upsert("media", rows, "media_id", ["updated_at"], buckets=8)
+        store.upsert("media", rows, "media_id", ["updated_at"])
     return store.read("media").select(
         "media_id", "user_id", "like_count", "comments_count", "media_type", "updated_at"
     )

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from engagemart.constants import LOAD_METHODS
 from engagemart.operators.latest import latest_per_key
 from engagemart.operators.lookup import BROADCAST_BYTES, measure
 from engagemart.scratch import materialize
@@ -22,6 +22,9 @@ from engagemart.sinks.publish import TableStore, publish
 SLICE_COLUMN = "load_slice"
 BUCKET_COLUMN = "key_bucket"
 DEFAULT_BUCKETS = 64
+_SLICE_FIELD = T.StructField(SLICE_COLUMN, T.StringType())
+_BUCKET_FIELD = T.StructField(BUCKET_COLUMN, T.IntegerType())
+_LAYOUT_SCHEMA = "key string, buckets int"
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -66,59 +69,67 @@ def merge_into(batch: DataFrame, table: str, key: str, recency: Sequence[str] =
 class RawStore:
     """Raw tables below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schemas: dict[str, T.StructType],
+        buckets: int = DEFAULT_BUCKETS,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = schemas
+        self.buckets = buckets
         self._versions = TableStore(spark, f"{self.root}/_versions")
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _scan(self, table: str, extra: str, columns: list[T.StructField]) -> DataFrame:
-        schema = T.StructType([*self.schemas[table].fields, *columns])
-        try:
-            return self.spark.read.schema(schema).parquet(self._path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+    def _scan(self, table: str, partition: T.StructField) -> DataFrame:
+        """A table partitioned by one column; empty when nothing was loaded yet."""
+        schema = T.StructType([*self.schemas[table].fields, partition])
+        empty = self.spark.createDataFrame([], schema)
+        empty.write.mode("ignore").partitionBy(partition.name).parquet(self._path(table))
+        return self.spark.read.schema(schema).parquet(self._path(table))
 
     def replace(self, table: str, batch: DataFrame, slice_id: str) -> None:
         """The batch becomes the table."""
         publish(self._versions, table, align(batch, self.schemas[table]), slice_id)
 
     def append(self, table: str, batch: DataFrame, slice_id: str | Column) -> None:
-        """Add a slice; loading the same slice again puts it in place of itself."""
-        slice_column = slice_id if isinstance(slice_id, Column) else F.lit(slice_id)
-        columns = align(batch.withColumn(SLICE_COLUMN, slice_column), self._sliced(table))
+        """Add a slice; loading the same slice again puts it in place of itself.
+
+        A column as ``slice_id`` loads many slices at once; rows are then brought
+        together by slice first, with large slices split, to keep files few.
+        """
+        rows = align(batch, self.schemas[table])
+        if isinstance(slice_id, Column):
+            sliced = batch.withColumn(SLICE_COLUMN, slice_id)
+            rows = align(sliced, T.StructType([*self.schemas[table].fields, _SLICE_FIELD]))
+            rows = rows.hint("rebalance", SLICE_COLUMN)
+        else:
+            rows = rows.withColumn(SLICE_COLUMN, F.lit(slice_id))
         (
-            columns.write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(SLICE_COLUMN)
             .parquet(self._path(table))
         )
 
-    def _sliced(self, table: str) -> T.StructType:
-        return T.StructType(
-            [*self.schemas[table].fields, T.StructField(SLICE_COLUMN, T.StringType())]
-        )
-
     def upsert(
         self,
         table: str,
         batch: DataFrame,
         key: str,
         recency: Sequence[str] = (),
-        buckets: int = DEFAULT_BUCKETS,
     ) -> None:
         """Insert or replace rows by key, rewriting only the key buckets the batch touches.
 
         A key always lives in the bucket its hash names, so untouched buckets are
-        neither read nor written. ``buckets`` counts for a new table only.
+        neither read nor written.
         """
         schema = self.schemas[table]
-        buckets = self._bucket_count(table, key, buckets)
+        buckets = self._bucket_count(table, key)
         newest = latest_per_key(align(batch, schema), key, recency)
         bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
         written = materialize(newest.withColumn(BUCKET_COLUMN, bucket), f"upsert-{table}").frame
@@ -129,7 +140,7 @@ class RawStore:
         touched = [row[0] for row in written.select(BUCKET_COLUMN).distinct().collect()]
         if not touched:
             return
-        stored = self._scan(table, BUCKET_COLUMN, [T.StructField(BUCKET_COLUMN, T.IntegerType())])
+        stored = self._scan(table, _BUCKET_FIELD)
         keys_fit = measure(written.select(key)).bytes <= BROADCAST_BYTES
         merged = _replace_keys(
             stored.where(F.col(BUCKET_COLUMN).isin(touched)),
@@ -144,27 +155,27 @@ class RawStore:
             .parquet(self._path(table))
         )
 
-    def _bucket_count(self, table: str, key: str, wanted: int) -> int:
+    def _bucket_count(self, table: str, key: str) -> int:
         """The bucket count a table was created with; recorded on first use."""
         path = f"{self.root}/_layout/{table}"
-        try:
-            return self.spark.read.schema("buckets int").json(path).first()[0]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-        layout = self.spark.createDataFrame([(key, wanted)], "key string, buckets int")
-        layout.coalesce(1).write.json(path)
-        return wanted
+        layout = self.spark.createDataFrame([(key, self.buckets)], _LAYOUT_SCHEMA)
+        layout.coalesce(1).write.mode("ignore").json(path)
+        stored = self.spark.read.schema(_LAYOUT_SCHEMA).json(path).first()
+        if stored["key"] != key:
+            raise ValueError(f"{table} is keyed by {stored['key']}, not {key}")
+        return stored["buckets"]
 
     def read(self, table: str) -> DataFrame:
         """Current rows of a table, whichever way it is loaded."""
-        if self._versions.current_path(table) is not None:
+        method = LOAD_METHODS[table][0] if table in LOAD_METHODS else "APPEND"
+        if method == "REPLACE":
             return self._versions.read(table)
-        return self._scan(table, "", []).select(*self.schemas[table].fieldNames())
+        partition = _BUCKET_FIELD if method == "UPSERT" else _SLICE_FIELD
+        return self._scan(table, partition).drop(partition.name)
 
     def read_slices(self, table: str) -> DataFrame:
         """Rows of an appended table with the slice each came from."""
-        return self._scan(table, SLICE_COLUMN, [T.StructField(SLICE_COLUMN, T.StringType())])
+        return self._scan(table, _SLICE_FIELD)
 
 
 def load(

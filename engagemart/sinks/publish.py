@@ -7,9 +7,9 @@ leaves what readers see untouched until its own row is in the log.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,37 +29,33 @@ class TableStore:
 
     def log(self) -> DataFrame:
         """Every publication so far."""
-        reader = self.spark.read.schema(_LOG_SCHEMA)
-        try:
-            return reader.parquet(self._log_path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], _LOG_SCHEMA)
-
-    def current_path(self, name: str) -> str | None:
-        newest = (
-            self.log()
-            .where(F.col("table_name") == name)
-            .agg(F.max_by("path", F.struct("published_at", "path")))
-            .first()
-        )
-        return newest[0]
+        empty = self.spark.createDataFrame([], _LOG_SCHEMA)
+        empty.write.mode("ignore").parquet(self._log_path)
+        return self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path)
+
+    def current_paths(self) -> dict[str, str]:
+        """Folder of the current version of every table (one small row per table)."""
+        newest = F.max_by("path", F.struct("published_at", "path")).alias("path")
+        return {r["table_name"]: r["path"] for r in self.log().groupBy("table_name").agg(newest).collect()}
 
     def read(self, name: str) -> DataFrame:
-        path = self.current_path(name)
-        if path is None:
-            raise LookupError(f"{name} has not been published under {self.root}")
-        return self.spark.read.parquet(path)
+        return self.read_all([name])[name]
+
+    def read_all(self, names: Iterable[str]) -> dict[str, DataFrame]:
+        """Several tables, all as of the same moment."""
+        paths = self.current_paths()
+        missing = [name for name in names if name not in paths]
+        if missing:
+            raise LookupError(f"not published under {self.root}: {', '.join(missing)}")
+        return {name: self.spark.read.parquet(paths[name]) for name in names}
 
     def run(self, run_id: str) -> Run:
         return Run(self, run_id)
 
     def superseded_paths(self) -> DataFrame:
         """Folders no longer current, for the storage's own clean-up rules."""
-        newest = F.max(F.struct("published_at", "path")).alias("newest")
-        current = self.log().groupBy("table_name").agg(newest).select(F.col("newest.path").alias("path"))
-        return self.log().select("table_name", "path").join(current, "path", "left_anti")
+        current = list(self.current_paths().values())
+        return self.log().where(~F.col("path").isin(current)).select("table_name", "path")
 
 
 class Run:
