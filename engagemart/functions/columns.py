@@ -19,9 +19,16 @@ def engagement_rate(engaged: Column, followers: Column) -> Column:
 
 
 def weekday_name(day_of_week: Column) -> Column:
-    """English weekday for 1 (Sunday) to 7 (Saturday), whatever the locale."""
-    names = F.array(*[F.lit(name) for name in K.WEEKDAYS])
-    return F.element_at(names, day_of_week)
+    """English weekday for 1 (Sunday) to 7 (Saturday), whatever the locale.
+
+    ``element_at`` over a constant array is no substitute: under ANSI it returns an
+    element for a NULL index.
+    """
+    first, *others = K.WEEKDAYS
+    name = F.when(day_of_week == 1, first)
+    for number, weekday in enumerate(others, start=2):
+        name = name.when(day_of_week == number, weekday)
+    return name
 
 
 def posting_time(ts: Column) -> dict[str, Column]:
