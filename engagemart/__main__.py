@@ -1,6 +1,6 @@
-"""Command line for ``spark-submit``: ``etl``, ``ingest`` and ``elt``.
+"""Command line for ``spark-submit``: ``etl``, ``ingest``, ``elt`` and ``export``.
 
-    spark-submit -m engagemart etl media --slice PATH --stage PATH --store ROOT \
+    spark-submit run.py etl media --slice PATH --stage PATH --store ROOT \
         --logical-date 2024-02-01T03:00:00+00:00
 """
 
@@ -9,68 +9,123 @@ from __future__ import annotations
 import argparse
 from pathlib import PurePosixPath
 
-from engagemart.plans.elt import run_elt
+from pyspark.sql import Row, SparkSession
+
+from engagemart.constants import CORE_MARTS, EXTRA_MARTS
+from engagemart.plans.elt import export_marts, run_elt
 from engagemart.plans.etl import raw_store, run_etl
+from engagemart.schemas import CONTRACT
 from engagemart.session import build_session
 from engagemart.sinks.publish import TableStore
-from engagemart.sources.tables import RAW_TABLE_NAMES
+from engagemart.sinks.tables import TableTarget
+from engagemart.sources.contract import load_contract
+from engagemart.sources.tables import RAW_TABLE_NAMES, TableSource, read_tables
 from engagemart.streaming.ingest import ingest_available
 
 ENTITIES = ("brand", "media", "media_hashtag")
 
 
+def _pair(text: str) -> tuple[str, str]:
+    key, _, value = text.partition("=")
+    return key, value
+
+
+def _ingestion_arguments(job: argparse.ArgumentParser) -> None:
+    job.add_argument("entity", choices=ENTITIES)
+    job.add_argument("--stage", required=True, help="folder for staged slices")
+    job.add_argument("--store", required=True, help="root of the raw tables")
+    job.add_argument("--logical-date", required=True, help="ISO time of the run")
+    job.add_argument("--contract", help="JSON lines with the table's contract rows, in order")
+    job.add_argument("--json-lines", action="store_true", help="one document per line")
+    job.add_argument("--stage-format", default="parquet")
+
+
+def _connection_arguments(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--format", default="parquet", help="parquet, jdbc, table or a connector")
+    job.add_argument("--option", action="append", type=_pair, default=[], metavar="KEY=VALUE")
+
+
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="engagemart")
     parser.add_argument("--input-bytes", type=int, default=0, help="raw bytes, sizes the shuffles")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     etl = jobs.add_parser("etl", help="stage, check and load one slice")
-    etl.add_argument("entity", choices=ENTITIES)
+    _ingestion_arguments(etl)
     etl.add_argument("--slice", required=True)
-    etl.add_argument("--stage", required=True)
-    etl.add_argument("--store", required=True)
-    etl.add_argument("--logical-date", required=True)
-    etl.add_argument("--json-lines", action="store_true")
 
     ingest = jobs.add_parser("ingest", help="load every slice that is new")
-    ingest.add_argument("entity", choices=ENTITIES)
+    _ingestion_arguments(ingest)
     ingest.add_argument("--raw", required=True)
-    ingest.add_argument("--stage", required=True)
-    ingest.add_argument("--store", required=True)
     ingest.add_argument("--checkpoint", required=True)
-    ingest.add_argument("--logical-date", required=True)
-    ingest.add_argument("--json-lines", action="store_true")
 
     elt = jobs.add_parser("elt", help="check raw tables and publish the marts")
-    elt.add_argument("--store", required=True)
+    source = elt.add_mutually_exclusive_group(required=True)
+    source.add_argument("--store", help="root of the raw tables")
+    source.add_argument("--source", help="path or table template with {table}")
+    _connection_arguments(elt)
     elt.add_argument("--marts", required=True)
     elt.add_argument("--run-id", required=True)
     elt.add_argument("--all-marts", action="store_true")
     elt.add_argument("--no-gate", action="store_true")
+
+    export = jobs.add_parser("export", help="copy published marts into a warehouse")
+    export.add_argument("--marts", required=True)
+    export.add_argument("--target", required=True, help="path or table template with {table}")
+    _connection_arguments(export)
+    export.add_argument("--all-marts", action="store_true")
     return parser.parse_args(argv)
 
 
+def _contract(spark: SparkSession, path: str | None) -> list[Row] | None:
+    # coalesce(1) keeps the file's column order; a contract is one row per column.
+    return load_contract(spark.read.schema(CONTRACT).json(path).coalesce(1)) if path else None
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session(f"engagemart-{args.job}", args.input_bytes)
-    store = raw_store(spark, args.store)
     if args.job == "etl":
-        slice_id = PurePosixPath(args.slice).name
         run_etl(
-            store, args.entity, args.slice, args.stage, args.logical_date, slice_id,
-            multi_line=not args.json_lines,
+            raw_store(spark, args.store),
+            args.entity,
+            args.slice,
+            args.stage,
+            args.logical_date,
+            PurePosixPath(args.slice).name,
+            _contract(spark, args.contract),
+            not args.json_lines,
+            args.stage_format,
         )
     elif args.job == "ingest":
         ingest_available(
-            store, args.entity, args.raw, args.stage, args.checkpoint, args.logical_date,
-            multi_line=not args.json_lines,
+            raw_store(spark, args.store),
+            args.entity,
+            args.raw,
+            args.stage,
+            args.checkpoint,
+            args.logical_date,
+            _contract(spark, args.contract),
+            not args.json_lines,
+            fmt=args.stage_format,
         )
-    else:
-        raw = {name: store.read(name) for name in RAW_TABLE_NAMES}
+    elif args.job == "elt":
+        if args.store:
+            store = raw_store(spark, args.store)
+            raw = {name: store.read(name) for name in RAW_TABLE_NAMES}
+        else:
+            raw = read_tables(spark, TableSource(args.source, args.format, dict(args.option)))
         run_elt(
-            raw, TableStore(spark, args.marts), args.run_id,
-            with_gate=not args.no_gate, all_marts=args.all_marts,
+            raw,
+            TableStore(spark, args.marts),
+            args.run_id,
+            with_gate=not args.no_gate,
+            all_marts=args.all_marts,
         )
+    else:
+        names = (*CORE_MARTS, *EXTRA_MARTS) if args.all_marts else CORE_MARTS
+        target = TableTarget(args.target, args.format, dict(args.option))
+        export_marts(TableStore(spark, args.marts), target, names)
 
 
 if __name__ == "__main__":

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from engagemart.scratch import materialize
 
-BROADCAST_BYTES = 64 * 1024**2
+BROADCAST_BYTES = 256 * 1024**2
 # A key with a larger share of the facts than this is joined by broadcast, so there
 # are at most 1 / HOT_SHARE such keys.
 HOT_SHARE = 1 / 20_000
@@ -95,8 +95,7 @@ def left_lookup(
 
     # NULL keys match nothing, so they go the way of the hot keys and are never shuffled.
     marked = facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    aside = marked.where("_hot").unionAll(marked.where(F.col(key).isNull()))
-    aside = aside.select(*facts.columns)
+    aside = marked.where(F.col("_hot") | F.col(key).isNull()).select(*facts.columns)
     spread = facts.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti")
     return _join(aside, F.broadcast(hot_rows.frame), key).unionAll(
         _join(spread.select(*facts.columns), lookup.frame, key)

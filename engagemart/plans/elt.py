@@ -7,6 +7,8 @@ result has to stay in executor memory.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 
 from engagemart import constants as K
@@ -14,6 +16,7 @@ from engagemart.operators import quality as Q
 from engagemart.operators.ranking import rankable
 from engagemart.plans import marts as M
 from engagemart.sinks.publish import TableStore
+from engagemart.sinks.tables import TableTarget
 
 
 def run_elt(
@@ -67,3 +70,15 @@ def run_elt(
     factor = run.write("popularity_factor", M.popularity_factor(inputs, rows))
     run.write("popularity_calculation", M.popularity_calculation(factor, rows))
     run.commit()
+
+
+def export_marts(
+    store: TableStore, target: TableTarget, names: Iterable[str] = K.CORE_MARTS
+) -> None:
+    """Copy published marts of one moment into a warehouse, each replacing its table.
+
+    The published files stay the source, so an export that breaks off is repeated
+    without computing anything again.
+    """
+    for name, mart in store.read_all(tuple(names)).items():
+        target.write(mart, name)

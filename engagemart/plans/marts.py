@@ -123,10 +123,10 @@ def aggregated_brand_information(
     )
 
 
-def aggregated_hashtag_search(search: DataFrame) -> DataFrame:
-    return search.groupBy("tag_name").agg(
-        F.count_distinct("media_id").alias("hashtaged_media_cnt")
-    )
+def aggregated_hashtag_search(search: DataFrame, approximate: bool = False) -> DataFrame:
+    """Distinct posts per tag; exact unless an estimate is asked for."""
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    return search.groupBy("tag_name").agg(distinct("media_id").alias("hashtaged_media_cnt"))
 
 
 def popularity_factor_early_stage(by_brand: DataFrame, by_hashtag: DataFrame) -> DataFrame:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from engagemart.sources.tables import FILE_FORMATS
+
 STAGING_FORMAT = "parquet"
 
 
@@ -27,6 +30,21 @@ def jdbc_options(
     }
 
 
+@dataclass(frozen=True)
+class TableTarget:
+    """A warehouse schema to write into; ``location`` is a template with ``{table}``."""
+
+    location: str
+    format: str = "jdbc"
+    options: Mapping[str, str] = field(default_factory=dict)
+    truncate: bool = True
+
+    def write(self, df: DataFrame, table: str) -> None:
+        name = self.location.format(table=table)
+        key = "path" if self.format in FILE_FORMATS else "dbtable"
+        write_table(df, self.format, {**self.options, key: name}, truncate=self.truncate)
+
+
 def write_table(
     df: DataFrame,
     fmt: str,

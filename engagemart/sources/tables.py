@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv")
 RAW_TABLE_NAMES = ("brand", "media", "media_hashtag", "brand_log")
 
 
@@ -34,11 +35,9 @@ class TableSource:
     options: Mapping[str, str] = field(default_factory=dict)
     splits: Mapping[str, Split] = field(default_factory=dict)
 
-    _FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv")
-
     def reader_options(self, table: str) -> dict[str, str]:
         options = dict(self.options)
-        if self.format not in self._FILE_FORMATS:
+        if self.format not in FILE_FORMATS:
             options["dbtable"] = self.location.format(table=table)
         split = self.splits.get(table)
         if split is not None:
@@ -54,7 +53,7 @@ class TableSource:
         if self.format == "table":
             return spark.read.table(self.location.format(table=table))
         reader = spark.read.format(self.format).options(**self.reader_options(table))
-        if self.format in self._FILE_FORMATS:
+        if self.format in FILE_FORMATS:
             return reader.load(self.location.format(table=table))
         return reader.load()
 

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from engagemart.schemas import RAW_TABLES
 
 T0 = datetime(2024, 2, 1, 3)
+MEDIA_COLUMNS = [
+    "media_id", "user_id", "ts", "like_count", "comments_count", "media_type", "media_product_type",
+    "created_at", "updated_at",
+]
 SUNDAY, MONDAY = datetime(2024, 1, 7, 23, 30), datetime(2024, 1, 8, 5)
 
 

@@ -7,14 +7,15 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import Row
 
 from engagemart import constants as K
-from engagemart.__main__ import main, parse
+from engagemart.__main__ import main
 from engagemart.operators.quality import QualityError
 from engagemart.plans import marts as M
-from engagemart.plans.elt import run_elt
+from engagemart.plans.elt import export_marts, run_elt
 from engagemart.plans.etl import raw_store, run_etl
 from engagemart.scratch import new_path
 from engagemart.session import settings
 from engagemart.sinks.publish import TableStore
+from engagemart.sinks.tables import TableTarget
 from engagemart.sources.contract import ContractError
 from engagemart.streaming.ingest import ingest_available
 
@@ -162,7 +163,17 @@ def test_ingest_keeps_files_pending_after_a_failed_check(store, tmp_path):
     assert store.read("media").count() == 1
 
 
-def test_command_line(spark, tmp_path):
+def test_export_copies_what_is_published(spark, rows, tmp_path):
+    store = TableStore(spark, new_path(spark, "test-marts"))
+    run_elt(raw.tables(spark), store, "h1")
+    target = TableTarget(str(tmp_path / "warehouse" / "{table}"), "parquet")
+    for _ in range(2):
+        export_marts(store, target)
+    for name, mart in store.read_all(K.CORE_MARTS).items():
+        assert rows(spark.read.parquet(str(tmp_path / "warehouse" / name))) == rows(mart)
+
+
+def test_command_line(spark, tmp_path, rows):
     root = new_path(spark, "test-cli")
     documents = {
         "brand": [brand(1), brand(2)],
@@ -170,15 +181,28 @@ def test_command_line(spark, tmp_path):
         "media_hashtag": [dict(media_id="h", user_id="1", caption="#a", timestamp="2024-01-01T00:00:00Z",
                                media_type="IMAGE")],
     }
-    for entity, rows in documents.items():
-        path = slice_of(tmp_path, f"{entity}_03", rows)
+    contract = tmp_path / "contract.json"
+    contract.write_text("\n".join(json.dumps(dict(column_name=c, is_nullable="NO")) for c in raw.MEDIA_COLUMNS))
+    for entity, documents_of in documents.items():
+        path = slice_of(tmp_path, f"{entity}_03", documents_of)
+        extra = ["--contract", str(contract)] if entity == "media" else []
         main(["etl", entity, "--slice", path, "--stage", str(tmp_path / "stage" / entity), "--store", root,
-              "--logical-date", RUN])
+              "--logical-date", RUN, *extra])
+    assert spark.read.parquet(str(tmp_path / "stage" / "media")).columns == raw.MEDIA_COLUMNS
+    main(["ingest", "media", "--raw", str(tmp_path / "raw" / "media_03"), "--stage", str(tmp_path / "s"),
+          "--store", root, "--checkpoint", str(tmp_path / "c"), "--logical-date", RUN])
     main(["elt", "--store", root, "--marts", f"{root}-marts", "--run-id", "h3"])
     marts = TableStore(spark, f"{root}-marts")
     assert marts.read("popularity_calculation").count() == 1
-    assert parse(["ingest", "media", "--raw", "r", "--stage", "s", "--store", "t", "--checkpoint", "c",
-                  "--logical-date", RUN]).job == "ingest"
+
+    tables = str(tmp_path / "tables" / "{table}")
+    for name, df in raw.tables(spark).items():
+        df.write.parquet(tables.format(table=name))
+    main(["elt", "--source", tables, "--marts", f"{root}-marts", "--run-id", "h4", "--all-marts"])
+    main(["export", "--marts", f"{root}-marts", "--target", str(tmp_path / "w" / "{table}"),
+          "--format", "orc", "--option", "compression=none", "--all-marts"])
+    exported = spark.read.orc(str(tmp_path / "w" / "popularity_calculation"))
+    assert rows(exported) == [("aa", 5, 2), ("bb", 8, 3), ("cc", 4, 1), (None, 11, 4)]
 
 
 def test_settings_grow_with_the_input():

@@ -80,6 +80,11 @@ def test_aggregates(spark, rows):
     ]
 
 
+def test_estimated_reach_is_opt_in(spark, rows):
+    estimated = M.aggregated_hashtag_search(search(spark), approximate=True)
+    assert rows(estimated) == rows(M.aggregated_hashtag_search(search(spark)))
+
+
 def test_average_rounding_is_optional(spark):
     df = spark.createDataFrame([("t", "m1", 1.0), ("t", "m2", 1.0), ("t", "m3", 2.0)],
                                "tag_name string, media_id string, engagement_rate double")

@@ -144,3 +144,14 @@ def test_additive_rules_share_one_aggregate_without_row_shuffle(spark, plan):
     text = plan(results)
     assert text.count("FileScan") == 1
     assert "Exchange SinglePartition" in text and "hashpartitioning" not in text
+
+
+def test_views_and_whole_gate(spark):
+    import raw
+
+    tables = raw.tables(spark)
+    Q.register_views(spark, tables)
+    assert spark.sql("select count(*) from media").first()[0] == 8
+    results = Q.verify_tables(tables)
+    assert results.count() == sum(len(rules) for rules in Q.BATTERIES.values()) == 16
+    Q.enforce(results)

@@ -77,6 +77,17 @@ def test_jdbc_options():
     assert sinks.jdbc_options("jdbc:x", "analytics.t", "d", connections=4)["numPartitions"] == "4"
 
 
+def test_warehouse_target_options(monkeypatch):
+    calls = []
+    monkeypatch.setattr(sinks, "write_table", lambda df, fmt, options, truncate: calls.append((fmt, options, truncate)))
+    sinks.TableTarget("analytics.{table}", "jdbc", {"url": "jdbc:x"}).write(None, "brand_information")
+    sinks.TableTarget("{table}", "connector", {"schema": "ANALYTICS"}, truncate=False).write(None, "t")
+    assert calls == [
+        ("jdbc", {"url": "jdbc:x", "dbtable": "analytics.brand_information"}, True),
+        ("connector", {"schema": "ANALYTICS", "dbtable": "t"}, False),
+    ]
+
+
 def test_write_table(spark, tmp_path):
     path = str(tmp_path / "t")
     for _ in range(2):
