@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from engagemart import constants as K
 
@@ -135,11 +136,13 @@ def _reads_as_bigint(column: Column) -> Column:
     return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint").isNotNull()).otherwise(False)
 
 
-def _additive_metric(rule: Rule) -> Column:
+def _additive_metric(df: DataFrame, rule: Rule) -> Column:
     column = F.col(rule.column)
     if rule.constraint == "complete":
         return F.count_if(column.isNull())
     if rule.constraint == "integral":
+        if isinstance(df.schema[rule.column].dataType, T.IntegralType):
+            return F.count_if(F.lit(False))
         return F.count_if(column.isNotNull() & ~_reads_as_bigint(column))
     if rule.constraint == "non_negative":
         return F.count_if(column < 0)
@@ -193,7 +196,7 @@ def verify(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     additive, distinct = _split(rules)
     parts = [_unique_result(df, table, rule) for rule in distinct]
     if additive:
-        metrics = [_additive_metric(rule).alias(f"m{i}") for i, rule in enumerate(additive)]
+        metrics = [_additive_metric(df, rule).alias(f"m{i}") for i, rule in enumerate(additive)]
         results = [_result(table, rule, F.col(f"m{i}")) for i, rule in enumerate(additive)]
         parts.append(df.agg(*metrics).select(F.inline(F.array(*results))))
     if not parts:
@@ -211,7 +214,9 @@ def verify_written(
         df.write.mode("overwrite").format(fmt).save(path)
         return verify(spark.read.schema(df.schema).format(fmt).load(path), rules, table)
     observation = Observation()
-    metrics = [_additive_metric(rule).cast("double").alias(f"m{i}") for i, rule in enumerate(additive)]
+    metrics = [
+        _additive_metric(df, rule).cast("double").alias(f"m{i}") for i, rule in enumerate(additive)
+    ]
     df.observe(observation, *metrics).write.mode("overwrite").format(fmt).save(path)
     seen = observation.get
     names = ", ".join(f"m{i} double" for i in range(len(additive)))
