@@ -39,7 +39,8 @@ class Lookup:
         return self.bytes <= self.limit
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row of ``df`` in memory, texts measured, the rest at a fixed width."""
     total = F.lit(_ROW_OVERHEAD + _FIXED_WIDTH * len(df.columns))
     for field in df.schema.fields:
         if not isinstance(field.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)):
@@ -50,7 +51,7 @@ def _row_bytes(df: DataFrame) -> Column:
 def measure(frame: DataFrame, limit: int = BROADCAST_BYTES) -> Lookup:
     """Count rows and bytes of a lookup table in one pass, moving only partial sums."""
     size = frame.agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_row_bytes(frame)), F.lit(0)).alias("bytes")
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(frame)), F.lit(0)).alias("bytes")
     ).first()
     return Lookup(frame, size["rows"], size["bytes"], limit)
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from engagemart.constants import LOAD_METHODS
 from engagemart.operators.latest import latest_per_key
-from engagemart.operators.lookup import BROADCAST_BYTES, measure
+from engagemart.operators.lookup import BROADCAST_BYTES, row_bytes
 from engagemart.scratch import materialize
 from engagemart.sinks.publish import TableStore, publish
 
@@ -128,23 +128,23 @@ class RawStore:
         A key always lives in the bucket its hash names, so untouched buckets are
         neither read nor written.
         """
-        schema = self.schemas[table]
         buckets = self._bucket_count(table, key)
-        newest = latest_per_key(align(batch, schema), key, recency)
+        newest = latest_per_key(align(batch, self.schemas[table]), key, recency)
         bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-        written = materialize(newest.withColumn(BUCKET_COLUMN, bucket), f"upsert-{table}").frame
-        if not written.where(F.col(key).isNull()).isEmpty():
-            raise ValueError(f"upsert into {table}: {key} must not be NULL")
-
-        # At most one row per bucket comes back.
-        touched = [row[0] for row in written.select(BUCKET_COLUMN).distinct().collect()]
-        if not touched:
+        written = materialize(newest.withColumn(BUCKET_COLUMN, bucket), f"upsert-{table}")
+        if not written.rows:
             return
-        stored = self._scan(table, _BUCKET_FIELD)
-        keys_fit = measure(written.select(key)).bytes <= BROADCAST_BYTES
+        profile = written.frame.agg(
+            F.count_if(F.col(key).isNull()).alias("nulls"),
+            F.sum(row_bytes(written.frame.select(key))).alias("key_bytes"),
+            F.collect_set(BUCKET_COLUMN).alias("touched"),  # at most one number per bucket
+        ).first()
+        if profile["nulls"]:
+            raise ValueError(f"upsert into {table}: {key} must not be NULL")
+        keys_fit = profile["key_bytes"] <= BROADCAST_BYTES
         merged = _replace_keys(
-            stored.where(F.col(BUCKET_COLUMN).isin(touched)),
-            written.repartition(BUCKET_COLUMN) if keys_fit else written,
+            self._scan(table, _BUCKET_FIELD).where(F.col(BUCKET_COLUMN).isin(profile["touched"])),
+            written.frame.repartition(BUCKET_COLUMN) if keys_fit else written.frame,
             key,
             broadcast_keys=keys_fit,
         )

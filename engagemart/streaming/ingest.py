@@ -1,7 +1,8 @@
 """Incremental ingestion: every raw slice that has arrived since the last run.
 
 A file stream keeps track of what was read. Each micro-batch is staged, checked and
-loaded under its batch number, so a batch that is retried replaces itself.
+loaded under the stream's id and its batch number, so a batch that is retried replaces
+itself, and a stream started afresh never touches what another one loaded.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from engagemart.schemas import RAW_DOCUMENTS
 from engagemart.sinks.loads import RawStore
 from engagemart.sinks.tables import STAGING_FORMAT
 
+# Set by Spark for the jobs of a streaming query; survives restarts from its checkpoint.
+_STREAM_ID = "sql.streaming.queryId"
+
 
 def ingest_available(
     store: RawStore,
@@ -42,7 +46,8 @@ def ingest_available(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def load_batch(raw: DataFrame, batch_id: int) -> None:
-        slice_id = f"batch-{batch_id:09d}"
+        stream_id = raw.sparkSession.sparkContext.getLocalProperty(_STREAM_ID)
+        slice_id = f"{stream_id}-{batch_id:09d}"
         staged = stage_and_check(
             raw, entity, logical_date, f"{stage_root}/{slice_id}", contract, fmt=fmt
         )

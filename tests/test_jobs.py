@@ -152,6 +152,16 @@ def test_ingest_reads_only_new_slices(store, tmp_path):
     assert store.read("media_log").count() == 4
 
 
+def test_a_fresh_stream_keeps_what_another_loaded(store, tmp_path):
+    post = dict(user_id="1", caption="#a", timestamp="2024-01-01T00:00:00Z", media_type="IMAGE")
+    for name in ("one", "two"):
+        folder = tmp_path / name
+        folder.mkdir()
+        slice_of(folder, "h1", [post | {"media_id": name}])
+        ingest(store, folder, "media_hashtag")
+    assert sorted(r.media_id for r in store.read("media_hashtag").collect()) == ["one", "two"]
+
+
 def test_ingest_keeps_files_pending_after_a_failed_check(store, tmp_path):
     folder = slice_of(tmp_path, "h1", [media("a", -5)])
     with pytest.raises(StreamingQueryException, match="non_negative"):
