@@ -65,3 +65,22 @@ def source_time_text(raw: Column) -> Column:
 def logical_time_text(logical_date: str) -> Column:
     """The run's logical date as UTC text (folded to a constant)."""
     return utc_text(F.to_timestamp(F.lit(logical_date)))
+
+
+def exact_average(rate: Column, digits: int | None) -> Column:
+    """Mean of rates that have two decimals, optionally rounded half up to ``digits``.
+
+    Summed as whole hundredths, so neither the order in which partial sums meet nor a
+    mean that lies exactly between two results can change the outcome from run to run.
+    """
+    whole_rate = F.rint(rate * 10**K.RATE_DIGITS).cast("bigint")
+    hundredths = F.sum(whole_rate.cast("decimal(18,0)"))
+    count = F.count(rate)
+    if digits is None:
+        return F.try_divide(hundredths.cast("double"), count * F.lit(10**K.RATE_DIGITS))
+    shift = digits - K.RATE_DIGITS
+    top = F.abs(hundredths) * F.lit(10 ** max(shift, 0)).cast("decimal(7,0)")
+    bottom = (count * F.lit(10 ** max(-shift, 0))).cast("decimal(20,0)")
+    # Integer division rounds half up; without any rate it stays NULL.
+    whole = F.call_function("div", 2 * top + bottom, F.when(count > 0, 2 * bottom))
+    return F.signum(hundredths) * whole / F.lit(float(10**digits))

@@ -15,11 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engagemart import constants as K
-
-RESULT_SCHEMA = (
-    "table_name string, constraint_name string, column_name string, "
-    "metric double, threshold double, passed boolean"
-)
+from engagemart.schemas import CHECK_RESULTS
+from engagemart.scratch import no_rows
 
 
 @dataclass(frozen=True)
@@ -200,7 +197,7 @@ def verify(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
         results = [_result(table, rule, F.col(f"m{i}")) for i, rule in enumerate(additive)]
         parts.append(df.agg(*metrics).select(F.inline(F.array(*results))))
     if not parts:
-        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+        return no_rows(df.sparkSession, CHECK_RESULTS)
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -219,10 +216,10 @@ def verify_written(
     ]
     df.observe(observation, *metrics).write.mode("overwrite").format(fmt).save(path)
     seen = observation.get
-    names = ", ".join(f"m{i} double" for i in range(len(additive)))
-    row = spark.createDataFrame([tuple(seen[f"m{i}"] for i in range(len(additive)))], names)
-    results = [_result(table, rule, F.col(f"m{i}")) for i, rule in enumerate(additive)]
-    parts = [row.select(F.inline(F.array(*results)))]
+    results = [
+        _result(table, rule, F.lit(seen[f"m{i}"]).cast("double")) for i, rule in enumerate(additive)
+    ]
+    parts = [spark.range(0, 1, 1, 1).select(F.inline(F.array(*results)))]
     if distinct:
         written = spark.read.schema(df.schema).format(fmt).load(path)
         parts += [_unique_result(written, table, rule) for rule in distinct]

@@ -114,9 +114,7 @@ def aggregated_brand_information(
     Where post ids are known to be unique (the quality gate checks it), plain counting
     gives the distinct count and only partial sums are shuffled instead of all ids.
     """
-    average = F.avg("engagement_rate")
-    if round_avg is not None:
-        average = F.round(average, round_avg)
+    average = C.exact_average(F.col("engagement_rate"), round_avg)
     posts = F.count("media_id") if media_ids_unique else F.count_distinct("media_id")
     return information.groupBy("tag_name").agg(
         average.alias("avg_engagement_rate"), posts.alias("brand_media_cnt")

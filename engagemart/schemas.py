@@ -16,12 +16,12 @@ _STRING, _INT, _LONG, _TIME = (
 )
 
 
-def _struct(**fields: T.DataType) -> T.StructType:
+def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 RAW_DOCUMENTS = {
-    "brand": _struct(
+    "brand": struct(
         user_id=_LONG,
         user_name=_STRING,
         name=_STRING,
@@ -29,7 +29,7 @@ RAW_DOCUMENTS = {
         followers_count=_INT,
         media_count=_INT,
     ),
-    "media": _struct(
+    "media": struct(
         media_id=_STRING,
         user_id=_STRING,
         timestamp=_STRING,
@@ -38,7 +38,7 @@ RAW_DOCUMENTS = {
         media_type=_STRING,
         media_product_type=_STRING,
     ),
-    "media_hashtag": _struct(
+    "media_hashtag": struct(
         media_id=_STRING,
         user_id=_STRING,
         caption=_STRING,
@@ -48,7 +48,7 @@ RAW_DOCUMENTS = {
 }
 
 RAW_TABLES = {
-    "brand": _struct(
+    "brand": struct(
         user_id=_STRING,
         user_name=_STRING,
         name=_STRING,
@@ -60,7 +60,7 @@ RAW_TABLES = {
         created_at=_TIME,
         updated_at=_TIME,
     ),
-    "media": _struct(
+    "media": struct(
         media_id=_STRING,
         user_id=_STRING,
         like_count=_INT,
@@ -72,7 +72,7 @@ RAW_TABLES = {
         created_at=_TIME,
         updated_at=_TIME,
     ),
-    "media_hashtag": _struct(
+    "media_hashtag": struct(
         media_id=_STRING,
         user_id=_STRING,
         caption=_STRING,
@@ -109,3 +109,16 @@ CONTRACT_TYPES = {
     "timestamp without time zone": _TIME,
     "timestamp with time zone": T.TimestampType(),
 }
+
+PUBLICATION_LOG = struct(
+    table_name=_STRING, path=_STRING, run_id=_STRING, published_at=T.TimestampType()
+)
+
+CHECK_RESULTS = struct(
+    table_name=_STRING,
+    constraint_name=_STRING,
+    column_name=_STRING,
+    metric=T.DoubleType(),
+    threshold=T.DoubleType(),
+    passed=T.BooleanType(),
+)

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_folder: tempfile.TemporaryDirectory | None = None
@@ -35,6 +37,18 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/engagemart/{label}-{uuid4().hex}"
 
 
+def literal_rows(spark: SparkSession, rows: list[dict[str, object]]) -> DataFrame:
+    """A handful of constant rows in one partition, without shipping them from Python."""
+    structs = [F.struct(*[F.lit(v).alias(k) for k, v in row.items()]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame of the given schema."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0, 0, 1, 1).select(*columns)
+
+
 @dataclass(frozen=True)
 class Materialized:
     frame: DataFrame

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from engagemart.constants import LOAD_METHODS
 from engagemart.operators.latest import latest_per_key
 from engagemart.operators.lookup import BROADCAST_BYTES, row_bytes
-from engagemart.scratch import materialize
+from engagemart.scratch import literal_rows, materialize, no_rows
 from engagemart.sinks.publish import TableStore, publish
 
 SLICE_COLUMN = "load_slice"
@@ -42,15 +42,12 @@ def upsert(
 ) -> DataFrame:
     """``target`` with the rows of ``batch`` inserted, or put in place of the same key."""
     newest = latest_per_key(batch, key, recency)
-    return _replace_keys(target, newest, key, broadcast_keys=False)
+    return _replace_keys(target, newest, newest.select(key), key)
 
 
-def _replace_keys(
-    target: DataFrame, newest: DataFrame, key: str, broadcast_keys: bool
-) -> DataFrame:
-    keys = newest.select(key)
-    kept = target.join(F.broadcast(keys) if broadcast_keys else keys, key, "left_anti")
-    return kept.select(*target.columns).unionByName(newest, allowMissingColumns=True)
+def _replace_keys(target: DataFrame, newest: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    kept = target.join(keys, key, "left_anti").select(*target.columns)
+    return kept.unionByName(newest, allowMissingColumns=True)
 
 
 def merge_into(batch: DataFrame, table: str, key: str, recency: Sequence[str] = ()) -> None:
@@ -88,7 +85,7 @@ class RawStore:
     def _scan(self, table: str, partition: T.StructField) -> DataFrame:
         """A table partitioned by one column; empty when nothing was loaded yet."""
         schema = T.StructType([*self.schemas[table].fields, partition])
-        empty = self.spark.createDataFrame([], schema)
+        empty = no_rows(self.spark, schema)
         empty.write.mode("ignore").partitionBy(partition.name).parquet(self._path(table))
         return self.spark.read.schema(schema).parquet(self._path(table))
 
@@ -141,13 +138,16 @@ class RawStore:
         ).first()
         if profile["nulls"]:
             raise ValueError(f"upsert into {table}: {key} must not be NULL")
-        keys_fit = profile["key_bytes"] <= BROADCAST_BYTES
-        merged = _replace_keys(
-            self._scan(table, _BUCKET_FIELD).where(F.col(BUCKET_COLUMN).isin(profile["touched"])),
-            written.frame.repartition(BUCKET_COLUMN) if keys_fit else written.frame,
-            key,
-            broadcast_keys=keys_fit,
+        stored = self._scan(table, _BUCKET_FIELD).where(
+            F.col(BUCKET_COLUMN).isin(profile["touched"])
         )
+        keys = written.frame.select(key)
+        if profile["key_bytes"] <= BROADCAST_BYTES:
+            # Stored rows stay in their tasks; only the batch moves, to keep its files few.
+            moved = written.frame.hint("rebalance", BUCKET_COLUMN)
+            merged = _replace_keys(stored, moved, F.broadcast(keys), key)
+        else:
+            merged = _replace_keys(stored, written.frame, keys, key).hint("rebalance", BUCKET_COLUMN)
         (
             merged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -158,8 +158,8 @@ class RawStore:
     def _bucket_count(self, table: str, key: str) -> int:
         """The bucket count a table was created with; recorded on first use."""
         path = f"{self.root}/_layout/{table}"
-        layout = self.spark.createDataFrame([(key, self.buckets)], _LAYOUT_SCHEMA)
-        layout.coalesce(1).write.mode("ignore").json(path)
+        layout = literal_rows(self.spark, [{"key": key, "buckets": self.buckets}])
+        layout.write.mode("ignore").json(path)
         stored = self.spark.read.schema(_LAYOUT_SCHEMA).json(path).first()
         if stored["key"] != key:
             raise ValueError(f"{table} is keyed by {stored['key']}, not {key}")

@@ -13,7 +13,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOG_SCHEMA = "table_name string, path string, run_id string, published_at timestamp"
+from engagemart.schemas import PUBLICATION_LOG
+from engagemart.scratch import literal_rows, no_rows
 
 
 class TableStore:
@@ -29,9 +30,8 @@ class TableStore:
 
     def log(self) -> DataFrame:
         """Every publication so far."""
-        empty = self.spark.createDataFrame([], _LOG_SCHEMA)
-        empty.write.mode("ignore").parquet(self._log_path)
-        return self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path)
+        no_rows(self.spark, PUBLICATION_LOG).write.mode("ignore").parquet(self._log_path)
+        return self.spark.read.schema(PUBLICATION_LOG).parquet(self._log_path)
 
     def current_paths(self) -> dict[str, str]:
         """Folder of the current version of every table (one small row per table)."""
@@ -76,10 +76,13 @@ class Run:
 
     def commit(self) -> None:
         """Make all written tables current with one appended row per table, in one file."""
-        rows = [(name, path, self.run_id) for name, path in self._written.items()]
-        entry = self.store.spark.createDataFrame(rows, "table_name string, path string, run_id string")
+        rows = [
+            {"table_name": name, "path": path, "run_id": self.run_id}
+            for name, path in self._written.items()
+        ]
+        entry = literal_rows(self.store.spark, rows)
         entry = entry.withColumn("published_at", F.current_timestamp())
-        entry.coalesce(1).write.mode("append").parquet(self.store._log_path)
+        entry.write.mode("append").parquet(self.store._log_path)
 
 
 def publish(store: TableStore, name: str, df: DataFrame, run_id: str) -> DataFrame:

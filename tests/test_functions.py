@@ -1,3 +1,5 @@
+from fractions import Fraction
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -24,6 +26,30 @@ def test_engagement_and_rate(spark):
         assert (row.a, row.b) == (row.e, row.r)
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.one_of(st.none(), st.integers(-(10**4), 10**6), st.integers(0, 10**13)), max_size=50),
+    st.sampled_from([0, 1, 2, 4, 6]),
+)
+def test_average_is_exact(spark, hundredths, digits):
+    data = [(None if h is None else h / 100,) for h in hundredths]
+    got = spark.createDataFrame(data, "r double").agg(C.exact_average(F.col("r"), digits)).first()[0]
+    present = [h for h in hundredths if h is not None]
+    if not present:
+        assert got is None
+        return
+    scaled = Fraction(sum(present), 100 * len(present)) * 10**digits
+    rounded = int(abs(scaled) + Fraction(1, 2)) * (1 if scaled >= 0 else -1)
+    assert got == rounded / 10**digits
+
+
+def test_average_rounds_a_tie_up_in_any_order(spark):
+    rates = [1.0] * 7 + [0.99]  # the mean is exactly 0.99875
+    for order in (rates, rates[::-1]):
+        df = spark.createDataFrame([(v,) for v in order], "r double").repartition(3)
+        assert df.agg(C.exact_average(F.col("r"), 4)).first()[0] == 0.9988
+
+
 def test_weekday_names(spark):
     df = spark.createDataFrame([("2024-01-07 23:59:59",), ("2024-01-08 00:00:00",), (None,)], "t string")
     posting = C.posting_time(F.col("t").cast("timestamp_ntz"))

@@ -1,8 +1,10 @@
 """What the physical plans must and must not contain."""
 
 import pytest
+import raw
 
 from __spark_entry__ import entry, oracle_sql, queries
+from engagemart.plans import marts as M
 
 SF = "/root/testdata/sf0.001"
 LAZY = [
@@ -38,6 +40,20 @@ def test_distinct_count_spreads_hot_groups(spark, plan):
     assert "hashpartitioning(tag_name#" in text and "media_id#" in text.split("hashpartitioning(", 2)[-1]
 
 
+def test_raw_scan_gets_the_filter_and_only_needed_columns(spark, plan, tmp_path):
+    raw.media(spark).write.parquet(str(tmp_path / "media"))
+    media = spark.read.parquet(str(tmp_path / "media"))
+    text = plan(M.brand_information(media, M.brand_lookup(raw.brand(spark))))
+    assert "PushedFilters: [In(media_product_type, [FEED,REELS])]" in text
+    read = text.split("ReadSchema")[1].split(">")[0]
+    assert "like_count" in read and "del_yn" not in read and "created_at" not in read
+
+
+def test_partitioned_writes_bring_slices_together(spark, plan):
+    rows = spark.range(10).selectExpr("id", "id % 3 load_slice")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(rows.hint("rebalance", "load_slice"))
+
+
 def test_entry(spark):
     assert entry(spark).columns == ["tag_name", "sum_rank", "popularity_rank"]
 
