@@ -8,7 +8,9 @@ result has to stay in executor memory.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from engagemart import constants as K
@@ -40,26 +42,36 @@ def run_elt(
     run = store.run(run_id)
     brands = M.brand_lookup(raw["brand"])
 
-    basic = run.write("brand_basic_info", M.brand_basic_info(raw["brand"]))
-    run.write("followers_growth", M.followers_growth(raw["brand_log"], brands))
-    information = run.write(
-        "brand_information", M.brand_information(raw["media"], brands, with_post_time)
-    )
-    run.write("brand_media_post_time", M.brand_media_post_time(information))
-    by_brand = run.write(
-        "aggregated_brand_information",
-        M.aggregated_brand_information(information, round_avg, media_ids_unique=with_gate),
-    )
+    def profiles() -> DataFrame:
+        run.write("followers_growth", M.followers_growth(raw["brand_log"], brands))
+        return run.write("brand_basic_info", M.brand_basic_info(raw["brand"]))
 
-    search = M.hashtag_search(raw["media_hashtag"], brands)
-    if all_marts:
-        search = run.write("hashtag_search", search)
-        topics = run.write("trending_topics", M.trending_topics(search))
-        run.write("hashtag_count", M.hashtag_count_of_topics(topics, top_k))
-    else:
-        captions = raw["media_hashtag"] if with_gate else search
-        run.write("hashtag_count", M.hashtag_count(captions, top_k))
-    by_hashtag = run.write("aggregated_hashtag_search", M.aggregated_hashtag_search(search))
+    def posts() -> DataFrame:
+        information = M.brand_information(raw["media"], brands, with_post_time)
+        information = run.write("brand_information", information)
+        run.write("brand_media_post_time", M.brand_media_post_time(information))
+        by_brand = M.aggregated_brand_information(information, round_avg, media_ids_unique=with_gate)
+        return run.write("aggregated_brand_information", by_brand)
+
+    def hashtags() -> DataFrame:
+        search = M.hashtag_search(raw["media_hashtag"], brands)
+        if all_marts:
+            search = run.write("hashtag_search", search)
+            topics = run.write("trending_topics", M.trending_topics(search))
+            run.write("hashtag_count", M.hashtag_count_of_topics(topics, top_k))
+        else:
+            captions = raw["media_hashtag"] if with_gate else search
+            run.write("hashtag_count", M.hashtag_count(captions, top_k))
+        return run.write("aggregated_hashtag_search", M.aggregated_hashtag_search(search))
+
+    # Independent branches are submitted together, so one fills the cluster while the
+    # last tasks of another still run.
+    with ThreadPoolExecutor() as pool:
+        branches = [
+            pool.submit(inheritable_thread_target(store.spark)(branch))
+            for branch in (posts, hashtags, profiles)
+        ]
+        by_brand, by_hashtag, basic = [branch.result() for branch in branches]
 
     early = M.popularity_factor_early_stage(by_brand, by_hashtag)
     if all_marts:

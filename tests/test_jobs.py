@@ -5,6 +5,7 @@ import pytest
 import raw
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from engagemart import constants as K
 from engagemart.__main__ import main
@@ -136,6 +137,17 @@ def test_gate_stops_before_anything_is_visible(spark):
     assert store.current_paths() == before
 
 
+def test_a_failing_branch_publishes_nothing(spark):
+    store = TableStore(spark, new_path(spark, "test-marts"))
+    tables = raw.tables(spark)
+    run_elt(tables, store, "h1")
+    before = store.current_paths()
+    broken = tables["media_hashtag"].withColumn("caption", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        run_elt(tables | {"media_hashtag": broken}, store, "h2", with_gate=False)
+    assert store.current_paths() == before
+
+
 def ingest(store, tmp_path, entity, **options):
     ingest_available(store, entity, str(tmp_path / "raw"), str(tmp_path / "stage"),
                      str(tmp_path / "checkpoint"), RUN, **options)
