@@ -1,4 +1,4 @@
-"""Command line for ``spark-submit``: ``etl``, ``ingest``, ``elt`` and ``export``.
+"""Command line for ``spark-submit``: ``etl``, ``ingest``, ``elt``, ``export`` and ``expire``.
 
     spark-submit run.py etl media --slice PATH --stage PATH --store ROOT \
         --logical-date 2024-02-01T03:00:00+00:00
@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+from datetime import datetime
 from pathlib import PurePosixPath
 
 from pyspark.sql import Row, SparkSession
@@ -74,6 +75,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     export.add_argument("--target", required=True, help="path or table template with {table}")
     _connection_arguments(export)
     export.add_argument("--all-marts", action="store_true")
+
+    expire = jobs.add_parser("expire", help="delete versions replaced before a time")
+    expire.add_argument("--versions", required=True, help="a marts root, or STORE/brand or STORE/media")
+    expire.add_argument("--before", required=True, type=datetime.fromisoformat)
     return parser.parse_args(argv)
 
 
@@ -122,6 +127,8 @@ def main(argv: list[str] | None = None) -> None:
             with_gate=not args.no_gate,
             all_marts=args.all_marts,
         )
+    elif args.job == "expire":
+        TableStore(spark, args.versions).expire(args.before)
     else:
         names = (*CORE_MARTS, *EXTRA_MARTS) if args.all_marts else CORE_MARTS
         target = TableTarget(args.target, args.format, dict(args.option))

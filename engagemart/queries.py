@@ -17,7 +17,6 @@ from engagemart.plans import marts as M
 from engagemart.plans import staging as S
 from engagemart.plans.elt import run_elt
 from engagemart.plans.etl import raw_store, run_etl
-from engagemart.schemas import RAW_DOCUMENTS
 from engagemart.scratch import materialize, new_path
 from engagemart.sinks.publish import TableStore, publish
 from engagemart.sinks.tables import write_staging

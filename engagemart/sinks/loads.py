@@ -1,8 +1,8 @@
 """Load strategies for raw tables: replace, upsert, append and history append.
 
-Columns are matched by name. Every load is safe to repeat: replace publishes a new
-version, upsert of the same batch changes nothing, and append overwrites the
-partition of its own slice.
+Columns are matched by name. Every load is safe to repeat: replace and upsert publish
+new versions, the same batch twice changes nothing, and append overwrites the partition
+of its own slice.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ SLICE_COLUMN = "load_slice"
 BUCKET_COLUMN = "key_bucket"
 DEFAULT_BUCKETS = 64
 _SLICE_FIELD = T.StructField(SLICE_COLUMN, T.StringType())
-_BUCKET_FIELD = T.StructField(BUCKET_COLUMN, T.IntegerType())
 _LAYOUT_SCHEMA = "key string, buckets int"
 
 
@@ -77,21 +76,17 @@ class RawStore:
         self.root = root.rstrip("/")
         self.schemas = schemas
         self.buckets = buckets
-        self._versions = TableStore(spark, f"{self.root}/_versions")
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _scan(self, table: str, partition: T.StructField) -> DataFrame:
-        """A table partitioned by one column; empty when nothing was loaded yet."""
-        schema = T.StructType([*self.schemas[table].fields, partition])
-        empty = no_rows(self.spark, schema)
-        empty.write.mode("ignore").partitionBy(partition.name).parquet(self._path(table))
-        return self.spark.read.schema(schema).parquet(self._path(table))
+    def versions(self, table: str) -> TableStore:
+        """Published versions of a replaced or upserted table."""
+        return TableStore(self.spark, self._path(table))
 
     def replace(self, table: str, batch: DataFrame, slice_id: str) -> None:
         """The batch becomes the table."""
-        publish(self._versions, table, align(batch, self.schemas[table]), slice_id)
+        publish(self.versions(table), table, align(batch, self.schemas[table]), slice_id)
 
     def append(self, table: str, batch: DataFrame, slice_id: str | Column) -> None:
         """Add a slice; loading the same slice again puts it in place of itself.
@@ -119,15 +114,18 @@ class RawStore:
         batch: DataFrame,
         key: str,
         recency: Sequence[str] = (),
+        slice_id: str = "load",
     ) -> None:
         """Insert or replace rows by key, rewriting only the key buckets the batch touches.
 
         A key always lives in the bucket its hash names, so untouched buckets are
-        neither read nor written.
+        neither read nor written. The touched ones are published together as new
+        versions: readers see the batch as a whole, and a failure leaves the table as
+        it was.
         """
         buckets = self._bucket_count(table, key)
-        newest = latest_per_key(align(batch, self.schemas[table]), key, recency)
         bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        newest = latest_per_key(align(batch, self.schemas[table]), key, recency)
         written = materialize(newest.withColumn(BUCKET_COLUMN, bucket), f"upsert-{table}")
         if not written.rows:
             return
@@ -138,9 +136,10 @@ class RawStore:
         ).first()
         if profile["nulls"]:
             raise ValueError(f"upsert into {table}: {key} must not be NULL")
-        stored = self._scan(table, _BUCKET_FIELD).where(
-            F.col(BUCKET_COLUMN).isin(profile["touched"])
-        )
+
+        versions = self.versions(table)
+        stored = versions.read_parts(table, self.schemas[table], profile["touched"])
+        stored = stored.withColumn(BUCKET_COLUMN, bucket)
         keys = written.frame.select(key)
         if profile["key_bytes"] <= BROADCAST_BYTES:
             # Stored rows stay in their tasks; only the batch moves, to keep its files few.
@@ -148,12 +147,9 @@ class RawStore:
             merged = _replace_keys(stored, moved, F.broadcast(keys), key)
         else:
             merged = _replace_keys(stored, written.frame, keys, key).hint("rebalance", BUCKET_COLUMN)
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET_COLUMN)
-            .parquet(self._path(table))
-        )
+        run = versions.run(slice_id)
+        run.write_parts(table, merged, BUCKET_COLUMN, profile["touched"])
+        run.commit()
 
     def _bucket_count(self, table: str, key: str) -> int:
         """The bucket count a table was created with; recorded on first use."""
@@ -169,13 +165,17 @@ class RawStore:
         """Current rows of a table, whichever way it is loaded."""
         method = LOAD_METHODS[table][0] if table in LOAD_METHODS else "APPEND"
         if method == "REPLACE":
-            return self._versions.read(table)
-        partition = _BUCKET_FIELD if method == "UPSERT" else _SLICE_FIELD
-        return self._scan(table, partition).drop(partition.name)
+            return self.versions(table).read(table)
+        if method == "UPSERT":
+            return self.versions(table).read_parts(table, self.schemas[table])
+        return self.read_slices(table).drop(SLICE_COLUMN)
 
     def read_slices(self, table: str) -> DataFrame:
         """Rows of an appended table with the slice each came from."""
-        return self._scan(table, _SLICE_FIELD)
+        schema = T.StructType([*self.schemas[table].fields, _SLICE_FIELD])
+        empty = no_rows(self.spark, schema)
+        empty.write.mode("ignore").partitionBy(SLICE_COLUMN).parquet(self._path(table))
+        return self.spark.read.schema(schema).parquet(self._path(table))
 
 
 def load(
@@ -194,7 +194,8 @@ def load(
     elif method == "UPSERT":
         if key is None:
             raise ValueError("UPSERT needs a key")
-        store.upsert(table, batch, key, [name for name in recency if name in batch.columns])
+        known = [name for name in recency if name in batch.columns]
+        store.upsert(table, batch, key, known, slice_id)
     elif method == "APPEND":
         store.append(table, batch, slice_id)
     else:

@@ -1,22 +1,31 @@
-"""Publishing sets of tables so that readers see all of a run or nothing of it.
+"""Publishing tables so that readers see all of a run or nothing of it.
 
-Every run writes its tables into folders of its own. One row appended to a small
-log makes them current, all at once. A run that fails part-way, or is repeated,
-leaves what readers see untouched until its own row is in the log.
+Every run writes its tables into folders of its own. One file appended to a small log
+makes them current, all at once. A run that fails part-way, or is repeated, leaves
+what readers see untouched until its own file is in the log. A table can also be
+published in parts, each replaced on its own.
+
+One store has one writer at a time; readers need no coordination.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from engagemart.schemas import PUBLICATION_LOG
 from engagemart.scratch import literal_rows, no_rows
 
 
+def _part(name: str, number: int) -> str:
+    return f"{name}/{number}"
+
+
 class TableStore:
     """Versioned tables below one root folder."""
 
@@ -34,7 +43,7 @@ class TableStore:
         return self.spark.read.schema(PUBLICATION_LOG).parquet(self._log_path)
 
     def current_paths(self) -> dict[str, str]:
-        """Folder of the current version of every table (one small row per table)."""
+        """Folder of the current version of every table or part (one small row each)."""
         newest = F.max_by("path", F.struct("published_at", "path")).alias("path")
         return {r["table_name"]: r["path"] for r in self.log().groupBy("table_name").agg(newest).collect()}
 
@@ -49,13 +58,44 @@ class TableStore:
             raise LookupError(f"not published under {self.root}: {', '.join(missing)}")
         return {name: self.spark.read.parquet(paths[name]) for name in names}
 
+    def read_parts(
+        self, name: str, schema: T.StructType, numbers: Iterable[int] | None = None
+    ) -> DataFrame:
+        """Some or all parts of a table as of one moment; parts never written are empty."""
+        paths = self.current_paths()
+        if numbers is None:
+            chosen = [path for key, path in paths.items() if key.startswith(f"{name}/")]
+        else:
+            chosen = [paths[_part(name, n)] for n in numbers if _part(name, n) in paths]
+        if not chosen:
+            return no_rows(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(*chosen)
+
     def run(self, run_id: str) -> Run:
         return Run(self, run_id)
 
-    def superseded_paths(self) -> DataFrame:
-        """Folders no longer current, for the storage's own clean-up rules."""
-        current = list(self.current_paths().values())
-        return self.log().where(~F.col("path").isin(current)).select("table_name", "path")
+    def superseded(self, before: datetime | None = None) -> DataFrame:
+        """Folders that are no longer current, optionally only those replaced before a time."""
+        versions = Window.partitionBy("table_name").orderBy("published_at", "path")
+        replaced = self.log().withColumn("replaced_at", F.lead("published_at").over(versions))
+        replaced = replaced.where(F.col("replaced_at").isNotNull())
+        if before is not None:
+            replaced = replaced.where(F.col("replaced_at") < F.lit(before))
+        return replaced.select("table_name", "path", "replaced_at")
+
+    def expire(self, before: datetime) -> int:
+        """Delete folders replaced before a time; returns how many there were to delete.
+
+        Choose a time older than any query that may still read the replaced versions.
+        """
+        context = self.spark.sparkContext
+        file_path = context._jvm.org.apache.hadoop.fs.Path
+        removed = 0
+        for row in self.superseded(before).toLocalIterator():
+            folder = file_path(row["path"])
+            files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+            removed += bool(files.delete(folder, True))
+        return removed
 
 
 class Run:
@@ -74,8 +114,14 @@ class Run:
         self._written[name] = path
         return self.store.spark.read.schema(df.schema).parquet(path)
 
+    def write_parts(self, name: str, df: DataFrame, column: str, numbers: Iterable[int]) -> None:
+        """Write the given parts of a table, told apart by ``column``; each must have rows."""
+        path = f"{self._folder}/{name}"
+        df.write.partitionBy(column).parquet(path)
+        self._written |= {_part(name, n): f"{path}/{column}={n}" for n in numbers}
+
     def commit(self) -> None:
-        """Make all written tables current with one appended row per table, in one file."""
+        """Make everything written current with one appended log file."""
         rows = [
             {"table_name": name, "path": path, "run_id": self.run_id}
             for name, path in self._written.items()

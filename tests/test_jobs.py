@@ -223,6 +223,8 @@ def test_command_line(spark, tmp_path, rows):
     main(["elt", "--source", tables, "--marts", f"{root}-marts", "--run-id", "h4", "--all-marts"])
     main(["export", "--marts", f"{root}-marts", "--target", str(tmp_path / "w" / "{table}"),
           "--format", "orc", "--option", "compression=none", "--all-marts"])
+    main(["expire", "--versions", f"{root}-marts", "--before", "2999-01-01T00:00:00"])
+    assert TableStore(spark, f"{root}-marts").read("popularity_calculation").count() == 4
     exported = spark.read.orc(str(tmp_path / "w" / "popularity_calculation"))
     assert rows(exported) == [("aa", 5, 2), ("bb", 8, 3), ("cc", 4, 1), (None, 11, 4)]
 

@@ -97,7 +97,7 @@ def test_untouched_buckets_are_left_alone(spark):
     s.upsert("media", batch(spark, *[(str(i), i, T1) for i in range(200)]), "media_id")
 
     def files():
-        return set(spark.read.parquet(f"{s.root}/media").inputFiles())
+        return set(s.read("media").inputFiles())
 
     before = files()
     s.upsert("media", batch(spark, ("7", -7, T2)), "media_id")
@@ -105,6 +105,24 @@ def test_untouched_buckets_are_left_alone(spark):
     assert len({path.split("key_bucket=")[1].split("/")[0] for path in gone}) == 1
 
 
+def test_a_failed_upsert_leaves_the_table_as_it_was(spark, monkeypatch):
+    s = store(spark)
+    s.upsert("media", batch(spark, ("a", 1, T1)), "media_id")
+    monkeypatch.setattr("engagemart.sinks.publish.Run.commit", lambda run: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        s.upsert("media", batch(spark, ("a", 2, T2), ("b", 2, T2)), "media_id")
+    assert stored(s) == [("a", 1)]
+
+
+def test_a_reader_keeps_its_version_during_an_upsert(spark):
+    s = store(spark)
+    s.upsert("media", batch(spark, ("a", 1, T1)), "media_id")
+    reader = s.read("media")
+    s.upsert("media", batch(spark, ("a", 2, T2)), "media_id")
+    assert [r.like_count for r in reader.collect()] == [1]
+    assert stored(s) == [("a", 2)]
+
+
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 5)), max_size=15), min_size=1, max_size=3))
 def test_upserts_follow_a_dictionary(spark, batches):

@@ -1,4 +1,8 @@
+import os
+from datetime import datetime, timedelta
+
 import pytest
+from pyspark.sql import functions as F
 
 from engagemart.scratch import new_path
 from engagemart.sinks.publish import TableStore, publish, publish_all
@@ -20,7 +24,7 @@ def test_repeated_run_does_not_add_rows(spark):
     for _ in range(2):
         publish(s, "t", spark.range(3), "r1")
     assert s.read("t").count() == 3
-    assert s.superseded_paths().count() == 1
+    assert s.superseded().count() == 1
 
 
 def test_a_table_can_be_rebuilt_from_itself(spark, rows):
@@ -50,3 +54,35 @@ def test_empty_table(spark):
     s = store(spark)
     publish(s, "t", spark.range(0), "r1")
     assert s.read("t").count() == 0 and s.read("t").columns == ["id"]
+
+
+def test_expire_removes_only_old_replaced_versions(spark):
+    s = store(spark)
+    for n in (1, 2, 3):
+        publish(s, "t", spark.range(n), f"r{n}")
+    publish(s, "other", spark.range(4), "r3")
+    before_third = s.log().where("run_id = 'r3'").agg(F.min("published_at")).first()[0]
+    old = s.superseded().collect()
+    assert s.expire(before_third) == 1
+    assert (s.read("t").count(), s.read("other").count()) == (3, 4)
+    left = [row.path for row in old if os.path.exists(row.path.removeprefix("file:"))]
+    assert len(old) == 2 and len(left) == 1
+    assert s.expire(datetime.now() + timedelta(days=2)) == 1
+    assert (s.read("t").count(), s.read("other").count()) == (3, 4)
+
+
+def test_parts_are_replaced_one_by_one(spark, rows):
+    s = store(spark)
+    df = spark.range(6).selectExpr("id", "cast(id % 3 as int) part")
+    schema = df.select("id").schema
+    assert rows(s.read_parts("t", schema)) == []
+    run = s.run("r1")
+    run.write_parts("t", df, "part", [0, 1, 2])
+    assert rows(s.read_parts("t", schema)) == []
+    run.commit()
+    run = s.run("r2")
+    run.write_parts("t", df.where("part = 1").withColumn("id", -df.id), "part", [1])
+    run.commit()
+    assert rows(s.read_parts("t", schema)) == sorted([(0,), (3,), (-1,), (-4,), (2,), (5,)], key=repr)
+    assert rows(s.read_parts("t", schema, [1, 7])) == [(-1,), (-4,)]
+    assert s.superseded().first().table_name == "t/1"
