@@ -29,13 +29,16 @@ def default_rules(entity: str) -> list[Q.Rule]:
     return rules
 
 
+def rules_for(entity: str, contract: Sequence[Row] | None = None) -> list[Q.Rule]:
+    return default_rules(entity) if contract is None else Q.rules_from_contract(contract)
+
+
 def stage_and_check(
     raw: DataFrame,
     entity: str,
     logical_date: str,
     stage_path: str,
     contract: Sequence[Row] | None = None,
-    rules: Sequence[Q.Rule] | None = None,
     fmt: str = STAGING_FORMAT,
 ) -> DataFrame:
     """Write the staged slice and return it; raises before anything is loaded.
@@ -45,16 +48,25 @@ def stage_and_check(
     staged = STAGERS[entity](raw, logical_date)
     if contract is not None:
         staged = contracts.project(staged, list(contract))
-        rules = rules if rules is not None else Q.rules_from_contract(contract)
-    elif rules is None:
-        rules = default_rules(entity)
-    Q.enforce(Q.verify_written(staged, rules, entity, stage_path, fmt))
+    Q.enforce(Q.verify_written(staged, rules_for(entity, contract), entity, stage_path, fmt))
     return raw.sparkSession.read.schema(staged.schema).format(fmt).load(stage_path)
 
 
-def load_entity(store: RawStore, entity: str, staged: DataFrame, slice_id: str) -> None:
+def load_slice(
+    store: RawStore,
+    entity: str,
+    raw: DataFrame,
+    stage_path: str,
+    logical_date: str,
+    slice_id: str,
+    contract: Sequence[Row] | None = None,
+    fmt: str = STAGING_FORMAT,
+) -> None:
+    """Stage, check and load one slice with the entity's strategy."""
+    staged = stage_and_check(raw, entity, logical_date, stage_path, contract, fmt)
     method, key, has_log = K.LOAD_METHODS[entity]
-    load(store, entity, staged, slice_id, method, key, has_log)
+    checked_unique = key is not None and Q.unique(key) in rules_for(entity, contract)
+    load(store, entity, staged, slice_id, method, key, has_log, keys_unique=checked_unique)
 
 
 def run_etl(
@@ -69,8 +81,7 @@ def run_etl(
     fmt: str = STAGING_FORMAT,
 ) -> None:
     raw = read_slice(store.spark, slice_path, RAW_DOCUMENTS[entity], multi_line)
-    staged = stage_and_check(raw, entity, logical_date, stage_path, contract, fmt=fmt)
-    load_entity(store, entity, staged, slice_id)
+    load_slice(store, entity, raw, stage_path, logical_date, slice_id, contract, fmt)
 
 
 def raw_store(spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS) -> RawStore:

@@ -115,9 +115,13 @@ class RawStore:
         key: str,
         recency: Sequence[str] = (),
         slice_id: str = "load",
+        keys_unique: bool = False,
     ) -> None:
         """Insert or replace rows by key, rewriting only the key buckets the batch touches.
 
+        ``keys_unique`` spares the search for the newest row per key where a check has
+        already proven that no key occurs twice in the batch.
+
         A key always lives in the bucket its hash names, so untouched buckets are
         neither read nor written. The touched ones are published together as new
         versions: readers see the batch as a whole, and a failure leaves the table as
@@ -125,7 +129,9 @@ class RawStore:
         """
         buckets = self._bucket_count(table, key)
         bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-        newest = latest_per_key(align(batch, self.schemas[table]), key, recency)
+        newest = align(batch, self.schemas[table])
+        if not keys_unique:
+            newest = latest_per_key(newest, key, recency)
         written = materialize(newest.withColumn(BUCKET_COLUMN, bucket), f"upsert-{table}")
         if not written.rows:
             return
@@ -187,6 +193,7 @@ def load(
     key: str | None = None,
     has_log: bool = False,
     recency: Sequence[str] = ("updated_at",),
+    keys_unique: bool = False,
 ) -> None:
     """Load a checked batch with the entity's strategy, then its history."""
     if method == "REPLACE":
@@ -195,7 +202,7 @@ def load(
         if key is None:
             raise ValueError("UPSERT needs a key")
         known = [name for name in recency if name in batch.columns]
-        store.upsert(table, batch, key, known, slice_id)
+        store.upsert(table, batch, key, known, slice_id, keys_unique)
     elif method == "APPEND":
         store.append(table, batch, slice_id)
     else:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StreamingQuery
 
-from engagemart.plans.etl import load_entity, stage_and_check
+from engagemart.plans.etl import load_slice
 from engagemart.schemas import RAW_DOCUMENTS
 from engagemart.sinks.loads import RawStore
 from engagemart.sinks.tables import STAGING_FORMAT
@@ -48,10 +48,8 @@ def ingest_available(
     def load_batch(raw: DataFrame, batch_id: int) -> None:
         stream_id = raw.sparkSession.sparkContext.getLocalProperty(_STREAM_ID)
         slice_id = f"{stream_id}-{batch_id:09d}"
-        staged = stage_and_check(
-            raw, entity, logical_date, f"{stage_root}/{slice_id}", contract, fmt=fmt
-        )
-        load_entity(store, entity, staged, slice_id)
+        stage_path = f"{stage_root}/{slice_id}"
+        load_slice(store, entity, raw, stage_path, logical_date, slice_id, contract, fmt)
 
     query = (
         reader.json(raw_path)

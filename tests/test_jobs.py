@@ -98,6 +98,12 @@ def test_contract_rules_and_columns_apply(spark, store, tmp_path):
         etl(store, tmp_path, "media", "h3", [media("b")], contract=missing)
 
 
+def test_contract_without_unique_key_keeps_the_newest_row(store, tmp_path):
+    loose = [Row(**(row.asDict() | {"unique_name": None})) for row in CONTRACT]
+    etl(store, tmp_path, "media", "h1", [media("a", 1), media("a", 5), media("b")], contract=loose)
+    assert sorted((r.media_id, r.like_count) for r in store.read("media").collect()) == [("a", 5), ("b", 3)]
+
+
 def test_elt_publishes_core_marts(spark, rows):
     store = TableStore(spark, new_path(spark, "test-marts"))
     tables = raw.tables(spark)
