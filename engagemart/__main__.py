@@ -12,7 +12,7 @@ from pathlib import PurePosixPath
 
 from pyspark.sql import Row, SparkSession
 
-from engagemart.constants import CORE_MARTS, EXTRA_MARTS
+from engagemart.constants import AVERAGE_DIGITS, CORE_MARTS, EXTRA_MARTS, TOP_HASHTAGS
 from engagemart.plans.elt import export_marts, run_elt
 from engagemart.plans.etl import raw_store, run_etl
 from engagemart.schemas import CONTRACT
@@ -69,6 +69,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     elt.add_argument("--run-id", required=True)
     elt.add_argument("--all-marts", action="store_true")
     elt.add_argument("--no-gate", action="store_true")
+    elt.add_argument("--no-post-time", action="store_true", help="brand_information without it")
+    elt.add_argument("--top-hashtags", type=int, default=TOP_HASHTAGS, help="0 keeps all")
+    elt.add_argument("--average-digits", type=int, default=AVERAGE_DIGITS, help="-1 for no rounding")
 
     export = jobs.add_parser("export", help="copy published marts into a warehouse")
     export.add_argument("--marts", required=True)
@@ -126,6 +129,9 @@ def main(argv: list[str] | None = None) -> None:
             args.run_id,
             with_gate=not args.no_gate,
             all_marts=args.all_marts,
+            round_avg=None if args.average_digits < 0 else args.average_digits,
+            top_k=args.top_hashtags or None,
+            with_post_time=not args.no_post_time,
         )
     elif args.job == "expire":
         TableStore(spark, args.versions).expire(args.before)

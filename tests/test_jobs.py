@@ -229,6 +229,11 @@ def test_command_line(spark, tmp_path, rows):
     main(["elt", "--source", tables, "--marts", f"{root}-marts", "--run-id", "h4", "--all-marts"])
     main(["export", "--marts", f"{root}-marts", "--target", str(tmp_path / "w" / "{table}"),
           "--format", "orc", "--option", "compression=none", "--all-marts"])
+    variant = TableStore(spark, f"{root}-variant")
+    main(["elt", "--source", tables, "--marts", variant.root, "--run-id", "h4", "--no-gate", "--no-post-time",
+          "--top-hashtags", "2", "--average-digits", "-1"])
+    assert variant.read("hashtag_count").count() == 2
+    assert "post_time" not in variant.read("brand_information").columns
     main(["expire", "--versions", f"{root}-marts", "--before", "2999-01-01T00:00:00"])
     assert TableStore(spark, f"{root}-marts").read("popularity_calculation").count() == 4
     exported = spark.read.orc(str(tmp_path / "w" / "popularity_calculation"))
