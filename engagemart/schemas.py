@@ -122,3 +122,5 @@ CHECK_RESULTS = struct(
     threshold=T.DoubleType(),
     passed=T.BooleanType(),
 )
+
+BUCKET_LAYOUT = struct(key=_STRING, buckets=_INT)

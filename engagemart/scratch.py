@@ -7,6 +7,7 @@ than the running stage.
 
 from __future__ import annotations
 
+import json
 import tempfile
 from dataclasses import dataclass
 from uuid import uuid4
@@ -37,10 +38,10 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/engagemart/{label}-{uuid4().hex}"
 
 
-def literal_rows(spark: SparkSession, rows: list[dict[str, object]]) -> DataFrame:
-    """A handful of constant rows in one partition, without shipping them from Python."""
-    structs = [F.struct(*[F.lit(v).alias(k) for k, v in row.items()]) for row in rows]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+def literal_rows(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A few constant rows in one partition, carried in the plan as a single literal."""
+    parsed = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(schema))
+    return spark.range(0, 1, 1, 1).select(F.inline(parsed))
 
 
 def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from engagemart.constants import LOAD_METHODS
 from engagemart.operators.latest import latest_per_key
 from engagemart.operators.lookup import BROADCAST_BYTES, row_bytes
+from engagemart.schemas import BUCKET_LAYOUT
 from engagemart.scratch import literal_rows, materialize, no_rows
 from engagemart.sinks.publish import TableStore, publish
 
@@ -23,7 +24,6 @@ SLICE_COLUMN = "load_slice"
 BUCKET_COLUMN = "key_bucket"
 DEFAULT_BUCKETS = 64
 _SLICE_FIELD = T.StructField(SLICE_COLUMN, T.StringType())
-_LAYOUT_SCHEMA = "key string, buckets int"
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -160,9 +160,11 @@ class RawStore:
     def _bucket_count(self, table: str, key: str) -> int:
         """The bucket count a table was created with; recorded on first use."""
         path = f"{self.root}/_layout/{table}"
-        layout = literal_rows(self.spark, [{"key": key, "buckets": self.buckets}])
+        layout = literal_rows(
+            self.spark, [{"key": key, "buckets": self.buckets}], BUCKET_LAYOUT
+        )
         layout.write.mode("ignore").json(path)
-        stored = self.spark.read.schema(_LAYOUT_SCHEMA).json(path).first()
+        stored = self.spark.read.schema(BUCKET_LAYOUT).json(path).first()
         if stored["key"] != key:
             raise ValueError(f"{table} is keyed by {stored['key']}, not {key}")
         return stored["buckets"]

@@ -126,7 +126,7 @@ class Run:
             {"table_name": name, "path": path, "run_id": self.run_id}
             for name, path in self._written.items()
         ]
-        entry = literal_rows(self.store.spark, rows)
+        entry = literal_rows(self.store.spark, rows, PUBLICATION_LOG).drop("published_at")
         entry = entry.withColumn("published_at", F.current_timestamp())
         entry.write.mode("append").parquet(self.store._log_path)
 

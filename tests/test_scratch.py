@@ -3,6 +3,7 @@ from types import SimpleNamespace
 import pytest
 
 from engagemart import scratch
+from engagemart.schemas import BUCKET_LAYOUT
 
 
 def session(master, folder=None, checkpoint=None):
@@ -30,3 +31,10 @@ def test_materialize_keeps_schema_and_counts(spark):
     assert written.rows == 5 and written.frame.columns == ["id", "s"]
     empty = scratch.materialize(spark.range(0), "t")
     assert empty.rows == 0 and empty.frame.collect() == []
+
+
+def test_literal_rows(spark):
+    values = [{"key": f"a'\"\\n{i}", "buckets": i} for i in range(5000)] + [{"key": None, "buckets": None}]
+    got = scratch.literal_rows(spark, values, BUCKET_LAYOUT)
+    assert [r.asDict() for r in got.collect()] == values
+    assert scratch.literal_rows(spark, [], BUCKET_LAYOUT).count() == 0
