@@ -1,0 +1,140 @@
+"""Plain versions of the operators, for small inputs."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BLANK = re.compile(r"[\x20\x09-\x0D]")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def exact(docs):
+    groups = defaultdict(list)
+    for i, text in docs:
+        groups[BLANK.sub("", text or "")].append((-len(text or ""), i))
+    out = []
+    for i, text in docs:
+        norm = BLANK.sub("", text or "")
+        keep = min(groups[norm])[1]
+        out.append((i, keep, len(groups[norm]), i == keep, hashlib.sha256(norm.encode()).hexdigest()))
+    return sorted(out)
+
+
+def counts(text):
+    words, text = WORD.findall(text or ""), text or ""
+    windows = Counter(tuple(words[k : k + 8]) for k in range(len(words) - 7))
+    hit = {k + j for k in range(len(words) - 7) if windows[tuple(words[k : k + 8])] > 1 for j in range(8)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit)
+
+
+def licenses(text, phrases):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    places = [
+        (k, label)
+        for phrase, label in phrases.items()
+        for k in range(len(words))
+        if words[k : k + len(phrase.split())] == phrase.split()
+    ]
+    starts = [k for k, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
+
+
+def shingles(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+
+def near(docs):
+    sets = {i: shingles(text) for i, text in docs}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            small, large = sorted((len(sets[a]), len(sets[b])))
+            if not small or 100 * small < 80 * large:
+                continue
+            shared = len(sets[a] & sets[b])
+            if 100 * shared >= 80 * (small + large - shared):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return sorted((i, len(sets[i]), find(i)) for i in ids)
+
+
+def substrings(docs, width=50):
+    words = {i: WORD.findall(text or "") for i, text in docs}
+    first = {}
+    for i in sorted(words):
+        for k in range(len(words[i]) - width + 1):
+            first.setdefault(tuple(words[i][k : k + width]), i)
+    out = []
+    for i, own in words.items():
+        gone = set()
+        for k in range(len(own) - width + 1):
+            if first[tuple(own[k : k + width])] < i:
+                gone.update(range(k, k + width))
+        kept = " ".join(w for k, w in enumerate(own) if k not in gone)
+        out.append((i, len(own), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out)
+
+
+def byte_spans(docs, width=400):
+    data = [(i, (text or "").encode()) for i, text in docs]
+    seen = Counter(own[k : k + width] for _, own in data for k in range(len(own) - width + 1))
+    out = []
+    for i, own in data:
+        gone = bytearray(len(own))
+        end = 0
+        for k in range(len(own) - width + 1):
+            if seen[own[k : k + width]] > 1:
+                begin = max(k, end)
+                gone[begin : k + width] = b"\x01" * (k + width - begin)
+                end = k + width
+        spans = len(re.findall(b"\x01+", bytes(gone)))
+        kept = bytes(b for b, g in zip(own, gone, strict=True) if not g)
+        out.append((i, len(own), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def revisits(pages, least=0):
+    newest = {}
+    for i, html in pages:
+        payload = (html or "").encode()
+        if len(payload) >= least:
+            newest[payload] = max(newest.get(payload, i), i)
+    out = []
+    for i, html in pages:
+        payload = (html or "").encode()
+        response = newest.get(payload, i)
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        out.append((i, len(payload), digest, "response" if response == i else "revisit", None if response == i else response))
+    return sorted(out)
+
+
+def mix_targets(sizes):
+    """Targets by source from sizes by source: shares of 150 %, stopped at twice, reshared until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    left, stopped, open_ = 1.5 * sum(sizes.values()), {}, set(names)
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        over = {s for s in open_ if level * weight[s] > 2 * sizes[s]}
+        if not over:
+            return stopped | {s: level * weight[s] for s in open_}
+        for s in over:
+            stopped[s] = 2.0 * sizes[s]
+            left -= stopped[s]
+        open_ -= over
+    return stopped
