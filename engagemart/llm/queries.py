@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from engagemart.llm import decision_list, exact_dedup, license_scan, mixing, packing, partenum, sharding, warc
+from engagemart.llm import (
+    bwt_dedup,
+    decision_list,
+    exact_dedup,
+    license_scan,
+    mixing,
+    packing,
+    partenum,
+    sharding,
+    suffix_trees,
+    warc,
+)
 from engagemart.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +39,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -48,16 +63,22 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding,
         op2_license_scan,
         op3_quality_rules,
+        op4_suffix_array_dedup,
         op5_best_fit_packing,
         op6_exact_dedup,
         op7_ngram_jaccard_join,
         op8_mixing,
         op9_warc,
+        op10_substring_dedup,
     )
 }
