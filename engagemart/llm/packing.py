@@ -10,6 +10,8 @@ is lost by packing in parts.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -23,16 +25,31 @@ from engagemart.llm.common import counted, id_and_text, new_path, parts
 
 CAPACITY, END_ID = 4096, 1
 #: Pieces packed by one task; words whose ids a worker keeps at hand.
-PART_PIECES, KEPT_WORDS = 8_000, 400_000
+PART_PIECES, KEPT_WORDS = 8_000, 800_000
 #: Sequences with more than this part of their room left are packed again.
 LOOSE = 0.01
 
 
+#: What the tokenizer's own split finds in lower-cased words of Latin-1 characters.
+_LETTERS, _DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}]+")
+_PLAIN = re.compile("[!-~¡-ÿ]+")
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it prints, else the next from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [byte for byte in range(256) if byte not in shown]
+    return [chr(byte) if byte in shown else chr(256 + others.index(byte)) for byte in range(256)]
+
+
 class _WordIds:
     """Ids of words as little-endian bytes.
 
     The tokenizer drops white space and no token spans it, so a text's ids are those of its
-    words one after the other; the frequent words are encoded once per worker.
+    words one after the other; each word is encoded once per worker. Words of Latin-1
+    characters only, which normalising leaves alone but for case, are split here and go to the
+    vocabulary's merges part by part; others go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -40,18 +57,31 @@ class _WordIds:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._ids: dict[bytes, bytes] = {}
+        self._model, self._letters = self._tokenizer.model, _byte_letters()
+        self._words: dict[bytes, bytes] = {}
+        self._parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        found = self._parts.get(part)
+        if found is None:
+            shown = part if part.isascii() else "".join([self._letters[byte] for byte in part.encode()])
+            ids = [token.id for token in self._model.tokenize(shown)]
+            found = self._parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join([self._part(part) for part in _PARTS.findall(text.lower())])
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        words = [text.encode().split() for text in texts]
-        if len(self._ids) > KEPT_WORDS:
-            self._ids.clear()
-        fresh = list({word for row in words for word in row if word not in self._ids})
-        for word, encoded in zip(
-            fresh, self._tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False), strict=True
-        ):
-            self._ids[word] = np.array(encoded.ids, "<u4").tobytes()
-        ids = self._ids
+        words, ids = [text.encode().split() for text in texts], self._words
+        if len(ids) + len(self._parts) > KEPT_WORDS:
+            ids.clear()
+            self._parts.clear()
+        for word in set().union(*words).difference(ids):
+            ids[word] = self._word(word)
         return [b"".join([ids[word] for word in row]) for row in words]
 
 
