@@ -11,8 +11,10 @@ where it has not, parts are single shingles: the first n - needed + 1 in hash or
 which similar sets always share one.
 
 Sets that share a signature are candidates, and every link is verified on the texts. Inside
-a group, members are first compared with one of them; only members that stay apart from
-the rest are compared with the others, so groups of copies cost one comparison a member.
+a group, members are first compared with its first; only members that stay apart from the rest are
+compared with the others, so groups of copies cost one comparison a member. Those further
+comparisons are made on parity sketches, which bound the differences of two sets from below: a pair is verified
+unless the bound proves it dissimilar.
 """
 
 from __future__ import annotations
@@ -32,7 +34,11 @@ SHINGLE_WORDS, PERCENT = 5, 80
 #: Smallest sets that get signatures of parts; smaller ones get single shingles.
 PART_SIZE = 128
 #: Text per reduce task of the signature join; partners compared with one document by one task.
-SLOT_BYTES, PARTNERS = 4 << 20, 64
+SLOT_BYTES, PARTNERS = 16 << 20, 64
+#: A size band uses one of so many parts of the tasks.
+BAND_SHARE = 8
+#: Bits of a set's parity sketch; members of one group whose sketches one task compares.
+SKETCH_BITS, BLOCK = 2048, 4_000
 #: Signatures a worker holds before it hands them on.
 HELD_SIGNATURES = 1 << 20
 _CELLS = 3
@@ -76,8 +82,8 @@ def shingle_sets(
 
 def signatures(
     shingles: np.ndarray, counts: np.ndarray, percent: int = PERCENT, part_size: int = PART_SIZE
-) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, row) of every row's set, in the join of its band and of the band below."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, row, band joined) of every row's set, in the join of its band and of the band below."""
     found, rows = [], np.arange(len(counts))
     edges = bands(percent, int(counts.max(initial=1)))
     band = np.searchsorted(edges, counts, "right") - 1
@@ -98,7 +104,7 @@ def signatures(
     for down in (0, 1):
         join = np.maximum(band - down, 0)
         name = mix(join.astype(np.uint64) + np.uint64(1) << np.uint64(32))
-        found.append((mix(singles ^ name[owner]), owner))
+        found.append((mix(singles ^ name[owner]), owner, join[owner]))
         # differences of a similar pair whose smaller set is in the band, at the most
         differ = (edges[join + 1] - 1) * (100 + percent) // percent * (100 - percent) // (100 + percent) + 1
         part_count = np.where(many, differ // 2 + 1, 0)
@@ -114,8 +120,8 @@ def signatures(
             one, other = sums[:, (left_out + 1) % _CELLS], sums[:, (left_out + 2) % _CELLS]
             held = np.flatnonzero((one != 0) | (other != 0))
             value = mix(label[held] * np.uint64(_CELLS) + np.uint64(left_out)) + one[held] + mix(other[held])
-            found.append((mix(value), row[held]))
-    return np.concatenate([s for s, _ in found]), np.concatenate([r for _, r in found])
+            found.append((mix(value), row[held], join[row[held]]))
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
 
 def _set_prints(shingles: np.ndarray, counts: np.ndarray) -> list[bytes]:
@@ -128,8 +134,20 @@ def _set_prints(shingles: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [a.tobytes() + b.tobytes() for a, b in zip(*halves, strict=True)]
 
 
+def _sketches(shingles: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """For each set and bit, whether an odd number of its shingles fall on the bit.
+
+    A shingle in one set only changes one bit, so sets differ in at least as many shingles as
+    their sketches in bits.
+    """
+    bit = (mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(32)).astype(np.int64) % SKETCH_BITS
+    row = np.repeat(np.arange(len(counts)), counts)
+    odd = np.bincount(row * SKETCH_BITS + bit, minlength=len(counts) * SKETCH_BITS) & 1
+    return [bits.tobytes() for bits in np.packbits(odd.astype(np.uint8).reshape(-1, SKETCH_BITS), axis=1)]
+
+
 def set_prints(given: DataFrame, width: int) -> DataFrame:
-    """(_id, _n, _print) of each document: size and fingerprint of its set."""
+    """(_id, _n, _print, _sketch) of each document's set: size, fingerprint and parity sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -141,26 +159,30 @@ def set_prints(given: DataFrame, width: int) -> DataFrame:
                         batch.column("_id").slice(first, last - first),
                         pa.array(counts.astype(np.int64)),
                         pa.array(_set_prints(shingles, counts), pa.binary()),
+                        pa.array(_sketches(shingles, counts), pa.binary()),
                     ],
-                    ["_id", "_n", "_print"],
+                    ["_id", "_n", "_print", "_sketch"],
                 )
 
     kind = given.schema["_id"].dataType.simpleString()
-    return given.mapInArrow(run, f"_id {kind}, _n bigint, _print binary")
+    return given.mapInArrow(run, f"_id {kind}, _n bigint, _print binary, _sketch binary")
 
 
-def signature_groups(given: DataFrame, slots: int, width: int, percent: int, part_size: int) -> DataFrame:
-    """(_members): the documents that share a signature, ascending, two or more; equal groups of a slot once.
+def signature_stars(given: DataFrame, slots: int, width: int, percent: int, part_size: int) -> DataFrame:
+    """(_a, _others): documents that are first in groups with one signature, and the others in those groups.
 
-    Of equal sets in one input partition, the first stands for all.
+    A document can come once from each slot. Of equal sets in one input partition, the first stands for all.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, seen, held, names, size = Powers(), set(), [], [], 0
+        powers, seen, held, size = Powers(), set(), [], 0
 
         def packed() -> pa.RecordBatch:
-            values, owners = np.concatenate(held), np.concatenate(names)
-            slot = (values >> np.uint64(40)).astype(np.int64) % slots
+            values, owners, joins = (np.concatenate(column) for column in zip(*held, strict=True))
+            # a band goes to a share of the slots, so that a group's signatures meet in few
+            first = mix(joins.astype(np.uint64)) % np.uint64(slots)
+            spread = (values >> np.uint64(40)) % np.uint64(max(1, slots // BAND_SHARE))
+            slot = ((first + spread) % np.uint64(slots)).astype(np.int64)
             order = np.argsort(slot, kind="stable")
             cuts = np.searchsorted(slot[order], np.arange(slots + 1))
             full = np.flatnonzero(np.diff(cuts))
@@ -183,13 +205,12 @@ def signature_groups(given: DataFrame, slots: int, width: int, percent: int, par
                         seen.add(own)
                         fresh[k] = True
                 shingles = shingles[np.repeat(fresh, counts)]
-                values, rows = signatures(shingles, np.where(fresh, counts, 0), percent, part_size)
-                held.append(values)
-                names.append(ids[first + rows])
+                values, rows, joins = signatures(shingles, np.where(fresh, counts, 0), percent, part_size)
+                held.append((values, ids[first + rows], joins))
                 size += len(values)
                 if size >= HELD_SIGNATURES:
                     yield packed()
-                    held, names, size = [], [], 0
+                    held, size = [], 0
         if size:
             yield packed()
 
@@ -203,16 +224,17 @@ def signature_groups(given: DataFrame, slots: int, width: int, percent: int, par
         values, owners = values[fresh], owners[fresh]
         cuts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
         counts = np.diff(np.append(cuts, len(values)))
-        group_print = np.add.reduceat(mix(owners.astype(np.uint64)), cuts)
-        group_print[counts < 2] = 0  # those of one member count as one group, left out below
-        _, chosen = np.unique(group_print, return_index=True)
-        chosen = np.sort(chosen[counts[chosen] > 1])
-        counts, cuts = counts[chosen], cuts[chosen]
-        places = np.repeat(cuts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        return pa.table({"_members": lists(owners[places], counts)})
+        # (first member, other member) of every group, each once
+        first = np.repeat(owners[cuts], counts - 1)
+        others = np.ones(len(owners), bool)
+        others[cuts] = False
+        pairs = np.unique(np.stack([first, owners[others]]), axis=1)
+        heads = np.flatnonzero(np.concatenate([[True], pairs[0, 1:] != pairs[0, :-1]])) if pairs.size else np.zeros(0, int)
+        amounts = np.diff(np.append(heads, pairs.shape[1]))
+        return pa.table({"_a": pairs[0, heads], "_others": lists(pairs[1], amounts)})
 
     blobs = given.mapInArrow(emit, "_slot int, _signatures binary, _owners binary")
-    return blobs.groupBy("_slot").applyInArrow(gather, "_members array<bigint>")
+    return blobs.groupBy("_slot").applyInArrow(gather, "_a bigint, _others array<bigint>")
 
 
 def verified(given: DataFrame, pairs: DataFrame, count: int, width: int, percent: int) -> DataFrame:
@@ -256,6 +278,82 @@ def verified(given: DataFrame, pairs: DataFrame, count: int, width: int, percent
     return written(together.mapInArrow(run, "_a bigint, _b bigint"), "near-links")
 
 
+def _pairs_of_block(percent: int):
+    """Pairs of a block that are in different components, one of them unsettled, and not proven dissimilar."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, sizes, component, block = (table.column(c).to_numpy() for c in ("_b", "_n", "_component", "_block"))
+        odd = table.column("_odd").to_numpy(zero_copy_only=False)
+        sketch = np.frombuffer(b"".join(x.as_py() for x in table.column("_sketch")), np.uint64)
+        sketch = sketch.reshape(len(ids), SKETCH_BITS // 64)
+        low, high = table.column("_low")[0].as_py(), table.column("_high")[0].as_py()
+        one, other = np.flatnonzero((block == low) & odd), np.flatnonzero(block == high)
+        if low != high:
+            one = np.concatenate([one, np.flatnonzero((block == high) & odd)])
+            other = np.concatenate([other, np.flatnonzero(block == low)])
+        found = []
+        for k in one:
+            total = sizes[other] + sizes[k]
+            fits = (component[other] != component[k]) & (
+                100 * np.minimum(sizes[other], sizes[k]) >= percent * np.maximum(sizes[other], sizes[k])
+            )
+            near = other[fits]
+            differ = np.bitwise_count(sketch[near] ^ sketch[k]).sum(axis=1)
+            near = near[differ * (100 + percent) <= (100 - percent) * total[fits]]
+            found.append(np.stack([np.minimum(ids[near], ids[k]), np.maximum(ids[near], ids[k])]))
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.table({"_a": pairs[0], "_b": pairs[1]})
+
+    return run
+
+
+def possible(pairs: DataFrame, count: int, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (_a, _b) that their sizes and sketches do not prove dissimilar."""
+    for side in ("_a", "_b"):
+        known = sets.select(F.col("_id").alias(side), F.col("_n").alias(f"{side}n"), F.col("_sketch").alias(f"{side}s"))
+        pairs = small(pairs, count, 350).join(known, side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketches = [
+                np.frombuffer(b"".join(x.as_py() for x in batch.column(c)), np.uint64).reshape(-1, SKETCH_BITS // 64)
+                for c in ("_as", "_bs")
+            ]
+            total = batch.column("_an").to_numpy() + batch.column("_bn").to_numpy()
+            differ = np.bitwise_count(sketches[0] ^ sketches[1]).sum(axis=1).astype(np.int64)
+            yield batch.select(["_a", "_b"]).filter(pa.array(differ * (100 + percent) <= (100 - percent) * total))
+
+    fits = 100 * F.least("_an", "_bn") >= percent * F.greatest("_an", "_bn")
+    return pairs.filter(fits).mapInArrow(run, "_a bigint, _b bigint").distinct()
+
+
+def _rest_pairs(stars: DataFrame, sets: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
+    """Pairs (_a, _b) of members of one group that the links so far leave open.
+
+    ``stars`` has (_a first member, _b other member). A member in the first's component is
+    settled with it; every other member is compared with all members, large groups block by block.
+    """
+    known, count = counted(components(linked), "near-components")
+    for side in ("_a", "_b"):
+        column = small(known.select(F.col("_node").alias(side), F.col("_component").alias(f"{side}c")), count, 24)
+        stars = stars.join(column, side, "left").withColumn(f"{side}c", F.coalesce(f"{side}c", side))
+    stars = stars.withColumn("_odd", F.col("_ac") != F.col("_bc"))
+    sizes = stars.groupBy("_a").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"), F.count_if("_odd").alias("_odds")
+    )
+    sizes, groups = counted(sizes.filter("_odds > 0").select("_a", "_blocks"), "near-open")
+    members = stars.join(small(sizes, groups, 24), "_a").select("_a", "_b", "_odd", F.col("_bc").alias("_component"), "_blocks")
+    members, rows = counted(members, "near-members")
+    if not rows:
+        return members.select("_a", "_b")
+    members = small(members, rows, 64).join(sets.select(F.col("_id").alias("_b"), "_n", "_sketch").distinct(), "_b")
+    members = members.withColumn("_block", F.pmod(F.xxhash64("_b"), "_blocks").cast("int"))
+    members = members.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    members = members.withColumns({"_low": F.least("_block", "_with"), "_high": F.greatest("_block", "_with")})
+    pairs = members.groupBy("_a", "_low", "_high").applyInArrow(_pairs_of_block(percent), "_a bigint, _b bigint")
+    return pairs.distinct()
+
+
 def near_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -280,18 +378,8 @@ def near_components(
         sets.join(classes, "_print", "left").select("_id", "_n", F.coalesce("_class", "_id").alias("_class")), "near-nodes"
     )
     groups = written(
-        signature_groups(given, parts(size, SLOT_BYTES), width, percent, part_size), "near-groups"
-    ).withColumn("_group", F.xxhash64("_members"))
-
-    def named(pairs: DataFrame) -> DataFrame:
-        """Pairs of ids as distinct pairs of classes of comparable size."""
-        for side in ("_a", "_b"):
-            known = small(nodes.select(F.col("_id").alias(side), F.col("_class").alias(f"{side}c"), F.col("_n").alias(f"{side}n")).distinct(), rows, 40)
-            pairs = pairs.join(known, side).drop(side)
-        fits = 100 * F.least("_an", "_bn") >= percent * F.greatest("_an", "_bn")
-        return pairs.filter((F.col("_ac") != F.col("_bc")) & fits).select(
-            *(c for c in pairs.columns if c[:2] not in ("_a", "_b")), F.col("_ac").alias("_a"), F.col("_bc").alias("_b")
-        )
+        signature_stars(given, parts(size, SLOT_BYTES), width, percent, part_size), "near-groups"
+    )
 
     def apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
         """The pairs that links so far do not connect."""
@@ -305,28 +393,17 @@ def near_components(
         pairs, count = counted(pairs, "near-pairs")
         return verified(given, pairs, count, width, percent) if count else pairs
 
-    stars = groups.select(
-        F.element_at("_members", 1).alias("_a"), F.explode(F.slice("_members", 2, F.size("_members") - 1)).alias("_b")
-    )
-    stars = written(named(stars.distinct()).distinct(), "near-stars")
+    stars = groups.select("_a", F.explode("_others").alias("_b")).distinct()
+    for side in ("_a", "_b"):  # ids as their classes
+        known = nodes.select(F.col("_id").alias(side), F.col("_class").alias(f"{side}c")).distinct()
+        stars = stars.join(small(known, rows, 24), side).drop(side)
+    stars = stars.filter("_ac != _bc").select(F.col("_ac").alias("_a"), F.col("_bc").alias("_b")).distinct()
+    stars, count = counted(stars, "near-stars")
+    fitting = written(possible(stars, count, sets, percent), "near-fitting")
     # one comparison each first: most documents of a group of copies are linked by it
-    links = compare(stars.groupBy("_b").agg(F.min("_a").alias("_a")).select("_a", "_b"))
-    links = links.unionByName(compare(apart(stars, links)))
-    failed = written(apart(stars, links), "near-failed")
-    if not failed.isEmpty():
-        # members that differ from the first of their group are compared with the others
-        spread = named(
-            groups.select(
-                "_group",
-                F.element_at("_members", 1).alias("_a"),
-                F.explode(F.slice("_members", 2, F.size("_members") - 1)).alias("_b"),
-            )
-        )
-        odd = spread.join(failed, ["_a", "_b"], "left_semi").select("_group", F.col("_b").alias("_a")).distinct()
-        others = spread.select("_group", "_b").distinct()
-        pairs = odd.join(others, "_group").filter("_a != _b")
-        pairs = pairs.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
-        links = links.unionByName(compare(apart(pairs, links)))
+    links = compare(fitting.groupBy("_b").agg(F.min("_a").alias("_a")).select("_a", "_b"))
+    links = links.unionByName(compare(apart(fitting, links)))
+    links = links.unionByName(compare(_rest_pairs(stars, sets, links, percent)))
     final = components(links)
     return (
         nodes.join(final, F.col("_class") == F.col("_node"), "left")
