@@ -36,7 +36,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from engagemart.llm.common import new_path
+from engagemart.llm.common import counted, new_path, small
 
 #: A new file begins beyond this size; a read partition holds about this much.
 FILE_BYTES, PARTITION_BYTES = 1 << 30, 128 << 20
@@ -286,12 +286,16 @@ def archive_records(
         pages[url_col].alias("target_uri"),
         F.coalesce(pages[html_col], F.lit("")).cast("binary").alias("payload"),
     ).withColumn("_digest", F.sha2("payload", 256))
-    newest = (
+    # only payloads that come again are looked up
+    repeated = (
         rows.filter(F.octet_length("payload") >= least_bytes)
         .groupBy("_digest")
-        .agg(F.max("_id").alias("_response"))
+        .agg(F.max("_id").alias("_response"), F.count(F.lit(1)).alias("_n"))
+        .filter("_n > 1")
+        .drop("_n")
     )
-    joined = rows.join(newest, "_digest", "left")
+    repeated, known = counted(repeated, "warc-repeated")
+    joined = rows.join(small(repeated, known, 120), "_digest", "left")
     revisit = F.col("_response") != F.col("_id")
     return joined.select(
         F.concat(F.lit("urn:page:"), F.coalesce(F.col("_id").cast("string"), F.lit("none"))).alias("record_id"),
