@@ -18,7 +18,7 @@ from engagemart.llm.common import counted, small, written
 WEIGHTS = (3, 1, 2)
 #: Words mixed per word available, and the most times a word is taken.
 TOTAL_SHARE, MOST_TIMES = 1.5, 2
-BLOCK_WORDS, SHARD_ROWS, SEED = 64, 50_000, 17
+BLOCK_WORDS, SHARD_ROWS, SEED = 64, 4_000, 17
 
 
 def word_count(text: Column) -> Column:
