@@ -18,11 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engagemart.llm.common import bucket, counted, id_and_text, parts, small, written
-from engagemart.llm.words import Powers, Rolling, lists, mix, text_slices
+from engagemart.llm.words import Powers, Rolling, lists, mix, packed, text_slices
 
 #: Text per task that groups anchors; contexts of one key compared in one task.
 SLOT_BYTES, GROUP_CONTEXTS = 8 << 20, 4_000
@@ -88,7 +89,7 @@ def anchor_blobs(given: DataFrame, slots: int, windows: Windows, sequences: Call
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, held, size = Powers(), [], 0
 
-        def packed() -> pa.RecordBatch:
+        def blobs_of() -> pa.RecordBatch:
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
             slot = (columns[0] >> np.uint64(33)).astype(np.int64) % slots
             order = np.argsort(slot, kind="stable")
@@ -109,10 +110,10 @@ def anchor_blobs(given: DataFrame, slots: int, windows: Windows, sequences: Call
                 held.append((key, context, ids[first + rows], anchor - begin, anchor - low, high - anchor + 1))
                 size += len(key)
                 if size >= _HELD_ANCHORS:
-                    yield packed()
+                    yield blobs_of()
                     held, size = [], 0
         if size:
-            yield packed()
+            yield blobs_of()
 
     return given.mapInArrow(run, "_slot int, " + ", ".join(f"{name} binary" for name in _PACKED))
 
@@ -127,7 +128,7 @@ def grouped_anchors(blobs: DataFrame, windows: Windows, decide: Callable) -> Dat
 
     def run(table: pa.Table) -> pa.Table:
         key, context, doc, place, low, high = (
-            np.frombuffer(b"".join(x.as_py() for x in table.column(name)), kind) for name, kind in _PACKED.items()
+            packed(table.column(name), kind) for name, kind in _PACKED.items()
         )
         order = np.argsort(key, kind="stable")
         same = key[order][1:] == key[order][:-1]
@@ -165,17 +166,18 @@ def grouped_anchors(blobs: DataFrame, windows: Windows, decide: Callable) -> Dat
     )
 
 
-def open_contexts(given: DataFrame, opened: DataFrame, count: int, windows: Windows, symbols: Callable) -> DataFrame:
+def open_contexts(given: DataFrame, opened: DataFrame, windows: Windows, symbols: Callable) -> DataFrame:
     """Open contexts as (_doc, _from, _left, _right, _group): what stands before and after the key.
 
     ``symbols(text)`` gives a text's symbols, ``_group`` has the hash and a digest of the key, so contexts of one group have equal keys.
     """
     wanted = opened.groupBy("_doc").agg(F.collect_list(F.struct("_key", "_place", "_from", "_to")).alias("_open"))
-    texts = given.join(small(wanted, count, 64), given["_id"] == F.col("_doc")).select("_doc", "_open", "_text")
+    texts = given.join(wanted, given["_id"] == F.col("_doc")).select("_doc", "_open", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, opened, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+        pieces = (batch.slice(first, 200) for batch in batches for first in range(0, batch.num_rows, 200))
+        for part in pieces:
+            for doc, opened, text in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
                 row, join = symbols(text)
                 found = []
                 for at in opened:
@@ -212,7 +214,7 @@ def repeated_windows(
     opened = anchors.filter("_key is not null")
     count = opened.count()
     if count:
-        contexts = written(open_contexts(given, opened, count, windows, symbols), "contexts")
+        contexts = written(open_contexts(given, opened, windows, symbols), "contexts")
         large, kept = counted(
             contexts.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_contexts).select("_group"),
             "large-groups",
@@ -229,11 +231,12 @@ def repeated_windows(
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [union_of([(s["_from"], s["_to"]) for s in spans]) for spans in batch.column("_spans").to_pylist()]
-            flat = [[s[k] for row in rows for s in row] for k in (0, 1)]
-            amounts = np.array([len(row) for row in rows], np.int64)
+            spans = batch.column("_spans")
+            amounts = pc.list_value_length(spans).to_numpy()
+            begin, end = (pc.list_flatten(spans).field(k).to_numpy() for k in (0, 1))
+            begin, end, amounts = union_of(begin, end, amounts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_doc"), *(lists(np.array(f, np.int64), amounts) for f in flat)], ["_doc", "_from", "_to"]
+                [batch.column("_doc"), lists(begin, amounts), lists(end, amounts)], ["_doc", "_from", "_to"]
             )
 
     together = spans.groupBy("_doc").agg(F.sort_array(F.collect_list(F.struct("_from", "_to"))).alias("_spans"))
@@ -256,12 +259,13 @@ def runs(doc: np.ndarray, place: np.ndarray, width: int) -> pa.Table:
     return pa.table({"_doc": doc[heads], "_from": place[heads], "_to": place[tails] + width})
 
 
-def union_of(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Sorted spans with overlapping and touching ones joined."""
-    joined: list[list[int]] = []
-    for begin, end in spans:
-        if joined and begin <= joined[-1][1]:
-            joined[-1][1] = max(joined[-1][1], end)
-        else:
-            joined.append([begin, end])
-    return [(begin, end) for begin, end in joined]
+def union_of(begin: np.ndarray, end: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans with overlapping and touching ones joined; rows of ``amounts`` spans each, sorted by ``begin``."""
+    row = np.repeat(np.arange(len(amounts)), amounts)
+    apart = row * (int(end.max(initial=0)) + 2)  # puts the rows behind one another with a gap
+    reach = np.maximum.accumulate(end + apart)
+    first = np.ones(len(begin), bool)
+    first[1:] = begin[1:] + apart[1:] > reach[:-1]
+    heads = np.flatnonzero(first)
+    tails = np.append(heads[1:], len(begin))[: len(heads)] - 1
+    return begin[heads], reach[tails] - apart[tails], np.bincount(row[heads], minlength=len(amounts))

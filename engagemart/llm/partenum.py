@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from engagemart.llm.common import counted, id_and_text, parts, small, written
 from engagemart.llm.components import components
-from engagemart.llm.words import LOWER, Powers, lists, mix, text_slices, word_bounds, word_hashes
+from engagemart.llm.words import LOWER, Powers, lists, mix, packed, text_slices, word_bounds, word_hashes
 
 SHINGLE_WORDS, PERCENT = 5, 80
 #: Smallest sets that get signatures of parts; smaller ones get single shingles.
@@ -40,7 +40,7 @@ BAND_SHARE = 8
 #: Bits of a set's parity sketch; members of one group whose sketches one task compares.
 SKETCH_BITS, BLOCK = 2048, 4_000
 #: Signatures a worker holds before it hands them on.
-HELD_SIGNATURES = 1 << 20
+HELD_SIGNATURES = 1 << 19
 _CELLS = 3
 _NEXT = 0xD6E8FEB86659FD93
 
@@ -177,7 +177,7 @@ def signature_stars(given: DataFrame, slots: int, width: int, percent: int, part
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, seen, held, size = Powers(), set(), [], 0
 
-        def packed() -> pa.RecordBatch:
+        def blobs_of() -> pa.RecordBatch:
             values, owners, joins = (np.concatenate(column) for column in zip(*held, strict=True))
             # a band goes to a share of the slots, so that a group's signatures meet in few
             first = mix(joins.astype(np.uint64)) % np.uint64(slots)
@@ -209,14 +209,20 @@ def signature_stars(given: DataFrame, slots: int, width: int, percent: int, part
                 held.append((values, ids[first + rows], joins))
                 size += len(values)
                 if size >= HELD_SIGNATURES:
-                    yield packed()
+                    yield blobs_of()
                     held, size = [], 0
         if size:
-            yield packed()
+            yield blobs_of()
 
     def gather(table: pa.Table) -> pa.Table:
-        values = np.frombuffer(b"".join(x.as_py() for x in table.column("_signatures")), np.uint64)
-        owners = np.frombuffer(b"".join(x.as_py() for x in table.column("_owners")), np.int64)
+        values = packed(table.column("_signatures"), np.uint64)
+        order = np.argsort(values)
+        same = values[order[1:]] == values[order[:-1]]
+        again = np.zeros(len(order), bool)  # a signature of one document needs no more work
+        again[1:] |= same
+        again[:-1] |= same
+        order = order[again]
+        values, owners = values[order], packed(table.column("_owners"), np.int64)[order]
         order = np.lexsort((owners, values))
         values, owners = values[order], owners[order]
         fresh = np.ones(len(values), bool)

@@ -109,3 +109,12 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(
         pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values)
     )
+
+
+def packed(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers packed in a binary column, one value after the other, without copying each."""
+    column = column.combine_chunks()
+    if not len(column):
+        return np.zeros(0, kind)
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind)
