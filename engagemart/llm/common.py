@@ -55,3 +55,9 @@ def bucket(column: Column, buckets: int) -> Column:
 def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """``df`` marked for broadcast if ``rows`` of it stay under the checked size."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``kept``, all columns unchanged."""
+    kept, count = counted(kept.select(kept[id_col].alias("_kept")).distinct(), "kept")
+    return docs.join(small(kept, count, 24), docs[id_col] == F.col("_kept"), "left_semi").select(*docs.columns)

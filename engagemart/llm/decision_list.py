@@ -14,7 +14,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from engagemart.llm.common import written
+from engagemart.llm.common import keep_rows, written
 
 WINDOW = 8
 SHORT_WORDS, REPEAT_PERCENT = 20, 30
@@ -267,5 +267,4 @@ def quality(
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that are kept, all columns unchanged; rows of one id and text fall together."""
-    kept = quality(docs, labels, id_col).filter("kept").select(id_col)
-    return docs.join(kept, id_col, "left_semi").select(*docs.columns)
+    return keep_rows(docs, quality(docs, labels, id_col).filter("kept"), id_col)

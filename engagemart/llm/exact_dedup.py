@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engagemart.llm.common import BLANKS, id_and_text, written
+from engagemart.llm.common import BLANKS, id_and_text, keep_rows, written
 
 _BLANKS = BLANKS.encode()
 
@@ -87,5 +87,4 @@ def exact_groups(
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(id_col)
-    return docs.join(kept, id_col, "left_semi").select(*docs.columns)
+    return keep_rows(docs, exact_groups(docs, id_col, text_col).filter("kept"), id_col)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engagemart.llm.common import counted, id_and_text, parts, small, written
+from engagemart.llm.common import counted, id_and_text, keep_rows, parts, small, written
 from engagemart.llm.components import components
 from engagemart.llm.words import LOWER, Powers, lists, mix, packed, text_slices, word_bounds, word_hashes
 
@@ -424,5 +424,4 @@ def near_components(
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one of each component: the smallest id. All columns unchanged."""
-    kept = near_components(docs, id_col, text_col).filter(F.col(id_col) == F.col("component_id")).select(id_col)
-    return docs.join(kept, id_col, "left_semi").select(*docs.columns)
+    return keep_rows(docs, near_components(docs, id_col, text_col).filter(F.col(id_col) == F.col("component_id")), id_col)

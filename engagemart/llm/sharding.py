@@ -21,10 +21,8 @@ from pyspark.sql.window import Window
 
 from engagemart.llm.common import bucket, counted, id_and_text, parts, written
 
-#: Items differenced by one task, and the most items of the last level.
+#: Items differenced by one task, and the most items of the last level (more if there are very many shards).
 BUCKET_ITEMS, LAST_ITEMS = 2_000, 24_000
-#: An item of more than this part of a mean shard is not bundled.
-LARGE_PART = 1 / 200
 #: Documents numbered by one task when slots are dealt.
 SLOT_ROWS = 100_000
 
@@ -87,11 +85,13 @@ def karmarkar_karp(groups: DataFrame, shards: int) -> DataFrame:
     """(_group, _shard) for ``groups`` of (_group, _bytes), shards near equal in bytes."""
     items, rows = counted(groups.select(F.col("_group").alias("_item"), "_bytes"), "shard-items")
     total = items.agg(F.sum("_bytes")).head()[0] or 0
-    large = F.col("_bytes") > total / shards * LARGE_PART
+    in_bucket, in_last = max(BUCKET_ITEMS, 20 * shards), max(LAST_ITEMS, 100 * shards)
+    # of more than this many bytes there are at most a quarter of the last level's items
+    large = F.col("_bytes") > 4 * total / in_last
     path = items.select(F.col("_item").alias("_group"), "_item")
-    while rows > LAST_ITEMS:
-        buckets = parts(rows, BUCKET_ITEMS)
-        per_bucket = max(shards, LAST_ITEMS // 2 // buckets // shards * shards)
+    while rows > in_last:
+        buckets = parts(rows, in_bucket)
+        per_bucket = max(shards, in_last // 2 // buckets // shards * shards)
         placed = items.filter(~large).withColumn("_bucket", bucket(F.col("_item"), buckets))
         bundles = _bundles(placed, per_bucket).withColumn("_next", F.col("_bundle").cast("string"))
         alone = items.filter(large).withColumn("_next", F.concat(F.lit("g"), "_item"))
@@ -102,7 +102,7 @@ def karmarkar_karp(groups: DataFrame, shards: int) -> DataFrame:
         path = path.join(step.select("_item", "_next"), "_item").select("_group", F.col("_next").alias("_item"))
         merged = step.groupBy(F.col("_next").alias("_item")).agg(F.sum("_bytes").alias("_bytes"))
         items, rows = counted(merged, "shard-items")
-    # the last level: at most LAST_ITEMS bundles, packed into a few rows for one task
+    # the last level: a bounded number of bundles, packed into a few rows for one task
     packed = items.withColumn("_part", bucket(F.col("_item"), 64)).groupBy("_part").agg(
         F.collect_list(F.struct("_item", "_bytes")).alias("_items")
     )
