@@ -79,7 +79,9 @@ def exact_average(rate: Column, digits: int | None) -> Column:
     if digits is None:
         return F.try_divide(hundredths.cast("double"), count * F.lit(10**K.RATE_DIGITS))
     shift = digits - K.RATE_DIGITS
-    top = F.abs(hundredths) * F.lit(10 ** max(shift, 0)).cast("decimal(7,0)")
+    if shift > 8:
+        raise ValueError(f"an average has at most {K.RATE_DIGITS + 8} digits")
+    top = F.abs(hundredths) * F.lit(10 ** max(shift, 0)).cast("decimal(9,0)")
     bottom = (count * F.lit(10 ** max(-shift, 0))).cast("decimal(20,0)")
     # Integer division rounds half up; without any rate it stays NULL.
     whole = F.call_function("div", 2 * top + bottom, F.when(count > 0, 2 * bottom))

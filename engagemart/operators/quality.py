@@ -48,6 +48,11 @@ def integral(column: str) -> Rule:
     return Rule("integral", column)
 
 
+def fits_integer(column: str) -> Rule:
+    """Every whole number fits a 32-bit integer."""
+    return Rule("fits_integer", column)
+
+
 def non_negative(column: str) -> Rule:
     """No value below zero; NULL passes."""
     return Rule("non_negative", column)
@@ -141,7 +146,12 @@ def _additive_metric(df: DataFrame, rule: Rule) -> Column:
         if isinstance(df.schema[rule.column].dataType, T.IntegralType):
             return F.count_if(F.lit(False))
         return F.count_if(column.isNotNull() & ~_reads_as_bigint(column))
+    if rule.constraint == "fits_integer":
+        whole = column.cast("string").try_cast("decimal(38,0)")
+        return F.count_if(~whole.between(-(2**31), 2**31 - 1) & _reads_as_bigint(column))
     if rule.constraint == "non_negative":
+        if isinstance(df.schema[rule.column].dataType, T.StringType):
+            column = column.try_cast("double")
         return F.count_if(column < 0)
     if rule.constraint == "max_length":
         return F.max(F.length(column))

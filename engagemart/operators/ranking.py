@@ -24,6 +24,8 @@ ROWS_PER_RANGE = 500_000
 _MAX_RANGES = 20_000
 _SAMPLES_PER_RANGE = 100
 _EXACT_DOUBLE = 2**53
+# Decimals of so many digits stay distinct as doubles.
+_EXACT_DIGITS = 15
 _NULL_RANGE = -1
 
 
@@ -65,6 +67,8 @@ def add_ranks(
     counted. A frame above ``rows_per_range`` rows is read several times, so it must
     be a scan or a written table.
     """
+    for rank in ranks:  # at every size, not only where ranges need numbers
+        _order_key(df, rank.column)
     if max_rows is None:
         max_rows = df.count()
     if max_rows <= rows_per_range:
@@ -104,7 +108,11 @@ def _cuts(df: DataFrame, ranks: Sequence[Rank], rows: int, rows_per_range: int)
 def _inexact_columns(df: DataFrame, ranks: Sequence[Rank]) -> set[str]:
     """Order columns with distinct values that look alike as doubles."""
     kinds = {rank.column: df.schema[rank.column].dataType for rank in ranks}
-    inexact = {name for name, kind in kinds.items() if isinstance(kind, T.DecimalType)}
+    inexact = {
+        name
+        for name, kind in kinds.items()
+        if isinstance(kind, T.DecimalType) and kind.precision > _EXACT_DIGITS
+    }
     longs = [name for name, kind in kinds.items() if isinstance(kind, T.LongType)]
     if longs:
         beyond = [F.max((F.col(n) > _EXACT_DOUBLE) | (F.col(n) < -_EXACT_DOUBLE)) for n in longs]

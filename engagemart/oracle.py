@@ -56,9 +56,14 @@ where parts[i] like '#_%'""",
     "hashtag_count": """
 select related_hashtag, count(*) hashtag_frequency from trending_topics group by related_hashtag""",
     "aggregated_brand_information": """
-select tag_name, round(avg(engagement_rate), 4) avg_engagement_rate,
-  count(distinct media_id) brand_media_cnt
-from brand_information group by tag_name""",
+select tag_name,
+  cast(sign(hundredths) * ((200 * abs(hundredths) + rated) // (2 * nullif(rated, 0))) as double) / 10000
+    avg_engagement_rate,
+  brand_media_cnt
+from (
+  select tag_name, sum(cast(round(engagement_rate * 100) as bigint)) hundredths,
+    count(engagement_rate) rated, count(distinct media_id) brand_media_cnt
+  from brand_information group by tag_name)""",
     "aggregated_hashtag_search": """
 select tag_name, count(distinct media_id) hashtaged_media_cnt from hashtag_search group by tag_name""",
     "popularity_factor_early_stage": """

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from engagemart import constants as K
 from engagemart.operators import quality as Q
 from engagemart.plans.staging import STAGERS
-from engagemart.schemas import RAW_DOCUMENTS, RAW_TABLES
+from engagemart.schemas import RAW_DOCUMENTS, RAW_TABLES, text_documents
 from engagemart.sinks.loads import DEFAULT_BUCKETS, RawStore, load
 from engagemart.sinks.tables import STAGING_FORMAT
 from engagemart.sources import contract as contracts
@@ -25,7 +27,7 @@ def default_rules(entity: str) -> list[Q.Rule]:
     }[entity]
     for field in RAW_DOCUMENTS[entity].fields:
         if field.dataType.typeName() == "integer":
-            rules += [Q.integral(field.name), Q.non_negative(field.name)]
+            rules += [Q.integral(field.name), Q.fits_integer(field.name), Q.non_negative(field.name)]
     return rules
 
 
@@ -43,13 +45,24 @@ def stage_and_check(
 ) -> DataFrame:
     """Write the staged slice and return it; raises before anything is loaded.
 
-    What is checked and loaded is what was written, in the contract's columns.
+    What is checked and loaded is what was written, in the contract's columns. Numbers are
+    staged and checked as text and cast when they have passed, so a wrong value is
+    reported and never becomes NULL.
     """
+    numbers = {
+        field.name: field.dataType.simpleString()
+        for field in RAW_DOCUMENTS[entity].fields
+        if isinstance(field.dataType, T.IntegerType) and field.name in raw.columns
+    }
+    raw = raw.withColumns({name: F.trim(F.col(name).cast("string")) for name in numbers})
     staged = STAGERS[entity](raw, logical_date)
     if contract is not None:
         staged = contracts.project(staged, list(contract))
     Q.enforce(Q.verify_written(staged, rules_for(entity, contract), entity, stage_path, fmt))
-    return raw.sparkSession.read.schema(staged.schema).format(fmt).load(stage_path)
+    written = raw.sparkSession.read.schema(staged.schema).format(fmt).load(stage_path)
+    return written.withColumns(
+        {name: F.col(name).cast(kind) for name, kind in numbers.items() if name in staged.columns}
+    )
 
 
 def load_slice(
@@ -80,7 +93,7 @@ def run_etl(
     multi_line: bool = True,
     fmt: str = STAGING_FORMAT,
 ) -> None:
-    raw = read_slice(store.spark, slice_path, RAW_DOCUMENTS[entity], multi_line)
+    raw = read_slice(store.spark, slice_path, text_documents(entity), multi_line)
     load_slice(store, entity, raw, stage_path, logical_date, slice_id, contract, fmt)
 
 

@@ -47,6 +47,11 @@ RAW_DOCUMENTS = {
     ),
 }
 
+def text_documents(entity: str) -> T.StructType:
+    """The fields of a raw document as text, so that a wrong value can be checked before it is cast."""
+    return struct(**{field.name: _STRING for field in RAW_DOCUMENTS[entity].fields})
+
+
 RAW_TABLES = {
     "brand": struct(
         user_id=_STRING,

@@ -37,7 +37,8 @@ def read_slice(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise EmptySliceError(path) from error
         raise
-    if not raw.inputFiles():
+    files = spark.read.format("binaryFile").load(path).select("path")
+    if files.isEmpty():
         raise EmptySliceError(path)
     return raw
 

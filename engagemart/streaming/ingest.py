@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StreamingQuery
 
 from engagemart.plans.etl import load_slice
-from engagemart.schemas import RAW_DOCUMENTS
+from engagemart.schemas import text_documents
 from engagemart.sinks.loads import RawStore
 from engagemart.sinks.tables import STAGING_FORMAT
 
@@ -38,7 +38,7 @@ def ingest_available(
     A failed check fails the batch before it is loaded; the files stay pending.
     """
     reader = (
-        store.spark.readStream.schema(RAW_DOCUMENTS[entity])
+        store.spark.readStream.schema(text_documents(entity))
         .option("multiLine", multi_line)
         .option("recursiveFileLookup", "true")
     )
