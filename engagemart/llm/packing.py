@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from engagemart.llm.common import counted, id_and_text, new_path, parts
 
 CAPACITY, END_ID = 4096, 1
-#: Pieces packed by one task; words whose ids a worker keeps at hand.
-PART_PIECES, KEPT_WORDS = 8_000, 800_000
+#: Pieces packed by one task; words, and parts of words, whose ids a worker keeps at hand.
+PART_PIECES, KEPT_WORDS = 8_000, 250_000
 #: Sequences with more than this part of their room left are packed again.
 LOOSE = 0.01
 
@@ -77,9 +77,9 @@ class _WordIds:
 
     def texts(self, texts: list[str]) -> list[bytes]:
         words, ids = [text.encode().split() for text in texts], self._words
-        if len(ids) + len(self._parts) > KEPT_WORDS:
-            ids.clear()
-            self._parts.clear()
+        for kept in (ids, self._parts):
+            if len(kept) > KEPT_WORDS:
+                kept.clear()
         for word in set().union(*words).difference(ids):
             ids[word] = self._word(word)
         return [b"".join([ids[word] for word in row]) for row in words]

@@ -217,7 +217,9 @@ def signature_stars(given: DataFrame, slots: int, width: int, percent: int, part
     def gather(table: pa.Table) -> pa.Table:
         values = packed(table.column("_signatures"), np.uint64)
         order = np.argsort(values)
-        same = values[order[1:]] == values[order[:-1]]
+        ordered = values[order]
+        same = ordered[1:] == ordered[:-1]
+        del ordered
         again = np.zeros(len(order), bool)  # a signature of one document needs no more work
         again[1:] |= same
         again[:-1] |= same

@@ -39,7 +39,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > len(self._tables[0]):
-            size = max(n, 2 * SLICE_BYTES)
+            size = max(n, SLICE_BYTES + 2)
             for i, base in enumerate(self._base):
                 steps = np.full(size, np.uint64(base), np.uint64)
                 steps[0] = 1
