@@ -25,7 +25,7 @@ from engagemart.llm.common import counted, id_and_text, new_path, parts
 
 CAPACITY, END_ID = 4096, 1
 #: Pieces packed by one task; words, and parts of words, whose ids a worker keeps at hand.
-PART_PIECES, KEPT_WORDS = 8_000, 250_000
+PART_PIECES, KEPT_WORDS = 8_000, 500_000
 #: Sequences with more than this part of their room left are packed again.
 LOOSE = 0.01
 

@@ -34,9 +34,9 @@ SHINGLE_WORDS, PERCENT = 5, 80
 #: Smallest sets that get signatures of parts; smaller ones get single shingles.
 PART_SIZE = 128
 #: Text per reduce task of the signature join; partners compared with one document by one task.
-SLOT_BYTES, PARTNERS = 16 << 20, 64
+SLOT_BYTES, PARTNERS = 10 << 20, 64
 #: A size band uses one of so many parts of the tasks.
-BAND_SHARE = 8
+BAND_SHARE = 10
 #: Bits of a set's parity sketch; members of one group whose sketches one task compares.
 SKETCH_BITS, BLOCK = 2048, 4_000
 #: Signatures a worker holds before it hands them on.
@@ -141,9 +141,15 @@ def _sketches(shingles: np.ndarray, counts: np.ndarray) -> list[bytes]:
     their sketches in bits.
     """
     bit = (mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(32)).astype(np.int64) % SKETCH_BITS
-    row = np.repeat(np.arange(len(counts)), counts)
-    odd = np.bincount(row * SKETCH_BITS + bit, minlength=len(counts) * SKETCH_BITS) & 1
-    return [bits.tobytes() for bits in np.packbits(odd.astype(np.uint8).reshape(-1, SKETCH_BITS), axis=1)]
+    begins, found = np.concatenate([[0], np.cumsum(counts)]), []
+    for first in range(0, len(counts), 256):  # a bounded table of bits at a time
+        amounts = counts[first : first + 256]
+        row = np.repeat(np.arange(len(amounts)), amounts)
+        own = bit[begins[first] : begins[first + len(amounts)]]
+        odd = np.bincount(row * SKETCH_BITS + own, minlength=len(amounts) * SKETCH_BITS) & 1
+        bits = np.packbits(odd.astype(np.uint8).reshape(-1, SKETCH_BITS), axis=1)
+        found += [line.tobytes() for line in bits]
+    return found
 
 
 def set_prints(given: DataFrame, width: int) -> DataFrame:
@@ -239,6 +245,7 @@ def signature_stars(given: DataFrame, slots: int, width: int, percent: int, part
         pairs = np.unique(np.stack([first, owners[others]]), axis=1)
         heads = np.flatnonzero(np.concatenate([[True], pairs[0, 1:] != pairs[0, :-1]])) if pairs.size else np.zeros(0, int)
         amounts = np.diff(np.append(heads, pairs.shape[1]))
+        pa.default_memory_pool().release_unused()
         return pa.table({"_a": pairs[0, heads], "_others": lists(pairs[1], amounts)})
 
     blobs = given.mapInArrow(emit, "_slot int, _signatures binary, _owners binary")
