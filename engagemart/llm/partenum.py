@@ -34,9 +34,9 @@ SHINGLE_WORDS, PERCENT = 5, 80
 #: Smallest sets that get signatures of parts; smaller ones get single shingles.
 PART_SIZE = 128
 #: Text per reduce task of the signature join; partners compared with one document by one task.
-SLOT_BYTES, PARTNERS = 10 << 20, 64
+SLOT_BYTES, PARTNERS = 16 << 20, 64
 #: A size band uses one of so many parts of the tasks.
-BAND_SHARE = 10
+BAND_SHARE = 8
 #: Bits of a set's parity sketch; members of one group whose sketches one task compares.
 SKETCH_BITS, BLOCK = 2048, 4_000
 #: Signatures a worker holds before it hands them on.
@@ -245,7 +245,6 @@ def signature_stars(given: DataFrame, slots: int, width: int, percent: int, part
         pairs = np.unique(np.stack([first, owners[others]]), axis=1)
         heads = np.flatnonzero(np.concatenate([[True], pairs[0, 1:] != pairs[0, :-1]])) if pairs.size else np.zeros(0, int)
         amounts = np.diff(np.append(heads, pairs.shape[1]))
-        pa.default_memory_pool().release_unused()
         return pa.table({"_a": pairs[0, heads], "_others": lists(pairs[1], amounts)})
 
     blobs = given.mapInArrow(emit, "_slot int, _signatures binary, _owners binary")
