@@ -6,8 +6,10 @@ input, whatever they are called, never clash with working columns.
 
 from __future__ import annotations
 
+import ctypes
 from math import ceil
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from engagemart.scratch import materialize, new_path
 BROADCAST_BYTES = 32 * 1024**2
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
+#: Bytes of a batch that goes to a Python worker, unless one row is longer.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +32,19 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("_text"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Long texts then reach Python workers a few at a time; rows and results stay the same."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def hand_back() -> None:
+    """Return what earlier tasks have left in this Python worker, which is kept between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back as a plain scan."""
     spark = df.sparkSession

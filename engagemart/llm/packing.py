@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engagemart.llm.common import counted, id_and_text, new_path, parts
+from engagemart.llm.common import counted, hand_back, id_and_text, new_path, parts, small_batches
+from engagemart.llm.words import text_slices
 
 CAPACITY, END_ID = 4096, 1
 #: Pieces packed by one task; words, and parts of words, whose ids a worker keeps at hand.
@@ -99,10 +100,11 @@ def pieces(
     end, width = np.array([END_ID], "<u4").tobytes(), 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         words = _WordIds(tokenizer)
         for batch in batches:
-            for first in range(0, batch.num_rows, 200):
-                part = batch.slice(first, 200)
+            for first, last, _, _ in text_slices(batch.column("_text")):
+                part = batch.slice(first, last - first)
                 rows: list[list] = [[] for _ in names]
                 for name, ids in zip(part.column("_id").to_pylist(), words.texts(part.column("_text").to_pylist()), strict=True):
                     ids += end
@@ -175,6 +177,7 @@ def _packer(capacity: int, level: int, last: bool):
     """Packs one part; the pieces of loose sequences are marked unless this is the last level."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        hand_back()
         frame = frame.sort_values(["length", "_id", "piece"], ascending=[False, True, True], kind="stable")
         chosen, offsets, room = best_fit(frame["length"].tolist(), capacity)
         loose = np.array(room, np.int64)[chosen] > capacity * LOOSE
@@ -225,6 +228,7 @@ def pack_documents(
     least one piece. Only documents longer than ``capacity`` are cut. Repeated rows are packed
     each on its own.
     """
+    small_batches(docs.sparkSession)
     cut, _ = counted(pieces(docs, tokenizer, id_col, text_col, capacity), "pieces")
     return pack(cut, capacity, part_pieces).withColumnRenamed("_id", id_col)
 

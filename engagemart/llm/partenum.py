@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engagemart.llm.common import counted, id_and_text, keep_rows, parts, small, written
+from engagemart.llm.common import counted, hand_back, id_and_text, keep_rows, parts, small, small_batches, written
 from engagemart.llm.components import components
-from engagemart.llm.words import LOWER, Powers, lists, mix, packed, text_slices, word_bounds, word_hashes
+from engagemart.llm.words import LOWER, Powers, lists, mix, packed_chunks, text_slices, word_bounds, word_hashes
 
 SHINGLE_WORDS, PERCENT = 5, 80
 #: Smallest sets that get signatures of parts; smaller ones get single shingles.
@@ -41,6 +41,8 @@ BAND_SHARE = 8
 SKETCH_BITS, BLOCK = 2048, 4_000
 #: Signatures a worker holds before it hands them on.
 HELD_SIGNATURES = 1 << 19
+#: Turns in which a task groups the signatures of its slot.
+TURNS = 8
 _CELLS = 3
 _NEXT = 0xD6E8FEB86659FD93
 
@@ -156,6 +158,7 @@ def set_prints(given: DataFrame, width: int) -> DataFrame:
     """(_id, _n, _print, _sketch) of each document's set: size, fingerprint and parity sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         powers = Powers()
         for batch in batches:
             for first, last, data, offsets in text_slices(batch.column("_text")):
@@ -174,6 +177,15 @@ def set_prints(given: DataFrame, width: int) -> DataFrame:
     return given.mapInArrow(run, f"_id {kind}, _n bigint, _print binary, _sketch binary")
 
 
+def _distinct_pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The pairs in order, each once, as two rows."""
+    order = np.lexsort((second, first))
+    first, second = first[order], second[order]
+    fresh = np.ones(len(first), bool)
+    fresh[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    return np.stack([first[fresh], second[fresh]])
+
+
 def signature_stars(given: DataFrame, slots: int, width: int, percent: int, part_size: int) -> DataFrame:
     """(_a, _others): documents that are first in groups with one signature, and the others in those groups.
 
@@ -181,6 +193,7 @@ def signature_stars(given: DataFrame, slots: int, width: int, percent: int, part
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         powers, seen, held, size = Powers(), set(), [], 0
 
         def blobs_of() -> pa.RecordBatch:
@@ -220,30 +233,44 @@ def signature_stars(given: DataFrame, slots: int, width: int, percent: int, part
         if size:
             yield blobs_of()
 
-    def gather(table: pa.Table) -> pa.Table:
-        values = packed(table.column("_signatures"), np.uint64)
+    def groups(values: np.ndarray, owners: np.ndarray) -> np.ndarray:
+        """(first member, other member) of every group with one signature, each once."""
         order = np.argsort(values)
         ordered = values[order]
         same = ordered[1:] == ordered[:-1]
-        del ordered
         again = np.zeros(len(order), bool)  # a signature of one document needs no more work
         again[1:] |= same
         again[:-1] |= same
         order = order[again]
-        values, owners = values[order], packed(table.column("_owners"), np.int64)[order]
+        values, owners = values[order], owners[order]
         order = np.lexsort((owners, values))
         values, owners = values[order], owners[order]
         fresh = np.ones(len(values), bool)
         fresh[1:] = (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])
         values, owners = values[fresh], owners[fresh]
-        cuts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        counts = np.diff(np.append(cuts, len(values)))
-        # (first member, other member) of every group, each once
-        first = np.repeat(owners[cuts], counts - 1)
-        others = np.ones(len(owners), bool)
-        others[cuts] = False
-        pairs = np.unique(np.stack([first, owners[others]]), axis=1)
-        heads = np.flatnonzero(np.concatenate([[True], pairs[0, 1:] != pairs[0, :-1]])) if pairs.size else np.zeros(0, int)
+        heads = np.ones(len(values), bool)
+        heads[1:] = values[1:] != values[:-1]
+        cuts = np.flatnonzero(heads)
+        first = np.repeat(owners[cuts], np.diff(np.append(cuts, len(values))) - 1)
+        return _distinct_pairs(first, owners[~heads])
+
+    def gather(table: pa.Table) -> pa.Table:
+        hand_back()
+        values = packed_chunks(table.column("_signatures"), np.uint64)
+        owners = packed_chunks(table.column("_owners"), np.int64)
+        found = []
+        for turn in range(TURNS):  # a share of the signatures at a time
+            own = [chunk % np.uint64(TURNS) == turn for chunk in values]
+            found.append(
+                groups(
+                    np.concatenate([chunk[mine] for chunk, mine in zip(values, own, strict=True)]),
+                    np.concatenate([chunk[mine] for chunk, mine in zip(owners, own, strict=True)]),
+                )
+            )
+        pairs = _distinct_pairs(*np.concatenate(found, axis=1))
+        heads = np.ones(pairs.shape[1], bool)
+        heads[1:] = pairs[0, 1:] != pairs[0, :-1]
+        heads = np.flatnonzero(heads)
         amounts = np.diff(np.append(heads, pairs.shape[1]))
         return pa.table({"_a": pairs[0, heads], "_others": lists(pairs[1], amounts)})
 
@@ -270,6 +297,7 @@ def verified(given: DataFrame, pairs: DataFrame, count: int, width: int, percent
     together = heads.unionByName(partners).repartition("_a", "_piece").sortWithinPartitions("_a", "_piece", "_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         powers, head, owner = Powers(), np.zeros(0, np.uint64), None
         for batch in batches:
             first_ids, second_ids = batch.column("_a").to_pylist(), batch.column("_b").to_pylist()
@@ -296,6 +324,7 @@ def _pairs_of_block(percent: int):
     """Pairs of a block that are in different components, one of them unsettled, and not proven dissimilar."""
 
     def run(table: pa.Table) -> pa.Table:
+        hand_back()
         ids, sizes, component, block = (table.column(c).to_numpy() for c in ("_b", "_n", "_component", "_block"))
         odd = table.column("_odd").to_numpy(zero_copy_only=False)
         sketch = np.frombuffer(b"".join(x.as_py() for x in table.column("_sketch")), np.uint64)
@@ -384,6 +413,7 @@ def near_components(
     links. NULL, empty and blank texts have the empty set and stay alone. Shingles
     are compared by 64-bit hashes. Ids are integers; rows repeating an id share its fate.
     """
+    small_batches(docs.sparkSession)
     given = id_and_text(docs, id_col, text_col)
     size = docs.agg(F.sum(F.octet_length(text_col))).head()[0] or 0
     sets = written(set_prints(given, width), "near-sets")

@@ -111,6 +111,16 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     )
 
 
+def packed_chunks(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """The numbers packed in each chunk of a binary column, without a copy."""
+    found = []
+    for chunk in column.chunks:
+        if len(chunk):
+            offsets = np.frombuffer(chunk.buffers()[1], np.int32, len(chunk) + 1, 4 * chunk.offset)
+            found.append(np.frombuffer(chunk.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind))
+    return found
+
+
 def packed(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     """The numbers packed in a binary column, one value after the other, without copying each."""
     column = column.combine_chunks()
