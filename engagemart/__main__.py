@@ -13,6 +13,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import Row, SparkSession
 
 from engagemart.constants import AVERAGE_DIGITS, CORE_MARTS, EXTRA_MARTS, TOP_HASHTAGS
+from engagemart.functions.columns import MOST_AVERAGE_DIGITS
 from engagemart.plans.elt import export_marts, run_elt
 from engagemart.plans.etl import raw_store, run_etl
 from engagemart.schemas import CONTRACT
@@ -71,7 +72,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     elt.add_argument("--no-gate", action="store_true")
     elt.add_argument("--no-post-time", action="store_true", help="brand_information without it")
     elt.add_argument("--top-hashtags", type=int, default=TOP_HASHTAGS, help="0 keeps all")
-    elt.add_argument("--average-digits", type=int, default=AVERAGE_DIGITS, help="-1 for no rounding")
+    elt.add_argument(
+        "--average-digits", type=int, default=AVERAGE_DIGITS, choices=range(-1, MOST_AVERAGE_DIGITS + 1),
+        metavar="N", help=f"at most {MOST_AVERAGE_DIGITS}; -1 for no rounding",
+    )
 
     export = jobs.add_parser("export", help="copy published marts into a warehouse")
     export.add_argument("--marts", required=True)

@@ -46,7 +46,7 @@ def media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def media_hashtag(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, parts = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "part")
-    return items.join(parts, items.l_partkey == parts.p_partkey).selectExpr(
+    return items.join(parts, items.l_partkey == parts.p_partkey, "left").selectExpr(
         "cast(l_orderkey as string) media_id",
         "cast(l_suppkey as string) user_id",
         """case when l_linenumber = 7 then null when l_linenumber = 6 then ''

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from engagemart import constants as K
 
+#: Digits to which an average can be rounded exactly.
+MOST_AVERAGE_DIGITS = K.RATE_DIGITS + 8
+
 
 def engagement(likes: Column, comments: Column) -> Column:
     """Likes plus comments; NULL if either is NULL or the sum leaves the type."""
@@ -79,8 +82,8 @@ def exact_average(rate: Column, digits: int | None) -> Column:
     if digits is None:
         return F.try_divide(hundredths.cast("double"), count * F.lit(10**K.RATE_DIGITS))
     shift = digits - K.RATE_DIGITS
-    if shift > 8:
-        raise ValueError(f"an average has at most {K.RATE_DIGITS + 8} digits")
+    if digits > MOST_AVERAGE_DIGITS:
+        raise ValueError(f"an average has at most {MOST_AVERAGE_DIGITS} digits")
     top = F.abs(hundredths) * F.lit(10 ** max(shift, 0)).cast("decimal(9,0)")
     bottom = (count * F.lit(10 ** max(-shift, 0))).cast("decimal(20,0)")
     # Integer division rounds half up; without any rate it stays NULL.

@@ -22,10 +22,10 @@ from events""",
     "media_hashtag": """
 select cast(l_orderkey as varchar) media_id, cast(l_suppkey as varchar) user_id,
   case when l_linenumber = 7 then null when l_linenumber = 6 then ''
-    else concat(l_returnflag, ' #', p_type, '##', replace(p_name, ' ', '#'), ' # ', p_brand)
+    else l_returnflag || ' #' || p_type || '##' || replace(p_name, ' ', '#') || ' # ' || p_brand
     end caption,
   l_shipdate ts, 'IMAGE' media_type, l_shipdate created_at
-from lineitem join part on l_partkey = p_partkey""",
+from lineitem left join part on l_partkey = p_partkey""",
     "brand_log": """
 select cast(o_custkey % 120 as varchar) user_id,
   cast(floor(o_totalprice) as int) followers_count, o_orderdate created_at
@@ -222,6 +222,17 @@ select media_id, user_id, like_count, comments_count, cast(ts as timestamp) ts,
   cast(updated_at as timestamp) updated_at
 from stage_media"""
 
+_CAUGHT_UP = f"""
+select cast(post as varchar) media_id, user_id, like_count, comments_count, ts, media_type,
+  media_product_type, del_yn, arrived created_at, arrived updated_at
+from (
+  select *, row_number() over (partition by post order by arrived desc) place
+  from (
+    select *, cast(media_id as bigint) // 4 post,
+      timestamp'2024-02-01 00:00:00' + to_hours(cast(media_id as bigint) % 4) arrived
+    from ({_LOADED_MEDIA})))
+where place = 1"""
+
 _UPSERTED = """
 select media_id, user_id, like_count, comments_count, cast(null as varchar) media_type, updated_at
 from (
@@ -305,6 +316,10 @@ select concat('ds=', strftime(ts, '%Y-%m-%d'), '/hh=', cast(hour(ts) as varchar)
 select event_id, value, strftime(ts, '%Y-%m-%d') ds, cast(hour(ts) as int) hh from events
 where cast(ts as date) between date'2024-01-08' and date'2024-01-14'""",
     "etl_media": _LOADED_MEDIA,
+    "ingest_backlog": _CAUGHT_UP,
+    "elt_gated_hashtag_count": _TOP.format(limit=1000),
+    "elt_gated_aggregated_brand_information": "select * from aggregated_brand_information",
+    "elt_gated_popularity_calculation": "select * from popularity_calculation",
     "ingest_available_now": """
 select media_id, user_id, caption, cast(ts as timestamp) ts, media_type,
   cast(created_at as timestamp) created_at from stage_media_hashtag""",

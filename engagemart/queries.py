@@ -30,6 +30,7 @@ LOGICAL_DATE = "2024-02-01T03:00:00+00:00"
 EARLIER_DATE = "2024-02-01T02:00:00+00:00"
 RANGE_ROWS = 5_000
 BUCKETS = 8
+BACKLOG_HOURS = 4
 
 MEDIA_CONTRACT = [
     Row(column_name=name, is_nullable=null, data_type=kind,
@@ -147,6 +148,22 @@ def mart_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+def _gated(mart: str) -> Query:
+    """One mart as published by the whole job with its gate, on posts that pass it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = TableStore(spark, new_path(spark, "marts"))
+        raw = X.raw_tables(spark, sf_dir)
+        raw["media"] = raw["media"].fillna("NONE", ["media_product_type"])
+        run_elt(raw, store, "hour-03")
+        return store.read(mart)
+
+    return query
+
+
+GATED = ("hashtag_count", "aggregated_brand_information", "popularity_calculation")
+
+
 # --- sources and staging -----------------------------------------------------
 
 
@@ -229,6 +246,22 @@ def ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("media_hashtag")
 
 
+def ingest_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four hours pending at once, each with a later state of the same posts."""
+    root = new_path(spark, "backlog")
+    event = F.col("media_id").cast("bigint")
+    documents = X.media_documents(spark, sf_dir).withColumn("hour", F.pmod(event, F.lit(BACKLOG_HOURS)))
+    documents = documents.withColumn("media_id", F.floor(event / BACKLOG_HOURS).cast("string"))
+    for hour in range(BACKLOG_HOURS):
+        pending = documents.where(F.col("hour") == hour).drop("hour")
+        pending.write.json(f"{root}/raw/media_2024-02-01_0{hour}")
+    store = raw_store(spark, f"{root}/tables", BUCKETS)
+    ingest_available(
+        store, "media", f"{root}/raw", f"{root}/stage", f"{root}/checkpoint", LOGICAL_DATE, multi_line=False
+    )
+    return store.read("media")
+
+
 # --- quality -----------------------------------------------------------------
 
 
@@ -377,6 +410,7 @@ QUERIES: dict[str, Query] = {
         slice_filter,
         etl_media,
         ingest_available_now,
+        ingest_backlog,
         quality_failures,
         check_unique,
         check_complete,
@@ -391,4 +425,4 @@ QUERIES: dict[str, Query] = {
         load_log_append,
         distributed_rank,
     )
-} | {f"quality_{table}": _battery(table) for table in Q.BATTERIES}
+} | {f"quality_{table}": _battery(table) for table in Q.BATTERIES} | {f"elt_gated_{mart}": _gated(mart) for mart in GATED}

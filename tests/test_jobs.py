@@ -170,6 +170,33 @@ def test_ingest_reads_only_new_slices(store, tmp_path):
     assert store.read("media_log").count() == 4
 
 
+def test_ingest_catches_up_slice_by_slice(store, tmp_path):
+    for hour, likes in (("03", 5), ("02", 3), ("04", 8)):
+        day = f"media_2024-02-01/media_2024-02-01_{hour}"
+        slice_of(tmp_path, day, [media("a", likes), media(f"only{hour}")])
+    ingest(store, tmp_path, "media")
+    found = {r.media_id: (r.like_count, r.updated_at.hour) for r in store.read("media").collect()}
+    assert found == {"a": (8, 4), "only02": (3, 2), "only03": (3, 3), "only04": (3, 4)}
+    assert store.read("media_log").count() == 6
+    ingest(store, tmp_path, "media")
+    assert store.read("media_log").count() == 6
+
+
+def test_a_failed_slice_leaves_itself_and_later_ones_pending(store, tmp_path):
+    folders = {
+        hour: slice_of(tmp_path, f"media_2024-02-01/media_2024-02-01_{hour}", [media("a", likes), media(hour)])
+        for hour, likes in (("02", 3), ("03", -5), ("04", 8))
+    }
+    with pytest.raises(StreamingQueryException, match="non_negative"):
+        ingest(store, tmp_path, "media")
+    assert sorted(r.media_id for r in store.read("media").collect()) == ["02", "a"]
+    with open(f"{folders['03']}/part.json", "w") as file:
+        json.dump([media("a", 5), media("03")], file)
+    ingest(store, tmp_path, "media")
+    assert {r.media_id: r.like_count for r in store.read("media").collect()} == {"a": 8, "02": 3, "03": 3, "04": 3}
+    assert store.read("media_log").count() == 6
+
+
 def test_a_fresh_stream_keeps_what_another_loaded(store, tmp_path):
     post = dict(user_id="1", caption="#a", timestamp="2024-01-01T00:00:00Z", media_type="IMAGE")
     for name in ("one", "two"):
