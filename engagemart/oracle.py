@@ -156,7 +156,9 @@ def _unique(table: str, column: str) -> str:
 
 
 def _integral(table: str, column: str) -> str:
-    bad = f"count(*) filter (where {column} is not null and try_cast({column} as bigint) is null)"
+    text = f"trim(cast({column} as varchar))"
+    whole = f"regexp_full_match({text}, '[+-]?[0-9]+') and try_cast({text} as bigint) is not null"
+    bad = f"count(*) filter (where {column} is not null and not ({whole}))"
     return _check(table, "integral", column, bad, 0, f"{bad} = 0")
 
 
