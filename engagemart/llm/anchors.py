@@ -7,7 +7,8 @@ with the place of the anchor. So copies of a window meet where anchors are group
 An anchor's context is the stretch that its windows cover.
 
 Grouping yields two things. Windows of contexts that occur again as a whole are decided at once.
-Where one key has several contexts, one of each goes on as text to be compared window by window.
+Where one key has several contexts, one of each, and every place that is not decided, goes on as text
+to be compared window by window.
 """
 
 from __future__ import annotations
@@ -146,10 +147,10 @@ def grouped_anchors(blobs: DataFrame, windows: Windows, decide: Callable) -> Dat
         heads, member, key_number = np.flatnonzero(new), np.cumsum(new) - 1, np.cumsum(new_key) - 1
         sizes = np.diff(np.append(heads, len(key)))
         goes = decide(sizes[member], doc, doc[heads][member])
-        # one of each context is compared with the others of its key, unless all of them go
+        # one of each context, and every anchor that does not go, is compared with the others of its key, unless all go
         several = np.bincount(key_number[new]) > 1
         unsettled = np.bincount(key_number, weights=~goes) > 0
-        sent = new & (several & unsettled)[key_number]
+        sent = (new | ~goes) & (several & unsettled)[key_number]
         nulls = pa.nulls(int(goes.sum()), pa.int64())
         return pa.table(
             {

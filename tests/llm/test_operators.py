@@ -145,6 +145,20 @@ def test_substrings(frame, nasty, width, reach, group):
     assert got(df, "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substrings(nasty, width)
 
 
+@pytest.mark.parametrize("group", [4000, 2])
+def test_substrings_repeated_inside_their_least_document(frame, group):
+    def words(name, n):
+        return [f"{name}{k}" for k in range(n)]
+
+    passage, stretch = words("p", 60), words("q", 40) + words("p", 60) + words("u", 40)
+    rows = [(0, words("r", 40) + passage + words("s", 40)), (1, stretch + words("v", 80) + stretch), (2, words("w", 9) + stretch)]
+    rows = [(i, " ".join(text)) for i, text in rows]
+    df = suffix_trees.dedup_digest(frame(rows), group_contexts=group)
+    wanted = brute.substrings(rows)
+    assert wanted[1][2] == 120
+    assert got(df, "doc_id", "n_words", "n_removed", "kept_sha256") == wanted
+
+
 @pytest.mark.parametrize("width,reach,group", [(400, 64, 4000), (60, 20, 4000), (400, 64, 2)])
 def test_byte_spans(frame, nasty, width, reach, group):
     df = bwt_dedup.dedup_digest(frame(nasty), windows=Windows(width, reach), group_contexts=group)
