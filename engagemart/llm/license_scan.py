@@ -1,8 +1,9 @@
 """License scan: base phrases, and an exact set-similarity join of text blocks with templates.
 
-A block is a run of twice a template's words, and blocks overlap by half, so a copy of the
-template lies whole in one. A block meets a template when it holds at least a threshold
-share of its distinct words. Words are ordered by how many documents of the whole corpus
+A block is a run of twice a template's words. It meets a template when it holds at least a threshold
+share of its distinct words and, whole, a name that the template asks for: sentences of other
+licences share most words with it. Labels and score count blocks from every word on; those listed
+overlap by half. Words are ordered by how many documents of the whole corpus
 hold them, rarest first: a block that meets a template of n words must share one of the
 rarest n - needed + 1 (prefix filter), have enough distinct words (length filter), and,
 from the first shared word on, both must have enough words left (positional filter). Blocks
@@ -11,9 +12,12 @@ that pass are counted in full.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 from math import ceil
 
 import pyarrow as pa
@@ -47,6 +51,30 @@ TEMPLATES = {
         "associated documentation files, to deal in the Software without restriction"
     ),
 }
+def _numbered(name: bytes, number: bytes) -> bytes:
+    """``name`` with ``number`` as its version: the first one after it, one of a choice, or "version N of the" before it."""
+    other = rb"(?!v?[0-9]{1,2} )[^ ]+ |v?[0-9] (?:[0-9] )?(?=(?:or|and) (?:version )?v?" + number + rb" )"
+    after = rb"(?:" + other + rb"){0,12}?v?" + number + b" "
+    before = rb"(?<![^ ])(?:version |v)" + number + rb" (?:0 )?(?:or (?:any )?later )?of the (?:terms of the )?(?:gnu )?"
+    return rb"(?<![^ ])" + name + after + b"|" + before + name
+
+
+_APACHE = _numbered(b"apache ", b"2")
+_GPL = rb"(?<!lesser )(?<!library )(?<!affero )(?:gnu (?:general )?|(?<!gnu )general )(?:public )?licen[cs]es? "
+#: What a block must name, by template, as patterns over words that are each followed by one blank. Terms without
+#: a name (bsd-terms, mit-terms) belong to several licences and ask for none.
+NAMES = {
+    "apache-2.0-notice": _APACHE,
+    "apache-2.0-statement": _APACHE,
+    "cc-by-nc-4.0-statement": _numbered(
+        rb"(?<!sa )(?<!nd )(?:nc|noncommercial|non commercial) (?!(?:by )?(?:sa |nd |share|noderiv|no deriv))", b"4"
+    ),
+    "gpl-3.0-statement": _numbered(_GPL, b"3").replace(b"(?:gnu )?" + _GPL, _GPL),
+    "gpl-notice": rb"(?<![^ ])" + _GPL,
+    "mit-statement": (
+        rb"(?<![^ ])(?:under|or|and|licen[cs]e) (?:the |terms |of |an? |is )*mit (?!0 )|(?<![^ ])mit (?!0 )(?:[^ ]+ )?licen[cs]es? "
+    ),
+}
 #: Word characters are a-z, 0-9 and all that is not ASCII; A-Z is lower-cased, the rest is blank.
 _FOLD = bytes(
     c + 32 if 65 <= c < 91 else c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else 32 for c in range(256)
@@ -63,6 +91,7 @@ class Template:
     words: tuple[bytes, ...]  # distinct, rarest in the corpus first
     length: int  # words with repeats
     needed: int
+    name: re.Pattern | None = None
 
     @property
     def prefix(self) -> tuple[bytes, ...]:
@@ -86,22 +115,75 @@ def word_frequencies(docs: DataFrame, vocabulary: set[bytes], id_col: str, text_
     return Counter({bytes(row["word"]): row["n"] for row in total.collect()})
 
 
-def prepare(templates: dict[str, str], threshold: float, frequency: Counter) -> list[Template]:
+def prepare(
+    templates: dict[str, str], threshold: float, frequency: Counter, names: dict[str, bytes] = NAMES
+) -> list[Template]:
     found = []
     for label, text in sorted(templates.items()):
         words = words_of(text)
         ordered = tuple(sorted(set(words), key=lambda w: (frequency[w], w)))
         if ordered:
-            found.append(Template(label, ordered, len(words), max(1, ceil(threshold * len(ordered) - 1e-9))))
+            name = re.compile(rb"(?=(" + names[label] + rb"))") if label in names else None
+            found.append(Template(label, ordered, len(words), max(1, ceil(threshold * len(ordered) - 1e-9)), name))
     return found
 
 
-def meetings(words: list[bytes], templates: list[Template]) -> Iterator[tuple[Template, int, int]]:
-    """(template, first word of the block, shared words) of every block that meets a template."""
+def name_places(words: list[bytes], template: Template) -> list[tuple[int, int]] | None:
+    """First word and end of every place where the template's name stands, in order; None if it asks for none."""
+    if template.name is None:
+        return None
+    line = b" ".join([*words, b""])
+    spans = [found.span(1) for found in template.name.finditer(line)]
+    if not spans:
+        return []
+    begins = list(accumulate((len(word) + 1 for word in words), initial=0))
+    return [(bisect_left(begins, a), bisect_left(begins, b)) for a, b in spans]
+
+
+def least_ends(places: list[tuple[int, int]] | None, count: int) -> list[int]:
+    """For each word, where the first name that starts from it on ends; one more than ``count`` if none does."""
+    ends = [count + 1 if places is not None else 0] * (count + 1)
+    for first, end in places or ():
+        ends[first] = min(ends[first], end)
+    if places:
+        for at in range(count - 1, -1, -1):
+            ends[at] = min(ends[at], ends[at + 1])
+    return ends
+
+
+def best_share(words: list[bytes], template: Template, ends: list[int]) -> int:
+    """The most of the template's words that a block from any word holds, if it has the name; 0 if too few."""
+    rank = {word: k for k, word in enumerate(template.words)}
+    ranks = [rank.get(word, -1) for word in words]
+    held, distinct, best, length = [0] * len(rank), 0, 0, 2 * template.length
+    for end, entering in enumerate(ranks, 1):
+        if entering >= 0:
+            held[entering] += 1
+            distinct += held[entering] == 1
+        start = max(0, end - length)
+        if start and (leaving := ranks[start - 1]) >= 0:
+            held[leaving] -= 1
+            distinct -= held[leaving] == 0
+        if distinct > best and distinct >= template.needed and ends[start] <= end:
+            best = distinct
+    return best
+
+
+def meetings(words: list[bytes], templates: list[Template]) -> Iterator[tuple[Template, int, list[tuple[int, int]]]]:
+    """(template, its most words in a block, blocks) of every template met.
+
+    The blocks are (first word, shared words) of those that start at multiples of the template's length.
+    """
     present = set(words)
     for template in templates:
-        shared = [word for word in template.prefix if word in present]
-        if not shared:
+        if present.isdisjoint(template.prefix):
+            continue
+        places = name_places(words, template)
+        if places == []:
+            continue
+        ends = least_ends(places, len(words))
+        best = best_share(words, template, ends)
+        if not best:
             continue
         step, rank = template.length, {word: k for k, word in enumerate(template.words)}
         starts = {
@@ -110,15 +192,17 @@ def meetings(words: list[bytes], templates: list[Template]) -> Iterator[tuple[Te
             if rank.get(word, len(rank)) < len(template.prefix)
             for back in (-1, 0)
         }
+        blocks = []
         for start in sorted(starts):
             block = set(words[start : start + 2 * step])
-            if len(block) < template.needed:
+            if len(block) < template.needed or ends[start] > start + 2 * step:
                 continue
             own = sorted(rank[word] for word in block if word in rank)
             # from the first shared word on, neither side may run out of words
             if not own or min(len(rank) - own[0], len(own)) < template.needed:
                 continue
-            yield template, start, len(own)
+            blocks.append((start, len(own)))
+        yield template, best, blocks
 
 
 def base_places(words: list[bytes], phrases: dict[bytes, str]) -> list[tuple[int, str]]:
@@ -138,16 +222,18 @@ def license_scan(
     templates: dict[str, str] = TEMPLATES,
     threshold: float = THRESHOLD,
     phrases: dict[str, str] = PHRASES,
+    names: dict[str, bytes] = NAMES,
 ) -> DataFrame:
     """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks.
 
     ``labels`` has the labels of phrases and of templates met; ``score`` is 1 if a phrase
     stands in the text, else the largest share of a met template's words that a block
-    holds, else 0. ``blocks`` lists (label, first word, share) of every block that meets a template. NULL and empty texts
+    holds, else 0. Blocks from every word count. ``blocks`` lists (label, first word, share) of those that start at
+    multiples of their template's length. A block meets a template in ``names`` only if it has its name. NULL and empty texts
     have no words. Templates are a short list and travel with the job.
     """
     vocabulary = {word for text in templates.values() for word in words_of(text)}
-    ready = prepare(templates, threshold, word_frequencies(docs, vocabulary, id_col, text_col))
+    ready = prepare(templates, threshold, word_frequencies(docs, vocabulary, id_col, text_col), names)
     spelled = {b" ".join(words_of(phrase)): label for phrase, label in phrases.items()}
     given = id_and_text(docs, id_col, text_col)
     block = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("share", pa.float64())])
@@ -165,7 +251,8 @@ def license_scan(
     def scan(text: str) -> tuple:
         words = words_of(text)
         places = base_places(words, spelled)
-        met = [(t.label, start, shared / len(t.words)) for t, start, shared in meetings(words, ready)]
+        found = list(meetings(words, ready))
+        met = [(t.label, start, shared / len(t.words)) for t, _, blocks in found for start, shared in blocks]
         base = {label for _, label in places}
         return (
             len(words),
@@ -173,8 +260,8 @@ def license_scan(
             min(places)[0] if places else None,
             max(places)[0] if places else None,
             ",".join(sorted(base)),
-            ",".join(sorted(base | {label for label, _, _ in met})),
-            1.0 if places else max((share for _, _, share in met), default=0.0),
+            ",".join(sorted(base | {t.label for t, _, _ in found})),
+            1.0 if places else max((best / len(t.words) for t, best, _ in found), default=0.0),
             [dict(zip(("label", "first_word", "share"), m, strict=True)) for m in met],
         )
 

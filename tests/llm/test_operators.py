@@ -111,6 +111,49 @@ def test_license_blocks_are_all_found(frame):
     assert any(found[0])
 
 
+def test_licenses_are_told_from_others(frame):
+    wanted = [
+        ("Licensed under the Mozilla Public License, Version 2.0.", set()),
+        ("Licensed under the Educational Community License, Version 2.0 (the License); you may not use this file except "
+         "in compliance with the License. You may obtain a copy of the License at", set()),
+        ("Licensed under the Apache License, Version 1.0.", {"apache"}),
+        ("Licensed under CC BY 4.0.", set()),
+        ("Licensed under CC BY-NC 3.0.", set()),
+        ("Licensed under CC BY-NC-SA 4.0.", set()),
+        ("Released under the BSD License.", set()),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.", {"gpl"}),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", {"gpl"}),
+        ("This work is licensed under the GNU General Public License, version 2.", {"gpl"}),
+        ("This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+         "General Public License as published by the Free Software Foundation", {"gpl"}),
+        ("Licensed under the Apache License, Version 2.0.", {"apache", "apache-2.0-statement"}),
+        ("Licensed under the Apache License 2.0", {"apache", "apache-2.0-statement"}),
+        ("Licensed under Version 2.0 of the Apache License.", {"apache", "apache-2.0-statement"}),
+        ("Licensed under CC BY-NC 4.0.", {"cc-by-nc-4.0-statement"}),
+        ("Released under the MIT License.", {"mit", "mit-statement"}),
+        ("Released under the MIT.", {"mit-statement"}),
+        ("This work is licensed under version 3 of the GNU General Public License.", {"gpl", "gpl-3.0-statement"}),
+        ("This work is licensed under the GNU General Public License, version 2 or 3.", {"gpl", "gpl-3.0-statement"}),
+        ("This work is licensed under the GNU Public License v3, version 3.", {"gpl-3.0-statement"}),
+    ]
+    rows = [(k, text) for k, (text, _) in enumerate(wanted)]
+    found = {r.doc_id: set(r.labels.split(",")) - {""} for r in license_scan.license_scan(frame(rows)).collect()}
+    assert found == {k: labels for k, (_, labels) in enumerate(wanted)}
+
+
+def test_license_blocks_from_every_word_count(frame):
+    sentence, rows = license_scan.words_of(license_scan.TEMPLATES["mit-terms"]), []
+    for k in range(60):  # stretched to nearly a block, so that most lie in none that starts at a multiple
+        inner = [x for n, w in enumerate(sentence) for x in [w] + [b"x%d" % n] * (n < len(sentence) - 2)]
+        rows.append((k, b" ".join([*(b"y%d" % n for n in range(k)), *inner, *(b"z%d" % n for n in range(70))]).decode()))
+    found = {r.doc_id: (r.labels, r.score) for r in license_scan.license_scan(frame(rows)).collect()}
+    (ready,) = license_scan.prepare({"mit-terms": license_scan.TEMPLATES["mit-terms"]}, 0.8, Counter())
+    for k, text in rows:
+        words = license_scan.words_of(text)
+        best = max(len(set(words[s : s + 2 * ready.length]) & set(ready.words)) for s in range(len(words)))
+        assert best >= ready.needed and found[k] == ("mit-terms", best / len(ready.words))
+
+
 def test_quality_counts(spark, frame, nasty):
     df = decision_list.quality(frame(nasty), labels_of(spark, []))
     rows = got(df, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
