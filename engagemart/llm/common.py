@@ -32,6 +32,29 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("_text"))
 
 
+def with_keys(docs: DataFrame, id_col: str) -> tuple[DataFrame, int | None]:
+    """``docs`` whose rows without an id have keys above all ids instead, each its own, and the largest id.
+
+    The number is None, and ``docs`` as given, if all rows have ids. Otherwise ids turn into bigint; rows without
+    one are written once, so their keys hold still, and come after all others.
+    """
+    found = docs.agg(F.max(docs[id_col]), F.count_if(docs[id_col].isNull())).head()
+    if not found[1]:
+        return docs, None
+    last = -1 if found[0] is None else int(found[0])
+    key = F.lit(last + 1).cast("bigint") + F.monotonically_increasing_id()
+    without = written(docs.filter(docs[id_col].isNull()).withColumn(id_col, key), "without-id")
+    return docs.filter(docs[id_col].isNotNull()).withColumn(id_col, F.col(id_col).cast("bigint")).unionByName(without), last
+
+
+def without_keys(df: DataFrame, last: int | None, like: DataFrame, id_col: str, *more: str) -> DataFrame:
+    """``df`` with ids of the type in ``like``; keys from ``with_keys`` in ``id_col`` and ``more`` are NULL again."""
+    if last is None:
+        return df
+    kind = like.schema[id_col].dataType
+    return df.withColumns({name: F.when(F.col(name) <= last, F.col(name)).cast(kind) for name in (id_col, *more)})
+
+
 def small_batches(spark: SparkSession) -> None:
     """Long texts then reach Python workers a few at a time; rows and results stay the same."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

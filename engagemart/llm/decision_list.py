@@ -14,7 +14,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from engagemart.llm.common import keep_rows, written
+from engagemart.llm.common import keep_rows, with_keys, without_keys, written
 
 WINDOW = 8
 SHORT_WORDS, REPEAT_PERCENT = 20, 30
@@ -267,4 +267,7 @@ def quality(
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that are kept, all columns unchanged; rows of one id and text fall together."""
-    return keep_rows(docs, quality(docs, labels, id_col).filter("kept"), id_col)
+    keyed, last = with_keys(docs, id_col)
+    if last is not None:  # labels beyond the ids name no document
+        labels = labels.filter(labels[id_col] <= last)
+    return without_keys(keep_rows(keyed, quality(keyed, labels, id_col).filter("kept"), id_col), last, docs, id_col)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engagemart.llm.common import BLANKS, id_and_text, keep_rows, written
+from engagemart.llm.common import BLANKS, id_and_text, keep_rows, with_keys, without_keys, written
 
 _BLANKS = BLANKS.encode()
 
@@ -53,9 +53,11 @@ def exact_groups(
 
     Texts are equal when identical after deleting ASCII blanks; NULL counts as empty, and
     empty texts form one group. The row with the most code points in the original text stays,
-    then the smallest id. Rows repeating one id and text share their verdict. Other
+    then the smallest id. Rows without an id come after
+    all ids; of those alone one stays, and ``keep_id`` is NULL. Rows repeating one id and text share their verdict. Other
     columns of ``docs`` are not read. An empty table gives an empty result.
     """
+    named, (docs, last) = docs, with_keys(docs, id_col)
     prints = fingerprints(docs, id_col, text_col, hash_bytes)
     # the best row as one number: most code points first, then the smallest id
     best = F.max(F.struct("_chars", (-F.col("_id")).alias("_minus")))
@@ -76,15 +78,17 @@ def exact_groups(
             groups.join(shared, "_hash", "left_semi"), ["_hash", "_norm"]
         )
         joined = single.unionByName(several.select(single.columns))
-    return joined.select(
+    result = joined.select(
         F.col("_id").alias(id_col),
         F.col("_keep").alias("keep_id"),
         F.col("_size").alias("group_size"),
         (F.col("_id") == F.col("_keep")).alias("kept"),
         F.col("_sha").alias("text_sha256"),
     )
+    return without_keys(result, last, named, id_col, "keep_id")
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged."""
-    return keep_rows(docs, exact_groups(docs, id_col, text_col).filter("kept"), id_col)
+    keyed, last = with_keys(docs, id_col)
+    return without_keys(keep_rows(keyed, exact_groups(keyed, id_col, text_col).filter("kept"), id_col), last, docs, id_col)

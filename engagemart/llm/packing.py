@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engagemart.llm.common import counted, hand_back, id_and_text, new_path, parts, small_batches
+from engagemart.llm.common import counted, hand_back, id_and_text, new_path, parts, small_batches, with_keys, without_keys
 from engagemart.llm.words import text_slices
 
 CAPACITY, END_ID = 4096, 1
@@ -229,8 +229,9 @@ def pack_documents(
     each on its own.
     """
     small_batches(docs.sparkSession)
+    named, (docs, last) = docs, with_keys(docs, id_col)
     cut, _ = counted(pieces(docs, tokenizer, id_col, text_col, capacity), "pieces")
-    return pack(cut, capacity, part_pieces).withColumnRenamed("_id", id_col)
+    return without_keys(pack(cut, capacity, part_pieces).withColumnRenamed("_id", id_col), last, named, id_col)
 
 
 def sequences(packed: DataFrame, cut: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -26,7 +26,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engagemart.llm.common import counted, hand_back, id_and_text, keep_rows, parts, small, small_batches, written
+from engagemart.llm.common import (
+    counted,
+    hand_back,
+    id_and_text,
+    keep_rows,
+    parts,
+    small,
+    small_batches,
+    with_keys,
+    without_keys,
+    written,
+)
 from engagemart.llm.components import components
 from engagemart.llm.words import LOWER, Powers, lists, mix, packed_chunks, text_slices, word_bounds, word_hashes
 
@@ -412,8 +423,10 @@ def near_components(
     ``percent``. ``class_id`` is the smallest id with the same set, ``component_id`` the smallest id reachable by
     links. NULL, empty and blank texts have the empty set and stay alone. Shingles
     are compared by 64-bit hashes. Ids are integers; rows repeating an id share its fate.
+    Rows without an id are documents of their own and come after all ids; NULL is the smallest id where there is no other.
     """
     small_batches(docs.sparkSession)
+    named, (docs, last) = docs, with_keys(docs, id_col)
     given = id_and_text(docs, id_col, text_col)
     size = docs.agg(F.sum(F.octet_length(text_col))).head()[0] or 0
     sets = written(set_prints(given, width), "near-sets")
@@ -449,7 +462,7 @@ def near_components(
     links = links.unionByName(compare(apart(fitting, links)))
     links = links.unionByName(compare(_rest_pairs(stars, sets, links, percent)))
     final = components(links)
-    return (
+    result = (
         nodes.join(final, F.col("_class") == F.col("_node"), "left")
         .select(
             F.col("_id").alias(id_col),
@@ -458,8 +471,11 @@ def near_components(
             F.coalesce("_component", "_class").alias("component_id"),
         )
     )
+    return without_keys(result, last, named, id_col, "class_id", "component_id")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one of each component: the smallest id. All columns unchanged."""
-    return keep_rows(docs, near_components(docs, id_col, text_col).filter(F.col(id_col) == F.col("component_id")), id_col)
+    keyed, last = with_keys(docs, id_col)
+    kept = near_components(keyed, id_col, text_col).filter(F.col(id_col) == F.col("component_id"))
+    return without_keys(keep_rows(keyed, kept, id_col), last, docs, id_col)

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 from engagemart.llm import (
     bwt_dedup,
+    common,
     decision_list,
     exact_dedup,
     license_scan,
@@ -337,6 +338,39 @@ def test_empty_tables(spark, frame):
         assert df.collect() == []
 
 
+def test_rows_without_an_id(spark, nasty):
+    """They count as rows of their own, behind all ids."""
+    rows = [(None if i % 4 == 1 else i, t) for i, t in nasty]
+    copy = " ".join(f"w{k}" for k in range(400))
+    rows += [(5000, copy), (None, copy), (6000, copy + " end"), (None, "alone " + " ".join(f"v{k}" for k in range(60)))]
+    keys = [(10_000 + n if i is None else i, t) for n, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id int, text string, source string").coalesce(1)
+
+    def real(i):
+        return None if i >= 10_000 else i
+
+    def check(df, columns, wanted, ids=(0,)):
+        wanted = [tuple(real(v) if k in ids else v for k, v in enumerate(row)) for row in wanted]
+        assert Counter(map(tuple, df.select(*columns).collect())) == Counter(wanted)
+        assert df.schema["doc_id"].dataType.simpleString() == "int"
+
+    check(exact_dedup.exact_groups(docs), ("doc_id", "keep_id", "group_size", "kept", "text_sha256"), brute.exact(keys), (0, 1))
+    check(partenum.near_components(docs), ("doc_id", "n_shingles", "component_id"), brute.near(keys), (0, 2))
+    check(suffix_trees.dedup_digest(docs), ("doc_id", "n_words", "n_removed", "kept_sha256"), brute.substrings(keys))
+    check(bwt_dedup.dedup_digest(docs), ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), brute.byte_spans(keys))
+    texts = dict(keys)
+    check(exact_dedup.drop_exact(docs), ("doc_id", "text"), [(r[0], texts[r[0]]) for r in brute.exact(keys) if r[3]])
+    check(partenum.drop_near(docs), ("doc_id", "text"), [(r[0], texts[r[0]]) for r in brute.near(keys) if r[0] == r[2]])
+    good = [(i, t) for i, t in keys if (c := brute.counts(t))[0] >= 20 and 100 * c[4] <= 30 * c[0]]
+    check(decision_list.keep_good(docs, labels_of(spark, [(6001, 0, 0), (6002, 1, 0)])), ("doc_id", "text"), good)
+    keyed, last = common.with_keys(docs, "doc_id")
+    assert last == 6000
+    mixed = mixing.mix(keyed).join(keyed.select("doc_id", "text"), "doc_id").collect()
+    check(mixing.mix_documents(docs), ("doc_id", "text"), [(r.doc_id + 10_000 * (r.doc_id > last), r.text) for r in mixed for _ in range(r.copies)])
+    packed = packing.pack_documents(docs, TOKENIZER, capacity=128)
+    assert packed.filter("doc_id is null").select("sequence_id", "offset").distinct().count() >= sum(i is None for i, _ in rows)
+
+
 def test_kept_rows_keep_their_columns(spark, frame, nasty):
     docs = frame(nasty, repeat=True)
     for kept in (exact_dedup.drop_exact(docs), partenum.drop_near(docs), mixing.mix_documents(docs), decision_list.keep_good(docs, labels_of(spark, []))):
