@@ -55,6 +55,39 @@ def without_keys(df: DataFrame, last: int | None, like: DataFrame, id_col: str,
     return df.withColumns({name: F.when(F.col(name) <= last, F.col(name)).cast(kind) for name in (id_col, *more)})
 
 
+def row_keys(docs: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with an id of its own in every row, and the given one in ``_given_id``; ``docs`` as given if it is so already.
+
+    Rows without an id, and all but one of the rows that share one, get keys above all ids. They are written once.
+    """
+    last, missing = docs.agg(F.max(docs[id_col]), F.count_if(docs[id_col].isNull())).head()
+    again = docs.groupBy(docs[id_col].alias("_again")).agg(F.count(F.lit(1)).alias("_rows"))
+    again, shared = counted(again.filter("_again is not null and _rows > 1").select("_again"), "shared-ids")
+    if not missing and not shared:
+        return docs
+    docs = docs.withColumn("_given_id", docs[id_col])
+    own, others = docs.filter(docs[id_col].isNotNull()), docs.filter(docs[id_col].isNull())
+    if shared:
+        same, again = F.col("_given_id") == F.col("_again"), small(again, shared, 24)
+        others = others.unionByName(own.join(again, same, "left_semi"))
+        own = own.join(again, same, "left_anti")
+    others = written(others.withColumn("_place", F.monotonically_increasing_id()), "without-own-id")
+    first = others.filter("_given_id is not null").groupBy("_given_id").agg(F.min("_place").alias("_first")).select("_first")
+    key = F.lit(-1 if last is None else int(last)).cast("bigint") + 1 + F.col("_place")
+    others = others.join(first, F.col("_place") == F.col("_first"), "left").withColumn(
+        id_col, F.when(F.col("_first").isNotNull(), F.col("_given_id").cast("bigint")).otherwise(key)
+    )
+    others = written(others.select(*docs.columns), "row-keys")
+    return own.withColumn(id_col, F.col(id_col).cast("bigint")).unionByName(others)
+
+
+def given_ids(df: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``row_keys(docs)`` with the ids and columns of ``docs``."""
+    if "_given_id" in df.columns and "_given_id" not in docs.columns:
+        df = df.withColumn(id_col, F.col("_given_id"))
+    return df.select(*docs.columns)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Long texts then reach Python workers a few at a time; rows and results stay the same."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

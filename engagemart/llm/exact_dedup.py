@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engagemart.llm.common import BLANKS, id_and_text, keep_rows, with_keys, without_keys, written
+from engagemart.llm.common import BLANKS, given_ids, id_and_text, keep_rows, row_keys, with_keys, without_keys, written
 
 _BLANKS = BLANKS.encode()
 
@@ -89,6 +89,6 @@ def exact_groups(
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns unchanged."""
-    keyed, last = with_keys(docs, id_col)
-    return without_keys(keep_rows(keyed, exact_groups(keyed, id_col, text_col).filter("kept"), id_col), last, docs, id_col)
+    """The rows of ``docs`` that stay, one of each group, also of rows repeating an id and text. All columns unchanged."""
+    keyed = row_keys(docs, id_col)
+    return given_ids(keep_rows(keyed, exact_groups(keyed, id_col, text_col).filter("kept"), id_col), docs, id_col)

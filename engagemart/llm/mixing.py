@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from engagemart.llm.common import counted, small, with_keys, without_keys
+from engagemart.llm.common import counted, given_ids, row_keys, small
 
 WEIGHTS = (3, 1, 2)
 #: Words mixed per word available, and the most times a word is taken.
@@ -163,9 +163,9 @@ def mix(
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, all columns unchanged, each as often as the mix takes it."""
-    named, (docs, last) = docs, with_keys(docs, id_col)
+    named, docs = docs, row_keys(docs, id_col)
     taken = mix(docs, id_col).filter("copies > 0").groupBy(F.col(id_col).alias("_taken")).agg(F.max("copies").alias("_copies"))
     taken, count = counted(taken, "mix-copies")
     given = docs.join(small(taken, count, 28), docs[id_col] == F.col("_taken"))
     given = given.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
-    return without_keys(given, last, named, id_col)
+    return given_ids(given, named, id_col)

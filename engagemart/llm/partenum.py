@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from engagemart.llm.common import (
     counted,
+    given_ids,
     hand_back,
     id_and_text,
     keep_rows,
     parts,
+    row_keys,
     small,
     small_batches,
     with_keys,
@@ -475,7 +477,10 @@ def near_components(
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one of each component: the smallest id. All columns unchanged."""
-    keyed, last = with_keys(docs, id_col)
+    """The rows of ``docs`` that stay, one of each component: the smallest id. All columns unchanged.
+
+    Of rows sharing an id, all but one count as behind all ids.
+    """
+    keyed = row_keys(docs, id_col)
     kept = near_components(keyed, id_col, text_col).filter(F.col(id_col) == F.col("component_id"))
-    return without_keys(keep_rows(keyed, kept, id_col), last, docs, id_col)
+    return given_ids(keep_rows(keyed, kept, id_col), docs, id_col)
