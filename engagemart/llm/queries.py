@@ -8,20 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from engagemart.llm import (
+    alignment,
     bwt_dedup,
     decision_list,
     exact_dedup,
+    lexical,
     license_scan,
     mixing,
     packing,
     partenum,
     sharding,
     suffix_trees,
+    token_store,
     warc,
 )
 from engagemart.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +71,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_trees.dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.roundtrip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in (TOKENIZER_A, TOKENIZER_B)]
+    return alignment.alignment(table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,5 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_warc,
         op10_substring_dedup,
+        op11_token_output,
+        op12_lexical_search,
+        op13_tokenizer_alignment,
     )
 }

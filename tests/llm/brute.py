@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -138,3 +139,56 @@ def mix_targets(sizes):
             left -= stopped[s]
         open_ -= over
     return stopped
+
+
+def search(docs, items, k=50):
+    """(item, rank, doc, score) rows; ``docs`` and ``items`` may repeat ids or lack them."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    bags = [(i, Counter(term.findall((text or "").translate(LOWER)))) for i, text in docs]
+    n, total = sum(bool(bag) for _, bag in bags), sum(sum(bag.values()) for _, bag in bags)
+    df = Counter(t for _, bag in bags for t in bag)
+    out = []
+    for item, text in items:
+        wanted, found = set(term.findall((text or "").translate(LOWER))), []
+        for i, bag in bags:
+            m = 100 - 50 + (50 * sum(bag.values()) * n) // max(total, 1)
+            score = sum(
+                math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((10**9 * bag[t]) // (1000 * bag[t] + 20 * m))
+                for t in wanted & bag.keys()
+            )
+            if score > 0:
+                found.append((-score, i is None, i))
+        found.sort(key=lambda x: (*x[:2], x[2] or 0))
+        out += [(item, rank, i, -score) for rank, (score, _, i) in enumerate(found[:k], start=1)]
+    return sorted(out, key=repr)
+
+
+def alignment(docs, encode_a, bytes_a, encode_b, bytes_b):
+    """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) rows from two encoders and their tokens' bytes."""
+    found, counts = [], Counter()
+    for i, text in docs:
+        a, b = (encode(text) if text else [] for encode in (encode_a, encode_b))
+        spelt = [[side[x] for x in ids] for side, ids in ((bytes_a, a), (bytes_b, b))]
+        if any(b"".join(x) != (" " + (text or "")).encode() for x in spelt):
+            a, b, spelt = [], [], [[], []]
+        ends = [[sum(map(len, x[: k + 1])) for k in range(len(x))] for x in spelt]
+        links, groups, at = [], [], [0, 0]
+        for end in sorted(set(ends[0]) & set(ends[1])):
+            past = [ends[side].index(end) + 1 for side in (0, 1)]
+            own = a[at[0] : past[0]], b[at[1] : past[1]]
+            links.append((own[0][-1], own[1][-1]))
+            groups.append("|".join(",".join(map(str, ids)) for ids in own))
+            at = past
+        counts.update(links)
+        found.append((i, len(a), len(b), links, groups))
+    best = {}
+    for (_, y), n in counts.items():
+        best[y] = max(best.get(y, 0), n)
+    return sorted(
+        (
+            (i, n_a, n_b, len(groups), len(links), sum(counts[x] == best[x[1]] for x in links), sum(counts[x] for x in links),
+             hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
+            for i, n_a, n_b, links, groups in found
+        ),
+        key=repr,
+    )
