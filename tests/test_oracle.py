@@ -3,7 +3,8 @@
 import pytest
 from oracle_check import compare, connect
 
-from __spark_entry__ import oracle_sql, queries
+from engagemart.oracle import ORACLE_SQL
+from engagemart.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,6 +15,6 @@ def connection():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    assert compare(spark, connection, name, queries()[name], oracle_sql()[name], SF) == ""
+    assert compare(spark, connection, name, QUERIES[name], ORACLE_SQL[name], SF) == ""

@@ -4,7 +4,9 @@ import pytest
 import raw
 
 from __spark_entry__ import entry, oracle_sql, queries
+from engagemart.oracle import ORACLE_SQL
 from engagemart.plans import marts as M
+from engagemart.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 LAZY = [
@@ -59,4 +61,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_expected_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(oracle_sql()) <= set(queries())
