@@ -109,3 +109,14 @@ def media_hashtag_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_hashtag(spark, sf_dir).selectExpr(
         "media_id", "user_id", "caption", f"concat({wall}, 'Z') timestamp", "media_type"
     )
+
+
+def order_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as states of one post per order, each with its own time."""
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey as string) media_id",
+        "cast(l_suppkey as string) user_id",
+        "cast(l_quantity as int) like_count",
+        "cast(l_linenumber as int) comments_count",
+        "l_shipdate updated_at",
+    )

@@ -249,6 +249,16 @@ select media_id, user_id, like_count, comments_count, media_type, ts updated_at
 from media m where not exists (
   select 1 from lineitem where cast(l_orderkey as varchar) = m.media_id)"""
 
+_LATEST_STATES = """
+select media_id, user_id, like_count, comments_count, updated_at
+from (
+  select *, row_number() over (partition by media_id
+    order by updated_at desc, user_id desc, like_count desc, comments_count desc) place
+  from (select cast(l_orderkey as varchar) media_id, cast(l_suppkey as varchar) user_id,
+      cast(l_quantity as int) like_count, cast(l_linenumber as int) comments_count,
+      l_shipdate updated_at from lineitem))
+where place = 1"""
+
 
 def _logged(hour: str, time: str) -> str:
     return (
@@ -363,7 +373,12 @@ select user_id, user_name, name, tag_name, profile_picture_url, followers_count,
   del_yn, cast(created_at as timestamp) created_at, cast(updated_at as timestamp) updated_at
 from stage_brand""",
     "load_upsert": _UPSERTED,
+    "load_upsert_batches": _LATEST_STATES,
+    "load_upsert_late": _LATEST_STATES,
     "load_append": "select media_id, user_id, caption, ts, media_type, created_at from media_hashtag",
+    "load_append_corrected": """
+select media_id, caption, created_at, strftime(created_at, '%Y') load_slice
+from media_hashtag where year(created_at) % 2 = 0""",
     "load_log_append": _union(
         [_logged(f"hour-0{h}", f"2024-02-01 0{h}:00:00") for h in (2, 3, 4)]
     ),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from engagemart import constants as K
 from engagemart import fixtures as X
 from engagemart.operators import quality as Q
+from engagemart.operators.latest import latest_per_key
 from engagemart.operators.lookup import Lookup
 from engagemart.operators.ranking import Rank, add_ranks, rankable
 from engagemart.plans import marts as M
@@ -31,6 +32,7 @@ EARLIER_DATE = "2024-02-01T02:00:00+00:00"
 RANGE_ROWS = 5_000
 BUCKETS = 8
 BACKLOG_HOURS = 4
+SMALL_BATCHES = 50
 
 MEDIA_CONTRACT = [
     Row(column_name=name, is_nullable=null, data_type=kind,
@@ -336,13 +338,38 @@ def load_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber comments_count",
         "l_shipdate updated_at",
     )
-    for rows in (posts, batch, batch):
-        store.upsert("media", rows, "media_id", ["updated_at"])
+    for rows in (posts, batch, batch):  # without recency, the later load wins
+        newest = latest_per_key(rows, "media_id", ["updated_at"])
+        store.upsert("media", newest, "media_id", keys_unique=True)
     return store.read("media").select(
         "media_id", "user_id", "like_count", "comments_count", "media_type", "updated_at"
     )
 
 
+def load_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as posts, loaded in fifty small batches that come in no order of time; each post recurs in several."""
+    store = raw_store(spark, new_path(spark, "tables"), BUCKETS)
+    posts = X.order_states(spark, sf_dir).withColumn(
+        "batch", F.pmod(F.xxhash64("media_id", "updated_at"), F.lit(SMALL_BATCHES))
+    )
+    path = new_path(spark, "batches")
+    posts.repartition("batch").write.partitionBy("batch").parquet(path)
+    for number in range(SMALL_BATCHES):
+        arrived = spark.read.schema(posts.drop("batch").schema).parquet(f"{path}/batch={number}")
+        store.upsert("media", arrived, "media_id", ["updated_at"], f"batch-{number:02d}")
+    return store.read("media").select("media_id", "user_id", "like_count", "comments_count", "updated_at")
+
+
+def load_upsert_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of posts loaded latest first: stored rows that are more recent stay."""
+    store = raw_store(spark, new_path(spark, "tables"), BUCKETS)
+    posts = X.order_states(spark, sf_dir)
+    middle = F.expr("timestamp_ntz'1995-01-01 00:00:00'")
+    for rows in (posts.where(F.col("updated_at") >= middle), posts.where(F.col("updated_at") < middle)):
+        store.upsert("media", rows, "media_id", ["updated_at"])
+    return store.read("media").select("media_id", "user_id", "like_count", "comments_count", "updated_at")
+
+
 def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashtag posts appended as one slice per ship year, then the same slices again."""
     store = raw_store(spark, new_path(spark, "tables"))
@@ -364,6 +391,18 @@ def load_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_append_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices by ship year; a second load corrects all of them, and those of odd years have become empty."""
+    store = raw_store(spark, new_path(spark, "tables"))
+    posts = X.media_hashtag(spark, sf_dir)
+    year = F.date_format("created_at", "yyyy")
+    store.append("media_hashtag", posts, year)
+    years = [row[0] for row in posts.select(year).distinct().collect()]
+    even = posts.where(F.year("created_at") % 2 == 0)
+    store.append("media_hashtag", even, year, slices=years)
+    return store.read_slices("media_hashtag").select("media_id", "caption", "created_at", "load_slice")
+
+
 # --- ranking -----------------------------------------------------------------
 
 
@@ -421,7 +460,10 @@ QUERIES: dict[str, Query] = {
         contract_rules,
         load_replace,
         load_upsert,
+        load_upsert_batches,
+        load_upsert_late,
         load_append,
+        load_append_corrected,
         load_log_append,
         distributed_rank,
     )

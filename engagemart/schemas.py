@@ -115,9 +115,11 @@ CONTRACT_TYPES = {
     "timestamp with time zone": T.TimestampType(),
 }
 
-PUBLICATION_LOG = struct(
-    table_name=_STRING, path=_STRING, run_id=_STRING, published_at=T.TimestampType()
+# What queries over a publication log need of its commits.
+COMMITS = struct(
+    run_id=_STRING, published_at=_LONG, put=T.MapType(_STRING, struct(path=_STRING))
 )
+SUPERSEDED = struct(table_name=_STRING, path=_STRING, micros=_LONG)
 
 CHECK_RESULTS = struct(
     table_name=_STRING,
@@ -128,4 +130,4 @@ CHECK_RESULTS = struct(
     passed=T.BooleanType(),
 )
 
-BUCKET_LAYOUT = struct(key=_STRING, buckets=_INT)
+BUCKET_LAYOUT = struct(key=_STRING, buckets=_INT, recency=T.ArrayType(_STRING))

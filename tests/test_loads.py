@@ -4,12 +4,14 @@ import pytest
 import raw
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from engagemart.operators.latest import latest_per_key
 from engagemart.plans.etl import raw_store
 from engagemart.schemas import RAW_TABLES
 from engagemart.scratch import new_path
 from engagemart.sinks import loads as L
+from engagemart.sinks.log import CommitConflict
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 SCHEMA = "media_id string, like_count int, updated_at timestamp_ntz"
@@ -92,17 +94,118 @@ def test_upsert_with_keys_too_large_to_broadcast(spark, monkeypatch):
     assert stored(s) == sorted([(str(i), i) for i in range(50)] + [(str(i), -i) for i in range(50, 150)])
 
 
-def test_untouched_buckets_are_left_alone(spark):
+def files(df):
+    return set(df.inputFiles())
+
+
+def test_an_upsert_rewrites_nothing(spark):
     s = store(spark, buckets=16)
     s.upsert("media", batch(spark, *[(str(i), i, T1) for i in range(200)]), "media_id")
+    before = files(s.read("media"))
+    s.upsert("media", batch(spark, ("7", -7, T2)), "media_id")
+    after = files(s.read("media"))
+    assert before < after and len(after - before) == 1
 
-    def files():
-        return set(s.read("media").inputFiles())
 
-    before = files()
+def test_untouched_buckets_are_left_alone(spark):
+    s = store(spark, buckets=16)
+    s.upsert("media", batch(spark, *[(str(i), i, T1) for i in range(200)]), "media_id")
+    before = files(s.read("media"))
     s.upsert("media", batch(spark, ("7", -7, T2)), "media_id")
-    gone = before - files()
+    s.fold("media")
+    gone = before - files(s.read("media"))
     assert len({path.split("key_bucket=")[1].split("/")[0] for path in gone}) == 1
+    assert dict(stored(s))["7"] == -7 and len(stored(s)) == 200
+
+
+def written_rows(s):
+    """Rows in all files that uncounted, replaced and current loads have left."""
+    folder = f"{s.root}/media/runs"
+    return s.spark.read.option("recursiveFileLookup", "true").schema(RAW_TABLES["media"]).parquet(folder).count()
+
+
+def test_bytes_written_grow_with_the_batch(spark):
+    s = store(spark, buckets=4)
+    s.upsert("media", batch(spark, *[(f"{i:05d}", i, T1) for i in range(4000)]), "media_id", ["updated_at"])
+    first, size = written_rows(s), 20
+    for hour in range(16):
+        records = [(f"{(hour * 977 + i * 31) % 4500:05d}", hour, datetime(2024, 1, 2, hour)) for i in range(size)]
+        s.upsert("media", batch(spark, *records), "media_id", ["updated_at"])
+    # sixteen batches, each merged into a larger run once, and the table never rewritten
+    assert written_rows(s) - first <= 2 * 16 * size
+    state = s.versions("media").state()
+    assert len(state.below("media/run/")) < L.TIER_RUNS
+    assert len(stored(s)) == len({k for k, _ in stored(s)}) > 4000
+
+
+def test_runs_are_folded_once_they_are_a_fair_part(spark):
+    s = store(spark, buckets=2)
+    s.upsert("media", batch(spark, *[(f"{i:03d}", i, T1) for i in range(40)]), "media_id", ["updated_at"])
+    for hour in range(L.TIER_RUNS):
+        s.upsert("media", batch(spark, *[(f"{i:03d}", -hour, datetime(2024, 1, 2, hour)) for i in range(5)]), "media_id", ["updated_at"])
+    state = s.versions("media").state()
+    assert not state.below("media/run/") and sum(e["rows"] for e in state.below("media/base/").values()) == 40
+    assert stored(s)[:6] == [(f"{i:03d}", 1 - L.TIER_RUNS) for i in range(5)] + [("005", 5)]
+
+
+@pytest.mark.parametrize("limit", [L.BROADCAST_BYTES, 0])
+def test_batches_in_any_order_give_the_same_table(spark, rows, monkeypatch, limit):
+    monkeypatch.setattr(L, "BROADCAST_BYTES", limit)
+    T3 = datetime(2024, 1, 3)
+    loads = [
+        [("a", 1, T1), ("b", 5, T2), ("c", 1, None)],
+        [("a", 2, T2), ("b", 4, T1), ("d", 1, T1)],
+        [("a", 3, T2), ("c", 2, None), ("d", 9, T3)],
+    ]
+    seen = set()
+    for order in ((0, 1, 2), (2, 1, 0), (1, 2, 0)):
+        s = store(spark)
+        for number in order:
+            s.upsert("media", batch(spark, *loads[number]), "media_id", ["updated_at"])
+        once = tuple(stored(s))
+        s.fold("media")
+        assert tuple(stored(s)) == once
+        seen.add(once)
+    assert seen == {(("a", 3), ("b", 5), ("c", 2), ("d", 9))}
+
+
+def test_an_older_batch_leaves_newer_rows(spark):
+    s = store(spark)
+    s.upsert("media", batch(spark, ("a", 2, T2)), "media_id", ["updated_at"])
+    s.upsert("media", batch(spark, ("a", 1, T1)), "media_id", ["updated_at"])
+    assert stored(s) == [("a", 2)]
+    with pytest.raises(ValueError, match="ordered by"):
+        s.upsert("media", batch(spark, ("a", 3, T2)), "media_id")
+
+
+def test_files_out_of_the_range_of_keys_are_not_opened(spark):
+    s = store(spark, buckets=1)
+    s.upsert("media", batch(spark, *[(f"{i:03d}", i, T1) for i in range(100)]), "media_id", ["updated_at"])
+    s.upsert("media", batch(spark, ("005", -5, T2), ("007", -7, T2)), "media_id", ["updated_at"])
+    s.upsert("media", batch(spark, ("500", 500, T2)), "media_id", ["updated_at"])
+    everything, near, far = s.read_keys("media"), s.read_keys("media", "004", "006"), s.read_keys("media", "400")
+    assert len(files(everything)) == 3 and len(files(near)) == 2 and len(files(far)) == 1
+    assert sorted((r.media_id, r.like_count) for r in near.collect()) == [("004", 4), ("005", -5), ("006", 6)]
+    assert [(r.media_id, r.like_count) for r in far.collect()] == [("500", 500)]
+    assert s.read_keys("media", "6").collect() == []
+
+
+def test_a_fold_that_another_writer_has_done_is_refused(spark, monkeypatch):
+    s = store(spark)
+    s.upsert("media", batch(spark, ("a", 1, T1)), "media_id", ["updated_at"])
+    s.upsert("media", batch(spark, ("a", 2, T2)), "media_id", ["updated_at"])
+    merged, again = s._merged, []
+
+    def slow(*args):
+        if not again:
+            again.append(1)
+            raw_store(spark, s.root, 4).fold("media")
+        return merged(*args)
+
+    monkeypatch.setattr(s, "_merged", slow)
+    with pytest.raises(CommitConflict):
+        s.fold("media")
+    assert stored(s) == [("a", 2)]
 
 
 def test_a_failed_upsert_leaves_the_table_as_it_was(spark, monkeypatch):
@@ -147,6 +250,31 @@ def test_append_is_idempotent_per_slice(spark):
     assert {r[0] for r in s.read_slices("media_hashtag").select(L.SLICE_COLUMN).distinct().collect()} == {"h1", "h2"}
 
 
+def test_an_emptied_slice_is_empty(spark, rows):
+    s = store(spark)
+    posts = raw.media_hashtag(spark)
+    s.append("media_hashtag", posts, "h1")
+    s.append("media_hashtag", posts, "h2")
+    s.append("media_hashtag", posts.limit(0), "h1")
+    assert [r[0] for r in s.read_slices("media_hashtag").select(L.SLICE_COLUMN).distinct().collect()] == ["h2"]
+    assert s.read_slices("media_hashtag", ["h1"]).count() == 0
+    s.append("media_hashtag", posts, "h1")
+    assert s.read_slices("media_hashtag", ["h1", "h3"]).count() == posts.count()
+    manifest = s.versions("media_hashtag").state().below("media_hashtag/slice/")
+    assert {name.rsplit("/", 1)[1]: entry["rows"] for name, entry in manifest.items()} == {"h1": 6, "h2": 6}
+
+
+def test_many_slices_at_once(spark):
+    s = store(spark)
+    posts = raw.media_hashtag(spark)
+    s.append("media_hashtag", posts, F.col("user_id"))
+    users = {r[0] for r in posts.select("user_id").distinct().collect()}
+    assert {r[0] for r in s.read_slices("media_hashtag").select(L.SLICE_COLUMN).distinct().collect()} == users
+    gone = sorted(users)[0]
+    s.append("media_hashtag", posts.where(F.col("user_id") != gone), F.col("user_id"), slices=sorted(users))
+    assert s.read("media_hashtag").count() == posts.where(F.col("user_id") != gone).count()
+
+
 def test_load_strategies(spark):
     s = store(spark)
     brand, media = raw.brand(spark), raw.media(spark)
