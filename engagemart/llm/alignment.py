@@ -1,10 +1,11 @@
 """Alignment of two tokenizers over a corpus, in Arrow.
 
-Every slice of texts becomes two list columns of ids. Their flattened lists, parent indices and segmented
-cumulative sums of token bytes give each token's end within its document; a hash join on (document, end)
-finds the ends both tokenizers share, which are the links and cut both token rows into groups. Links are
-counted by id pair with ``Table.group_by`` in each task and merged by Spark; a second pass over the written
-links joins the counts back.
+Every slice of texts becomes two list columns of ids; chunks of text that no token reaches out of are told
+apart by dictionary encoding, so each distinct one is encoded once. The lists' flattened values, parent
+indices and segmented cumulative sums of token bytes give each token's end within its document; a hash join
+on (document, end) finds the ends both tokenizers share, which are the links and cut both token rows into
+groups. Links are counted by id pair with ``Table.group_by`` in each task and merged by Spark; a second pass
+over the written links joins the counts back.
 
 What is sent to every task is bounded by the vocabularies, not by the corpus: of two tokens that end
 together one is a suffix of the other, so there are at most as many id pairs as tokens have suffixes in
@@ -29,10 +30,12 @@ from pyspark.sql import functions as F
 
 from engagemart.llm.common import hand_back, new_path, small_batches
 from engagemart.llm.packing import _byte_letters
-from engagemart.llm.words import text_slices
+from engagemart.llm.word_tokens import KnownIds, flat
+from engagemart.llm.words import BLANK, text_slices
 
-#: Bytes of text aligned at a time.
-SLICE_BYTES = 2 << 20
+#: Bytes of text aligned at a time; chunks of text whose ids a worker keeps.
+SLICE_BYTES, KEPT_CHUNKS = 1 << 20, 400_000
+_SPACE = np.arange(256) == 32
 #: Fixed value: how byte-level vocabularies of this family split text before merging.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Scripts whose letters, digits and blanks all libraries class alike; texts with others go through the slower one.
@@ -64,16 +67,15 @@ class ByteTokens:
         for token, number in ranks.items():
             self.bytes[number] = token
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, each a run of blanks and what follows up to the next one: no merge crosses into the next blank."""
         found = []
-        for text in texts:
-            if not text:
-                found.append(np.zeros(0, np.uint32))
-            elif text.isascii() or _SETTLED.fullmatch(text):
-                found.append(self._encoding.encode_to_numpy(" " + text))
+        for text in map(bytes.decode, chunks):
+            if text.isascii() or _SETTLED.fullmatch(text):
+                found.append(self._encoding.encode_ordinary(text))
             else:
-                found.append(np.array(self._tokenizer.encode(" " + text, add_special_tokens=False).ids, np.uint32))
-        return found
+                found.append(self._tokenizer.encode(text, add_special_tokens=False).ids)
+        return flat(found)
 
 
 class PieceTokens:
@@ -89,9 +91,15 @@ class PieceTokens:
             bytes([int(h[1], 16)]) if h else piece.replace("▁", " ").encode() for h, piece in zip(hexed, pieces, strict=True)
         ]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        found = iter(self._model.encode([text for text in texts if text], num_threads=1))
-        return [np.array(next(found) if text else [], np.uint32) for text in texts]
+        self._space = self._model.piece_to_id("▁")
+        if any("▁" in piece.lstrip("▁") for piece in pieces):
+            raise ValueError("pieces must not span a space after other characters")
+
+    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, each a run of spaces, of which the model adds the first itself, and what follows up to the next one."""
+        found = self._model.encode([chunk[1:].decode() for chunk in chunks], num_threads=1)
+        # of nothing at all, the model does not add a space
+        return flat([ids if chunk != b" " else [self._space] for ids, chunk in zip(found, chunks, strict=True)])
 
 
 def pair_bound(a: list[bytes], b: list[bytes]) -> int:
@@ -101,19 +109,37 @@ def pair_bound(a: list[bytes], b: list[bytes]) -> int:
     return longer + sum(by_a[token[k:]] for token in b for k in range(1, len(token)))
 
 
-def _list(rows: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])]).astype(np.int32)
-    flat = np.concatenate([np.zeros(0, np.uint32), *rows]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+def _spaced(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the texts, each after a space, and where each begins (n + 1). NULL and empty texts have no bytes."""
+    ((_, _, data, offsets),) = text_slices(texts, 1 << 62)
+    sizes = np.diff(offsets)
+    begins = np.concatenate([[0], np.cumsum(sizes + (sizes > 0))])
+    spaced = np.full(begins[-1], 32, np.uint8)
+    spaced[np.arange(len(data)) + np.repeat(begins[1:] - offsets[1:], sizes)] = data
+    return spaced, begins
+
+
+def _ids(known: KnownIds, blanks: np.ndarray, data: np.ndarray, begins: np.ndarray) -> pa.ListArray:
+    """Ids of the spaced texts, chunk by chunk."""
+    blank = blanks[data]
+    starts = blank.copy()
+    starts[1:] &= ~blank[:-1]
+    starts[begins[:-1][np.diff(begins) > 0]] = True
+    starts = np.flatnonzero(starts)
+    ids, ends = known.gather(data, starts)
+    bounds = ends[np.searchsorted(starts, begins)]
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
 
 
-def _joined(tokens: pa.Array, lists: pa.ListArray) -> list[memoryview]:
-    """Each row's token bytes, one after the other."""
-    flat = tokens.take(lists.flatten())
-    data, offsets = flat.buffers()[2], np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1)
-    ends = offsets[lists.offsets.to_numpy()]
-    view = memoryview(data if data else b"").cast("B")  # unsigned, as bytes compare
-    return [view[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+def _unspelt(tokens: pa.Array, lists: pa.ListArray, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Which rows' token bytes, one after the other, are not the row's text."""
+    joined = tokens.take(lists.flatten())
+    own = np.frombuffer(joined.buffers()[2] or b"", np.uint8)
+    ends = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1)[lists.offsets.to_numpy()]
+    if np.array_equal(ends, begins) and np.array_equal(own[: len(data)], data):
+        return np.zeros(len(lists), bool)
+    rows = zip(ends[:-1], ends[1:], begins[:-1], begins[1:], strict=True)
+    return np.array([not np.array_equal(own[a:b], data[x:y]) for a, b, x, y in rows], bool)
 
 
 class Aligner:
@@ -125,17 +151,26 @@ class Aligner:
         labels = [f"{k}{mark}" for side, end in ((self.a, "|"), (self.b, ";")) for k in range(len(side.bytes)) for mark in (",", end)]
         self._labels = pa.array([label.encode() for label in labels], pa.large_binary())
 
-    def _lists(self, texts: list[str]) -> list[pa.ListArray]:
+        self._known = [KnownIds(side.encode, KEPT_CHUNKS) for side in (self.a, self.b)]
+
+    def _lists(self, texts: pa.Array) -> list[pa.ListArray]:
         """Both sides' ids; none in either for texts that the tokens do not spell."""
-        sides = [side.encode(texts) for side in (self.a, self.b)]
-        wanted = [b" " + text.encode() if text else b"" for text in texts]
-        spelt = [_joined(tokens, _list(rows)) for tokens, rows in zip(self._bytes, sides, strict=True)]
-        bad = [row for row, want in enumerate(wanted) if spelt[0][row] != want or spelt[1][row] != want]
-        for row in bad:
-            sides[0][row] = sides[1][row] = np.zeros(0, np.uint32)
-        return [_list(rows) for rows in sides]
-
-    def align(self, texts: list[str]) -> tuple[list[pa.ListArray], pa.Table]:
+        data, begins = _spaced(texts)
+        lists = [_ids(known, blanks, data, begins) for known, blanks in zip(self._known, (BLANK, _SPACE), strict=True)]
+        bad = np.zeros(len(texts), bool)
+        for tokens, rows in zip(self._bytes, lists, strict=True):
+            bad |= _unspelt(tokens, rows, data, begins)
+        if not bad.any():
+            return lists
+        good = pa.array(~bad)
+        kept = [rows.filter(good) for rows in lists]
+        sizes = [np.where(bad, 0, pc.list_value_length(rows).to_numpy()) for rows in lists]
+        return [
+            pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), rows.flatten())
+            for rows, n in zip(kept, sizes, strict=True)
+        ]
+
+    def align(self, texts: pa.Array) -> tuple[list[pa.ListArray], pa.Table]:
         """Both sides' ids, and the links in order: document (row), place and id of the A token and of the B token."""
         lists, tables = self._lists(texts), []
         for rows, sizes, side in zip(lists, self._sizes, "ab", strict=True):
@@ -180,8 +215,8 @@ def _links(path_a: str, path_b: str):
             aligner = aligner or Aligner(path_a, path_b)
             schema = batch.schema.field("_id")
             for first, past, _, _ in text_slices(batch.column("_text"), SLICE_BYTES):
-                texts = batch.column("_text").slice(first, past - first).to_pylist()
-                lists, links = aligner.align([text or "" for text in texts])
+                texts = batch.column("_text").slice(first, past - first)
+                lists, links = aligner.align(texts)
                 own = links.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["a", "b", "n"])
                 counts = own if counts is None else pa.concat_tables([counts, own])
                 if len(counts) > 1 << 20:
