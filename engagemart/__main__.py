@@ -97,27 +97,29 @@ def _contract(spark: SparkSession, path: str | None) -> list[Row] | None:
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session(f"engagemart-{args.job}", args.input_bytes)
+    contract = _contract(spark, args.contract) if args.job in ("etl", "ingest") else None
+    further = {args.entity: contract} if contract else {}
     if args.job == "etl":
         run_etl(
-            raw_store(spark, args.store),
+            raw_store(spark, args.store, contracts_by_entity=further),
             args.entity,
             args.slice,
             args.stage,
             args.logical_date,
             PurePosixPath(args.slice).name,
-            _contract(spark, args.contract),
+            contract,
             not args.json_lines,
             args.stage_format,
         )
     elif args.job == "ingest":
         ingest_available(
-            raw_store(spark, args.store),
+            raw_store(spark, args.store, contracts_by_entity=further),
             args.entity,
             args.raw,
             args.stage,
             args.checkpoint,
             args.logical_date,
-            _contract(spark, args.contract),
+            contract,
             not args.json_lines,
             fmt=args.stage_format,
         )

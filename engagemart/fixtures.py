@@ -7,6 +7,7 @@ posts and orders for the follower history. Every mapping covers its whole table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from engagemart.sources.tables import TableSource
 
@@ -120,3 +121,29 @@ def order_states(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(l_linenumber as int) comments_count",
         "l_shipdate updated_at",
     )
+
+
+def wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts with fields that no fixed schema names: two that a contract may, one that none does."""
+    return media_documents(spark, sf_dir).selectExpr(
+        "*",
+        """concat('p"[{', media_id) shortcode""",
+        "cast(media_id as bigint) * 7 view_count",
+        "if(like_count > 20, media_type, null) campaign",
+    )
+
+
+def write_array(df: DataFrame, path: str) -> None:
+    """One file with all rows as one JSON array, a field a line, as upstream producers write it.
+
+    A text sink of one partition stands in for such a producer; it only lays out test data.
+    """
+    document = F.to_json(F.struct("*"), {"pretty": "true"})
+    rows = df.select(document.alias("value"), F.lit(1).alias("_order"), F.monotonically_increasing_id().alias("_row"))
+    edges = df.sparkSession.sql("select '[' value, 0 _order, 0L _row union all select ']', 2, 0L")
+    # commas close all documents but the last
+    last = rows.agg(F.max("_row").alias("_last"))
+    rows = rows.join(F.broadcast(last)).select(
+        F.when(F.col("_row") < F.col("_last"), F.concat("value", F.lit(","))).otherwise(F.col("value")).alias("value"), "_order", "_row"
+    )
+    rows.unionByName(edges).coalesce(1).sortWithinPartitions("_order", "_row").select("value").write.text(path)

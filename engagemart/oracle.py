@@ -329,6 +329,22 @@ select event_id, value, strftime(ts, '%Y-%m-%d') ds, cast(hour(ts) as int) hh fr
 where cast(ts as date) between date'2024-01-08' and date'2024-01-14'""",
     "etl_media": _LOADED_MEDIA,
     "ingest_backlog": _CAUGHT_UP,
+    "etl_contract_columns": """
+select media_id, cast(ts as timestamp) ts, like_count, media_type,
+  concat('p"[{', media_id) shortcode, cast(media_id as bigint) * 7 view_count
+from stage_media where media_type = 'IMAGE' and media_product_type is not null""",
+    "json_array_split": "select * from pages",
+    "contract_drift": """
+select field, cast(sum(documents) as bigint) documents,
+  case when not max(expected) then 'unknown' when sum(documents) = 0 then 'missing' else 'known' end status
+from (
+  select unnest(['media_id', 'user_id', 'timestamp', 'like_count', 'comments_count', 'media_type',
+    'media_product_type', 'shortcode', 'view_count', 'location']) field, 0 documents, true expected
+  union all select unnest(['media_id', 'user_id', 'timestamp', 'like_count', 'comments_count', 'media_type',
+    'shortcode', 'view_count']), 1, false from media
+  union all select 'media_product_type', 1, false from media where media_product_type is not null
+  union all select 'campaign', 1, false from media where like_count > 20)
+group by field""",
     "elt_gated_hashtag_count": _TOP.format(limit=1000),
     "elt_gated_aggregated_brand_information": "select * from aggregated_brand_information",
     "elt_gated_popularity_calculation": "select * from popularity_calculation",

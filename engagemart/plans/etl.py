@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,17 @@ def rules_for(entity: str, contract: Sequence[Row] | None = None) -> list[Q.Rule
     return default_rules(entity) if contract is None else Q.rules_from_contract(contract)
 
 
+def further_fields(entity: str, contract: Sequence[Row] | None) -> list[T.StructField]:
+    """Columns that only the contract knows of; documents have them under the same names."""
+    return contracts.further_fields(contract or [], RAW_TABLES[entity])
+
+
+def document_schema(entity: str, contract: Sequence[Row] | None = None) -> T.StructType:
+    """Fields read from raw documents, as text: the entity's own and those its contract adds."""
+    more = [T.StructField(field.name, T.StringType()) for field in further_fields(entity, contract)]
+    return T.StructType([*text_documents(entity).fields, *more])
+
+
 def stage_and_check(
     raw: DataFrame,
     entity: str,
@@ -54,6 +65,7 @@ def stage_and_check(
         for field in RAW_DOCUMENTS[entity].fields
         if isinstance(field.dataType, T.IntegerType) and field.name in raw.columns
     }
+    numbers |= {field.name: field.dataType.simpleString() for field in further_fields(entity, contract)}
     raw = raw.withColumns({name: F.trim(F.col(name).cast("string")) for name in numbers})
     staged = STAGERS[entity](raw, logical_date)
     if contract is not None:
@@ -76,6 +88,9 @@ def load_slice(
     fmt: str = STAGING_FORMAT,
 ) -> None:
     """Stage, check and load one slice with the entity's strategy."""
+    lost = [f.name for f in further_fields(entity, contract) if f.name not in store.schemas[entity].names]
+    if lost:
+        raise contracts.ContractError(f"the store of {entity} has no columns {', '.join(lost)}")
     staged = stage_and_check(raw, entity, logical_date, stage_path, contract, fmt)
     method, key, has_log = K.LOAD_METHODS[entity]
     checked_unique = key is not None and Q.unique(key) in rules_for(entity, contract)
@@ -93,10 +108,23 @@ def run_etl(
     multi_line: bool = True,
     fmt: str = STAGING_FORMAT,
 ) -> None:
-    raw = read_slice(store.spark, slice_path, text_documents(entity), multi_line)
+    raw = read_slice(store.spark, slice_path, document_schema(entity, contract), multi_line, split=True)
     load_slice(store, entity, raw, stage_path, logical_date, slice_id, contract, fmt)
 
 
-def raw_store(spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS) -> RawStore:
-    """The raw tables under ``root``. ``buckets`` sizes new upsert tables: aim for 10 GB each."""
-    return RawStore(spark, root, RAW_TABLES, buckets)
+def raw_store(
+    spark: SparkSession,
+    root: str,
+    buckets: int = DEFAULT_BUCKETS,
+    contracts_by_entity: Mapping[str, Sequence[Row]] | None = None,
+) -> RawStore:
+    """The raw tables under ``root``, with the further columns that contracts name.
+
+    ``buckets`` sizes new upsert tables: aim for 10 GB each.
+    """
+    schemas = dict(RAW_TABLES)
+    for entity, contract in (contracts_by_entity or {}).items():
+        for name in (entity, f"{entity}_log"):
+            if name in schemas:
+                schemas[name] = contracts.widen(schemas[name], contract)
+    return RawStore(spark, root, schemas, buckets)

@@ -17,12 +17,12 @@ from engagemart.operators.ranking import Rank, add_ranks, rankable
 from engagemart.plans import marts as M
 from engagemart.plans import staging as S
 from engagemart.plans.elt import run_elt
-from engagemart.plans.etl import raw_store, run_etl
+from engagemart.plans.etl import document_schema, raw_store, run_etl
 from engagemart.scratch import materialize, new_path
 from engagemart.sinks.publish import TableStore, publish
 from engagemart.sinks.tables import write_staging
 from engagemart.sources import contract as contracts
-from engagemart.sources import slices
+from engagemart.sources import json_arrays, slices
 from engagemart.sources.tables import read_tables
 from engagemart.streaming.ingest import ingest_available
 
@@ -235,6 +235,41 @@ def etl_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("media")
 
 
+#: A column that only the contract knows of.
+WIDER_CONTRACT = [
+    *MEDIA_CONTRACT,
+    *[
+        Row(column_name=name, is_nullable="YES", data_type=kind, character_maximum_length=None, unique_name=None)
+        for name, kind in (("shortcode", "character varying"), ("view_count", "bigint"))
+    ],
+]
+
+
+def etl_contract_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One multi-line array file, read by many tasks, with columns that only the contract knows of."""
+    root = new_path(spark, "etl-wide")
+    documents = X.wide_documents(spark, sf_dir).where("media_type = 'IMAGE' and media_product_type is not null")
+    X.write_array(documents, f"{root}/raw")
+    store = raw_store(spark, f"{root}/tables", BUCKETS, {"media": WIDER_CONTRACT})
+    run_etl(store, "media", f"{root}/raw", f"{root}/stage", LOGICAL_DATE, "hour-03", WIDER_CONTRACT)
+    return store.read("media").select("media_id", "ts", "like_count", "media_type", "shortcode", "view_count")
+
+
+def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as one indented JSON array file, cut into documents by many tasks."""
+    path = new_path(spark, "json-array")
+    pages = X.source(sf_dir).read(spark, "pages")
+    X.write_array(pages, path)
+    return json_arrays.read_documents(spark, path, pages.schema, range_bytes=64 << 10)
+
+
+def contract_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of raw documents against the ones the entity and its contract expect."""
+    documents = X.wide_documents(spark, sf_dir).select(F.to_json(F.struct("*")).alias("document"))
+    expected = [*document_schema("media", WIDER_CONTRACT).names, "location"]
+    return contracts.drift(documents, "document", expected)
+
+
 def ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same slice through the incremental file stream; the second run finds nothing new."""
     root = new_path(spark, "ingest")
@@ -448,6 +483,9 @@ QUERIES: dict[str, Query] = {
         slice_inventory,
         slice_filter,
         etl_media,
+        etl_contract_columns,
+        json_array_split,
+        contract_drift,
         ingest_available_now,
         ingest_backlog,
         quality_failures,

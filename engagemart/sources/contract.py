@@ -6,11 +6,14 @@ built from the four catalog relations of a warehouse.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from engagemart.schemas import CONTRACT_TYPES
+from engagemart.schemas import CONTRACT_TYPES, struct
+from engagemart.scratch import literal_rows
 
 
 class ContractError(Exception):
@@ -62,3 +65,31 @@ def to_schema(contract: list[Row]) -> T.StructType:
             for row in contract
         ]
     )
+
+
+def further_fields(contract: Sequence[Row], known: T.StructType) -> list[T.StructField]:
+    """Fields that the contract names and ``known`` lacks, with the contract's types."""
+    return [field for field in to_schema(list(contract)).fields if field.name not in known.names]
+
+
+def widen(schema: T.StructType, contract: Sequence[Row]) -> T.StructType:
+    """``schema`` with the contract's further columns at its end, nullable, as older rows do not have them."""
+    more = [T.StructField(field.name, field.dataType) for field in further_fields(contract, schema)]
+    return T.StructType([*schema.fields, *more])
+
+
+def drift(documents: DataFrame, column: str, expected: Iterable[str]) -> DataFrame:
+    """(field, documents, status): fields of JSON texts against those expected.
+
+    ``unknown`` fields are in some document but not expected, ``missing`` ones in none, ``known`` ones in both.
+    Documents that are no JSON object have no fields.
+    """
+    fields = documents.select(F.explode(F.json_object_keys(column)).alias("field"))
+    # one row per distinct field name; a name twice in one document counts twice
+    counts = fields.groupBy("field").agg(F.count(F.lit(1)).alias("documents"))
+    names = literal_rows(documents.sparkSession, [{"expected": name} for name in expected], struct(expected=T.StringType()))
+    both = counts.join(names, F.col("field") == F.col("expected"), "full")
+    status = F.when(F.col("expected").isNull(), "unknown").when(F.col("field").isNull(), "missing").otherwise("known")
+    return both.select(
+        F.coalesce("field", "expected").alias("field"), F.coalesce("documents", F.lit(0)).alias("documents"), status.alias("status")
+    )

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from engagemart.sources.json_arrays import read_documents
+
 DEFAULT_PATTERN = "%Y-%m-%d_%H"
 
 
@@ -22,17 +24,16 @@ def slice_name(table: str, logical_time: datetime, pattern: str = DEFAULT_PATTER
 
 
 def read_slice(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True, split: bool = False
 ) -> DataFrame:
     """JSON documents below ``path``, read with a fixed schema.
 
-    Multi-line documents (one object or one array per file) cannot be split, so
-    producers of large slices should write many files or JSON lines and pass
-    ``multi_line=False``.
+    Spark's reader gives each multi-line file (one array, or objects one after the other) to one task.
+    With ``split`` a file is read by as many tasks as it has ranges; rows then come without file metadata.
     """
     reader = spark.read.schema(schema).option("multiLine", multi_line)
     try:
-        raw = reader.json(path)
+        raw = read_documents(spark, path, schema) if split and multi_line else reader.json(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise EmptySliceError(path) from error

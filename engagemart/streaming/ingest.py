@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from engagemart.plans.etl import load_slice
-from engagemart.schemas import text_documents
+from engagemart.plans.etl import document_schema, load_slice
 from engagemart.scratch import new_path
 from engagemart.sinks.loads import RawStore
 from engagemart.sinks.tables import STAGING_FORMAT
@@ -55,7 +54,7 @@ def ingest_available(
     later ones stay pending.
     """
     reader = (
-        store.spark.readStream.schema(text_documents(entity))
+        store.spark.readStream.schema(document_schema(entity, contract))
         .option("multiLine", multi_line)
         .option("recursiveFileLookup", "true")
     )

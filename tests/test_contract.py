@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import types as T
 
-from engagemart.schemas import CONTRACT
+from engagemart.plans.etl import document_schema, load_slice, raw_store
+from engagemart.schemas import CONTRACT, RAW_TABLES
 from engagemart.sources import contract as C
 
 
@@ -62,3 +64,30 @@ def test_project(spark, catalog):
     assert C.project(df, rows).columns == ["media_id", "user_id", "code"]
     with pytest.raises(C.ContractError, match="code"):
         C.project(df.drop("code"), rows)
+
+
+def _further(name, kind):
+    return Row(column_name=name, is_nullable="YES", data_type=kind, character_maximum_length=None, unique_name=None)
+
+
+def test_a_contract_widens_documents_and_tables(spark):
+    contract = [_further("media_id", "character varying"), _further("ts", "timestamp without time zone"), _further("views", "bigint")]
+    assert [f.name for f in C.further_fields(contract, RAW_TABLES["media"])] == ["views"]
+    assert C.widen(RAW_TABLES["media"], contract)["views"].dataType.typeName() == "long"
+    schema = document_schema("media", contract)
+    assert (schema.names[-1], schema["views"].dataType.typeName()) == ("views", "string")
+    assert document_schema("media").names == schema.names[:-1]
+
+
+def test_a_store_without_the_contracts_columns_is_refused(spark, tmp_path):
+    contract = [_further("media_id", "character varying"), _further("views", "bigint")]
+    raw = spark.createDataFrame([("1", "2")], "media_id string, views string")
+    with pytest.raises(C.ContractError, match="views"):
+        load_slice(raw_store(spark, str(tmp_path / "t")), "media", raw, str(tmp_path / "s"), "2024-02-01T03:00:00+00:00", "h", contract)
+
+
+def test_drift(spark, rows):
+    documents = spark.createDataFrame([('{"a": 1, "b": {"c": 2}}',), ('{"a": null}',), ("[1]",), ("broken",), (None,)], "d string")
+    assert rows(C.drift(documents, "d", ["a", "z"]), "field", "documents", "status") == [
+        ("a", 2, "known"), ("b", 1, "unknown"), ("z", 0, "missing"),
+    ]
