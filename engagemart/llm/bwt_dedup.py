@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engagemart.llm.anchors import GROUP_CONTEXTS, Windows, repeated_windows, runs, with_spans
-from engagemart.llm.common import with_keys, without_keys
+from engagemart.llm.common import text_keys, with_names
 from engagemart.llm.words import Powers
 
 WINDOWS = Windows(width=400, reach=64)
@@ -181,9 +181,10 @@ def dedup_digest(
 
     Texts are UTF-8 bytes. A byte goes if a string of ``windows.width`` bytes that covers it starts at two or more places, of
     one document or several; strings are judged on the input. NULL, empty and shorter texts lose nothing.
-    Rows without an id are documents of their own. Other ids are taken to be unique: rows repeating an id count as copies and lose the same bytes.
+    Rows without an id are documents of their own, and so are rows that share an id but not the text. Rows repeating
+    id and text count as copies and lose the same bytes.
     """
-    named, (docs, last) = docs, with_keys(docs, id_col)
+    named, (docs, top, forms) = docs, text_keys(docs, id_col, text_col)
     spans = repeated_spans(docs, id_col, text_col, windows, group_contexts)
     given = with_spans(docs, spans, id_col, text_col)
 
@@ -207,4 +208,4 @@ def dedup_digest(
 
     kind = given.schema["_id"].dataType.simpleString()
     schema = f"{id_col} {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return without_keys(given.mapInArrow(run, schema + ", kept binary" * with_bytes), last, named, id_col)
+    return with_names(given.mapInArrow(run, schema + ", kept binary" * with_bytes), top, forms, named, id_col)

@@ -55,6 +55,44 @@ def without_keys(df: DataFrame, last: int | None, like: DataFrame, id_col: str,
     return df.withColumns({name: F.when(F.col(name) <= last, F.col(name)).cast(kind) for name in (id_col, *more)})
 
 
+def text_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int | None, DataFrame | None]:
+    """``with_keys`` where, besides, rows that share an id but not the text have ids of their own.
+
+    Of the texts of one id, one keeps it and the others get keys above all ids; equal rows stay equal. The third
+    result is (_key, _given) of those keys, or None if each id has one text.
+    """
+    own = docs.select(docs[id_col].alias("_shared"), F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("_hash"))
+    texts = own.filter("_shared is not null").groupBy("_shared").agg(F.min("_hash").alias("_low"), F.max("_hash").alias("_high"))
+    several, count = counted(texts.filter("_low != _high").select("_shared"), "ids-of-several-texts")
+    if not count:
+        return *with_keys(docs, id_col), None
+    columns = docs.columns
+    last = int(docs.agg(F.max(docs[id_col])).head()[0])
+    same, several = docs[id_col] == F.col("_shared"), small(several, count, 24)
+    rows = docs.join(several, same, "left_semi").withColumn("_digest", F.md5(F.coalesce(text_col, F.lit(""))))
+    forms = written(rows.select(F.col(id_col).alias("_given"), F.col("_digest").alias("_form")).distinct(), "texts-of-ids")
+    first = forms.groupBy("_given").agg(F.min("_form").alias("_form"))
+    forms = forms.join(first, ["_given", "_form"], "left_anti")
+    forms, count = counted(forms.withColumn("_key", F.lit(last + 1).cast("bigint") + F.monotonically_increasing_id()), "keys-of-texts")
+    keyed = rows.join(small(forms, count, 64), (F.col(id_col) == F.col("_given")) & (F.col("_digest") == F.col("_form")), "left")
+    keyed = written(keyed.withColumn(id_col, F.coalesce("_key", F.col(id_col).cast("bigint"))).select(*columns), "texts-with-keys")
+    others = docs.join(several, same, "left_anti").withColumn(id_col, F.col(id_col).cast("bigint"))
+    docs, top = with_keys(others.unionByName(keyed), id_col)
+    return docs, last if top is None else top, forms.select("_key", "_given")
+
+
+def with_names(df: DataFrame, last: int | None, forms: DataFrame | None, like: DataFrame, id_col: str, *more: str) -> DataFrame:
+    """``df`` with the ids that ``text_keys`` was given; those of rows without one are NULL."""
+    if forms is None:
+        return without_keys(df, last, like, id_col, *more)
+    kind, columns = like.schema[id_col].dataType, df.columns
+    for name in (id_col, *more):
+        df = df.join(forms, df[name] == F.col("_key"), "left")
+        plain = F.when(F.col(name) <= last, F.col(name))
+        df = df.withColumn(name, F.coalesce("_given", plain).cast(kind)).select(*columns)
+    return df
+
+
 def row_keys(docs: DataFrame, id_col: str) -> DataFrame:
     """``docs`` with an id of its own in every row, and the given one in ``_given_id``; ``docs`` as given if it is so already.
 

@@ -36,8 +36,8 @@ from engagemart.llm.common import (
     row_keys,
     small,
     small_batches,
-    with_keys,
-    without_keys,
+    text_keys,
+    with_names,
     written,
 )
 from engagemart.llm.components import components
@@ -424,11 +424,12 @@ def near_components(
     shingle is one shingle. Documents link when their sets' Jaccard similarity is at least
     ``percent``. ``class_id`` is the smallest id with the same set, ``component_id`` the smallest id reachable by
     links. NULL, empty and blank texts have the empty set and stay alone. Shingles
-    are compared by 64-bit hashes. Ids are integers; rows repeating an id share its fate.
+    are compared by 64-bit hashes. Ids are integers; rows that repeat id and text share their fate, rows that
+    share an id but not the text are documents of their own.
     Rows without an id are documents of their own and come after all ids; NULL is the smallest id where there is no other.
     """
     small_batches(docs.sparkSession)
-    named, (docs, last) = docs, with_keys(docs, id_col)
+    named, (docs, last, forms) = docs, text_keys(docs, id_col, text_col)
     given = id_and_text(docs, id_col, text_col)
     size = docs.agg(F.sum(F.octet_length(text_col))).head()[0] or 0
     sets = written(set_prints(given, width), "near-sets")
@@ -473,7 +474,15 @@ def near_components(
             F.coalesce("_component", "_class").alias("component_id"),
         )
     )
-    return without_keys(result, last, named, id_col, "class_id", "component_id")
+    if forms is not None:  # a group's smallest id may be one that another text has kept
+        given = F.coalesce("_given", F.when(F.col(id_col) <= last, F.col(id_col)))
+        for name in ("class_id", "component_id"):
+            least = result.join(forms, F.col(id_col) == F.col("_key"), "left").groupBy(F.col(name).alias("_group")).agg(F.min(given).alias("_least"))
+            result = result.join(least, F.col(name) == F.col("_group")).withColumn(name, F.col("_least")).drop("_group", "_least")
+        kind = named.schema[id_col].dataType
+        result = result.withColumns({name: F.col(name).cast(kind) for name in ("class_id", "component_id")})
+        return with_names(result, last, forms, named, id_col)
+    return with_names(result, last, forms, named, id_col, "class_id", "component_id")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

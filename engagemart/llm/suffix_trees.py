@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engagemart.llm.anchors import GROUP_CONTEXTS, Windows, repeated_windows, runs, with_spans
-from engagemart.llm.common import with_keys, without_keys
+from engagemart.llm.common import text_keys, with_names
 from engagemart.llm.words import Powers, word_bounds, word_hashes
 
 WINDOWS = Windows(width=50, reach=25)
@@ -123,9 +123,10 @@ def dedup_digest(
 
     A word goes if a window of ``windows.width`` words that covers it also starts in a document
     with a smaller id. Windows are judged on the input. NULL, empty and shorter texts lose nothing. Rows repeating an id and text
-    lose the same words. Rows without an id are documents of their own and come after all ids.
+    lose the same words. Rows without an id are documents of their own and come after all ids; of rows that share an id
+    but not the text, those of one text keep its place and the others are such documents too.
     """
-    named, (docs, last) = docs, with_keys(docs, id_col)
+    named, (docs, top, forms) = docs, text_keys(docs, id_col, text_col)
     spans = repeated_spans(docs, id_col, text_col, windows, group_contexts)
     given = with_spans(docs, spans, id_col, text_col)
 
@@ -155,4 +156,4 @@ def dedup_digest(
 
     kind = given.schema["_id"].dataType.simpleString()
     schema = f"{id_col} {kind}, n_words bigint, n_removed bigint, kept_sha256 string"
-    return without_keys(given.mapInArrow(run, schema + ", kept_text string" * with_text), last, named, id_col)
+    return with_names(given.mapInArrow(run, schema + ", kept_text string" * with_text), top, forms, named, id_col)

@@ -375,3 +375,23 @@ def test_kept_rows_keep_their_columns(spark, frame, nasty):
     docs = frame(nasty, repeat=True)
     for kept in (exact_dedup.drop_exact(docs), partenum.drop_near(docs), mixing.mix_documents(docs), decision_list.keep_good(docs, labels_of(spark, []))):
         assert kept.columns == docs.columns and kept.exceptAll(docs.unionByName(docs)).isEmpty()
+
+
+def test_texts_that_share_an_id_are_judged_alone(spark):
+    first, other = (" ".join(f"{x}{k}" for k in range(120)) for x in "ab")
+    rows = [(1, first), (2, first), (2, other), (2, other), (3, "short"), (None, first)]
+    docs = spark.createDataFrame([(t, i) for i, t in rows], "text string, doc_id bigint")
+    words = Counter((r.doc_id, r.n_words, r.n_removed) for r in suffix_trees.dedup_digest(docs).collect())
+    assert words == Counter([(1, 120, 0), (2, 120, 120), (2, 120, 0), (2, 120, 0), (3, 1, 0), (None, 120, 120)])
+    size = len(first.encode())
+    gone = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in bwt_dedup.dedup_digest(docs).collect())
+    assert gone == Counter([(1, size, size), (2, size, size), (2, size, size), (2, size, size), (3, 5, 0), (None, size, size)])
+    near = Counter((r.doc_id, r.n_shingles, r.component_id) for r in partenum.near_components(docs).collect())
+    assert near == Counter([(1, 116, 1), (2, 116, 1), (2, 116, 2), (2, 116, 2), (3, 1, 3), (None, 116, 1)])
+
+
+def test_unrelated_text_of_a_shared_id_loses_nothing(spark):
+    first, other = (" ".join(f"{x}{k}" for k in range(120)) for x in "ab")
+    docs = spark.createDataFrame([(1, first), (2, first), (2, other)], "doc_id bigint, text string")
+    gone = Counter((r.doc_id, r.n_removed) for r in bwt_dedup.dedup_digest(docs).collect())
+    assert gone == Counter([(1, len(first)), (2, len(first)), (2, 0)])
