@@ -77,8 +77,11 @@ def exact_average(rate: Column, digits: int | None) -> Column:
     mean that lies exactly between two results can change the outcome from run to run.
     """
     whole_rate = F.rint(rate * 10**K.RATE_DIGITS).cast("bigint")
-    hundredths = F.sum(whole_rate.cast("decimal(18,0)"))
-    count = F.count(rate)
+    return ratio_of_hundredths(F.sum(whole_rate.cast("decimal(18,0)")), F.count(rate), digits)
+
+
+def ratio_of_hundredths(hundredths: Column, count: Column, digits: int | None) -> Column:
+    """Exact quotient of summed hundredths and their number, optionally rounded half up; NULL for none."""
     if digits is None:
         return F.try_divide(hundredths.cast("double"), count * F.lit(10**K.RATE_DIGITS))
     shift = digits - K.RATE_DIGITS

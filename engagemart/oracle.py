@@ -398,6 +398,8 @@ from media_hashtag where year(created_at) % 2 = 0""",
     "load_log_append": _union(
         [_logged(f"hour-0{h}", f"2024-02-01 0{h}:00:00") for h in (2, 3, 4)]
     ),
+    "incremental_rates": "select * from aggregated_brand_information",
+    "incremental_reach": "select * from aggregated_hashtag_search",
     "distributed_rank": """
 select l_orderkey, l_linenumber, l_extendedprice, l_quantity, l_partkey,
   rank() over (order by l_extendedprice desc nulls last) rank_price,

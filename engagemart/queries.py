@@ -14,11 +14,14 @@ from engagemart.operators import quality as Q
 from engagemart.operators.latest import latest_per_key
 from engagemart.operators.lookup import Lookup
 from engagemart.operators.ranking import Rank, add_ranks, rankable
+from engagemart.plans import incremental as I
 from engagemart.plans import marts as M
 from engagemart.plans import staging as S
 from engagemart.plans.elt import run_elt
 from engagemart.plans.etl import document_schema, raw_store, run_etl
 from engagemart.scratch import materialize, new_path
+from engagemart.schemas import RAW_TABLES
+from engagemart.sinks.loads import RawStore
 from engagemart.sinks.publish import TableStore, publish
 from engagemart.sinks.tables import write_staging
 from engagemart.sources import contract as contracts
@@ -438,6 +441,42 @@ def load_append_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_slices("media_hashtag").select("media_id", "caption", "created_at", "load_slice")
 
 
+# --- marts by the hour -------------------------------------------------------
+
+
+def incremental_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates per tag from the states of four slices, in which a third of the posts also have an older version."""
+    store = RawStore(spark, new_path(spark, "tables"), {**RAW_TABLES, **I.STATE_TABLES}, BUCKETS)
+    event = F.col("media_id").cast("bigint")
+    final = X.media(spark, sf_dir).withColumns(
+        {"updated_at": F.expr("timestamp_ntz'2024-02-02 00:00:00'"), "slice": F.pmod(event, F.lit(4))}
+    )
+    older = final.where(event % 3 == 0).withColumns(
+        {
+            "updated_at": F.expr("timestamp_ntz'2024-02-01 00:00:00'"),
+            "slice": F.pmod(event + 1, F.lit(4)),
+            "like_count": F.col("like_count") + 5,
+            "user_id": F.lit("1"),
+            "media_product_type": F.lit("FEED"),
+        }
+    )
+    versions = materialize(final.unionByName(older), "versions").frame
+    brands = M.brand_lookup(X.brand(spark, sf_dir))
+    for number in (0, 1, 1, 2, 3):  # one of them repeated
+        I.load_with_rates(store, versions.where(F.col("slice") == number), brands, f"hour-{number}")
+    return I.merged_rates(store.read(I.RATE_STATES))
+
+
+def incremental_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct posts per tag from the bitmaps of 24 slices, in which posts recur."""
+    store = RawStore(spark, new_path(spark, "tables"), I.STATE_TABLES)
+    search = hashtag_search(spark, sf_dir)
+    hour = F.pmod(F.xxhash64("media_id", "caption", "created_at"), F.lit(24)).cast("string")
+    states = I.reach_state(search.withColumn("hour", hour), "hour")
+    store.append(I.REACH_STATES, states, F.col("hour"))
+    return I.merged_reach(store.read(I.REACH_STATES))
+
+
 # --- ranking -----------------------------------------------------------------
 
 
@@ -503,6 +542,8 @@ QUERIES: dict[str, Query] = {
         load_append,
         load_append_corrected,
         load_log_append,
+        incremental_rates,
+        incremental_reach,
         distributed_rank,
     )
 } | {f"quality_{table}": _battery(table) for table in Q.BATTERIES} | {f"elt_gated_{mart}": _gated(mart) for mart in GATED}
