@@ -69,7 +69,7 @@ def to_schema(contract: list[Row]) -> T.StructType:
 
 def further_fields(contract: Sequence[Row], known: T.StructType) -> list[T.StructField]:
     """Fields that the contract names and ``known`` lacks, with the contract's types."""
-    return [field for field in to_schema(list(contract)).fields if field.name not in known.names]
+    return to_schema([row for row in contract if row.column_name not in known.names]).fields
 
 
 def widen(schema: T.StructType, contract: Sequence[Row]) -> T.StructType:
