@@ -1,7 +1,8 @@
 """Declarative quality rules, checked in as few passes as the rules allow.
 
 All rules except uniqueness are additive and share one pass over the table without
-a shuffle. A uniqueness rule shuffles only its own column.
+a shuffle. A uniqueness rule shuffles only its own column, and of a table known to be large only
+short hashes of it and the values that may be repeated.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engagemart import constants as K
+from engagemart.operators import uniqueness
 from engagemart.schemas import CHECK_RESULTS
 from engagemart.scratch import no_rows
 
@@ -178,18 +180,22 @@ def _result(table: str, rule: Rule, metric: Column) -> Column:
     )
 
 
-def duplicates(df: DataFrame, column: str) -> DataFrame:
-    """Non-NULL values that occur more than once, with their number of rows."""
-    return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-    )
+#: From so many rows on, hashes are shuffled instead of values.
+LARGE_ROWS = 20_000_000
+
+
+def duplicates(df: DataFrame, column: str, rows: int | None = None) -> DataFrame:
+    """Non-NULL values that occur more than once, with their number of rows.
+
+    ``rows`` is given where the number of rows is known and ``df`` can be read twice.
+    """
+    if rows is not None and rows >= LARGE_ROWS:
+        return uniqueness.repeats(df, column, rows)
+    return uniqueness.count_repeats(df.select(column), column)
 
 
-def _unique_result(df: DataFrame, table: str, rule: Rule) -> DataFrame:
-    counted = duplicates(df, rule.column).agg(F.count(F.lit(1)).alias("metric"))
+def _unique_result(df: DataFrame, table: str, rule: Rule, rows: int | None = None) -> DataFrame:
+    counted = duplicates(df, rule.column, rows).agg(F.count(F.lit(1)).alias("metric"))
     return counted.select(F.inline(F.array(_result(table, rule, F.col("metric")))))
 
 
@@ -198,10 +204,10 @@ def _split(rules: Sequence[Rule]) -> tuple[list[Rule], list[Rule]]:
     return additive, [rule for rule in rules if rule.constraint == "unique"]
 
 
-def verify(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
-    """One result row per rule."""
+def verify(df: DataFrame, rules: Sequence[Rule], table: str, rows: int | None = None) -> DataFrame:
+    """One result row per rule; ``rows`` as for :func:`duplicates`."""
     additive, distinct = _split(rules)
-    parts = [_unique_result(df, table, rule) for rule in distinct]
+    parts = [_unique_result(df, table, rule, rows) for rule in distinct]
     if additive:
         metrics = [_additive_metric(df, rule).alias(f"m{i}") for i, rule in enumerate(additive)]
         results = [_result(table, rule, F.col(f"m{i}")) for i, rule in enumerate(additive)]
@@ -224,6 +230,7 @@ def verify_written(
     metrics = [
         _additive_metric(df, rule).cast("double").alias(f"m{i}") for i, rule in enumerate(additive)
     ]
+    metrics.append(F.count(F.lit(1)).alias("rows"))
     df.observe(observation, *metrics).write.mode("overwrite").format(fmt).save(path)
     seen = observation.get
     results = [
@@ -232,7 +239,7 @@ def verify_written(
     parts = [spark.range(0, 1, 1, 1).select(F.inline(F.array(*results)))]
     if distinct:
         written = spark.read.schema(df.schema).format(fmt).load(path)
-        parts += [_unique_result(written, table, rule) for rule in distinct]
+        parts += [_unique_result(written, table, rule, seen["rows"]) for rule in distinct]
     return reduce(DataFrame.unionAll, parts)
 
 

@@ -354,6 +354,13 @@ select media_id, user_id, caption, cast(ts as timestamp) ts, media_type,
     "quality_failures": f"select * from ({_union(_ALL_CHECKS)}) where not passed",
     "check_unique": """
 select media_id, count(*) n from media_hashtag group by media_id having count(*) > 1""",
+    "check_unique_hashed": " union all ".join(
+        f"""select '{column}' column_name, cast({column} as varchar) as "value", count(*) n from {table}
+where {column} is not null group by {column} having count(*) > 1"""
+        for table, column in (
+            ("orders", "o_orderkey"), ("customer", "c_name"), ("media_hashtag", "media_id"), ("media", "media_product_type"),
+        )
+    ),
     "check_complete": _union(
         [
             _complete("media_hashtag", column)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from engagemart import constants as K
 from engagemart import fixtures as X
 from engagemart.operators import quality as Q
+from engagemart.operators import uniqueness
 from engagemart.operators.latest import latest_per_key
 from engagemart.operators.lookup import Lookup
 from engagemart.operators.ranking import Rank, add_ranks, rankable
@@ -321,6 +322,17 @@ def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.duplicates(X.media_hashtag(spark, sf_dir), "media_id")
 
 
+def check_unique_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated keys of four columns, found through hashes: one of unique keys, one of NULLs besides, two of repeats."""
+    columns = (("orders", "o_orderkey"), ("customer", "c_name"), ("media_hashtag", "media_id"), ("media", "media_product_type"))
+    counts = []
+    for table, column in columns:
+        rows = getattr(X, table)(spark, sf_dir) if hasattr(X, table) else X.source(sf_dir).read(spark, table)
+        found = uniqueness.repeats(rows, column, rows.count(), slot_rows=RANGE_ROWS)
+        counts.append(found.select(F.lit(column).alias("column_name"), F.col(column).cast("string").alias("value"), "n"))
+    return reduce(DataFrame.unionAll, counts)
+
+
 def check_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = X.media_hashtag(spark, sf_dir)
     return Q.verify(posts, [Q.complete(name) for name in posts.columns], "media_hashtag")
@@ -529,6 +541,7 @@ QUERIES: dict[str, Query] = {
         ingest_backlog,
         quality_failures,
         check_unique,
+        check_unique_hashed,
         check_complete,
         check_integral,
         check_non_negative,
