@@ -7,7 +7,9 @@ input, whatever they are called, never clash with working columns.
 from __future__ import annotations
 
 import ctypes
+from functools import reduce
 from math import ceil
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -168,6 +170,21 @@ def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def salted(rows: DataFrame, columns: list[str], most: int) -> DataFrame:
+    """``rows`` with ``_salt``, which spreads groups of more than ``most`` rows that agree in ``columns``; else 0.
+
+    ``rows`` is a written table with a row number ``_row``.
+    """
+    names = {name: f"_many{name}" for name in columns}
+    many = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
+    many, count = counted(many.select(*(F.col(name).alias(other) for name, other in names.items())), "many-rows")
+    if not count:
+        return rows.withColumn("_salt", F.lit(0).cast("long"))
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(other)) for name, other in names.items()))
+    found = rows.join(small(many.withColumn("_many", F.lit(True)), count, 16 * len(columns)), same, "left")
+    return found.withColumn("_salt", F.when(F.col("_many"), F.col("_row")).otherwise(0)).drop("_many", *names.values())
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``docs`` whose id is in ``kept``, all columns unchanged."""
     kept, count = counted(kept.select(kept[id_col].alias("_kept")).distinct(), "kept")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from engagemart.llm.common import counted, given_ids, row_keys, small
+from engagemart.llm.common import counted, given_ids, row_keys, salted, small
 
 WEIGHTS = (3, 1, 2)
 #: Words mixed per word available, and the most times a word is taken.
@@ -104,12 +104,16 @@ def mix(
     it, repeats counted, at most twice its size. ``copies`` is how often the block of its
     first word is taken: the number of whole copies for mixes of whole documents. Documents without
     words have 0 of both. NULL is a source of its own, last in order, and differs from the
-    empty name. Repeated rows are documents of their own. Reruns agree. There is one row
+    empty name. Repeated rows are documents of their own, and so are rows without an id. Reruns agree. There is one row
     per source in the apportionment; rows are never gathered by source.
     """
     rows, _ = counted(
         docs.select(
-            docs[id_col].alias("_id"), docs[source_col].alias("_source"), word_count(docs[text_col]).alias("_size")
+            docs[id_col].alias("_id"),
+            docs[source_col].alias("_source"),
+            word_count(docs[text_col]).alias("_size"),
+            F.xxhash64(docs[text_col]).alias("_hash"),
+            F.monotonically_increasing_id().alias("_row"),
         ),
         "mix-documents",
     )
@@ -122,7 +126,9 @@ def mix(
     )
     sources, known = counted(sources, "mix-sources")
     rows = rows.join(small(sources, known, 100), F.col("_source").eqNullSafe(F.col("_name")))
-    rows = rows.withColumn("_shard", F.pmod(F.xxhash64("_id"), "_shards"))
+    # rows without an id, or of one id, go by their texts; masses of equal rows by their place
+    rows = salted(rows, ["_id", "_hash"], SHARD_ROWS)
+    rows = rows.withColumn("_shard", F.pmod(F.xxhash64("_id", "_hash", "_salt"), "_shards"))
 
     shards = rows.groupBy("_number", "_shard").agg(F.sum("_size").alias("_held"), F.first("_seats").alias("_seats"))
     shards = sainte_lague(shards, "_number", "_shard", "_held", "_seats")
@@ -134,7 +140,7 @@ def mix(
     shards, count = counted(shards.drop("_seats", "_held", "_quota"), "mix-shards")
     rows = rows.join(small(shards, count, 80), ["_number", "_shard"])
 
-    seeded = Window.partitionBy("_number", "_shard").orderBy(F.xxhash64(F.lit(SEED), "_id"), "_id", "_size")
+    seeded = Window.partitionBy("_number", "_shard").orderBy(F.xxhash64(F.lit(SEED), "_id", "_hash"), "_id", "_size", "_salt")
     begin = F.coalesce(F.sum("_size").over(seeded.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rows = rows.withColumn("_begin", begin)
 

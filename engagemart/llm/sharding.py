@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from engagemart.llm.common import bucket, counted, id_and_text, parts, written
+from engagemart.llm.common import bucket, counted, id_and_text, parts, salted, written
 
 #: Items differenced by one task, and the most items of the last level (more if there are very many shards).
 BUCKET_ITEMS, LAST_ITEMS = 2_000, 24_000
@@ -118,12 +118,14 @@ def karmarkar_karp(groups: DataFrame, shards: int) -> DataFrame:
 
 
 def with_slots(rows: DataFrame, order: list[str], count: int) -> DataFrame:
-    """``rows`` with ``_slot``: a gapless number from 0 within each ``_shard``.
+    """``rows``, written with a row number ``_row``, with ``_slot``: a gapless number from 0 within each ``_shard``.
 
-    Shards are numbered in pieces of bounded size, which start where the pieces before end.
+    Shards are numbered in pieces of bounded size, which start where the pieces before end. Rows that
+    agree in ``order`` are many pieces' if they are many.
     """
     pieces = parts(count, SLOT_ROWS) * 4
-    rows = rows.withColumn("_piece", bucket(F.col(order[0]), pieces))
+    rows = salted(rows, order, SLOT_ROWS)
+    rows = rows.withColumn("_piece", F.pmod(F.xxhash64(*order, "_salt"), F.lit(pieces)).cast("int"))
     before = Window.partitionBy("_shard").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy("_shard", "_piece")
@@ -135,7 +137,7 @@ def with_slots(rows: DataFrame, order: list[str], count: int) -> DataFrame:
         rows.withColumn("_rank", inside)
         .join(starts, ["_shard", "_piece"])
         .withColumn("_slot", F.col("_start") + F.col("_rank") - 1)
-        .drop("_piece", "_rank", "_start")
+        .drop("_piece", "_rank", "_start", "_salt", "_row")
     )
 
 
@@ -147,7 +149,8 @@ def shard_documents(
     The law is ``bytes``: shards have near-equal bytes, and equal texts share a shard. A
     size is the UTF-8 bytes of the text (NULL: none) plus 8; NULL and empty texts are one
     group. ``slot`` numbers the rows of a shard without gaps; ``grown_shard`` is NULL under this law.
-    A group larger than a mean shard gets a shard of its own. Repeated rows each get a slot.
+    A group larger than a mean shard gets a shard of its own. Repeated rows each get a slot,
+    and so do rows without an id, whose id is NULL in the result.
     """
     given = id_and_text(docs, id_col, text_col)
     rows, count = counted(
@@ -163,7 +166,8 @@ def shard_documents(
     # ids of groups as short text, the form bundles have too
     groups = groups.withColumn("_group", F.hex("_group"))
     shard_of = karmarkar_karp(groups, shards).withColumn("_group", F.unhex("_group"))
-    placed = written(rows.join(shard_of, "_group"), "shard-placed")
+    placed = rows.join(shard_of, "_group").withColumn("_row", F.monotonically_increasing_id())
+    placed = written(placed, "shard-placed")
     return with_slots(placed, ["_id", "_crc"], count).select(
         F.col("_id").alias(id_col),
         F.col("_size").alias("size"),

@@ -2,7 +2,8 @@
 
 The writer puts each task's records into files of its own and lists the files of the
 tasks that committed in a manifest, so files of failed or repeated attempts are never read. The
-reader deals the listed files into partitions of about equal bytes. It reads a record's
+reader deals the listed files into partitions of about equal bytes; of a folder without a manifest it takes
+every ``.warc`` and ``.warc.gz`` file. It reads a record's
 headers first, tests the pushed filters on them, and steps over the payload of every
 record that is unwanted, or of all records if ``payload`` is ``false``.
 """
@@ -10,6 +11,7 @@ record that is unwanted, or of all records if ``payload`` is ``false``.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 from collections.abc import Iterable, Iterator
@@ -18,7 +20,7 @@ from uuid import uuid4
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -40,11 +42,19 @@ from engagemart.llm.common import counted, new_path, small
 
 #: A new file begins beyond this size; a read partition holds about this much.
 FILE_BYTES, PARTITION_BYTES = 1 << 30, 128 << 20
+#: Records and payload bytes of a batch handed to Spark, unless one record is larger.
+BATCH_RECORDS, BATCH_BYTES = 1_000, 4 << 20
 MANIFEST = "_manifest.json"
 SCHEMA = (
     "record_id string, record_type string, target_uri string, date string, payload_digest string, "
     "payload_bytes bigint, refers_to string, payload binary"
 )
+_BATCH = pa.schema(
+    [
+        (field.split()[0], {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}[field.split()[1]])
+        for field in SCHEMA.split(", ")
+    ]
+)
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ORDER = {
     EqualTo: lambda a, b: a == b,
@@ -149,8 +159,12 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[_Files]:
         store, root = fs.FileSystem.from_uri(self.path)
-        with store.open_input_stream(f"{root}/{MANIFEST}") as manifest:
-            files = json.loads(manifest.read())
+        if store.get_file_info(f"{root}/{MANIFEST}").type == fs.FileType.File:
+            with store.open_input_stream(f"{root}/{MANIFEST}") as manifest:
+                files = json.loads(manifest.read())
+        else:
+            found = store.get_file_info(fs.FileSelector(root))
+            files = sorted((f.base_name, f.size) for f in found if f.base_name.endswith((".warc", ".warc.gz")))
         dealt, held = [], self.partition_bytes
         for name, size in files:
             if held >= self.partition_bytes:
@@ -172,45 +186,72 @@ class WarcReader(DataSourceReader):
                     return False
         return True
 
-    def read(self, partition: _Files) -> Iterator[tuple]:
+    def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for row in self._rows(partition):
+            rows.append(row)
+            held += len(row["payload"] or b"")
+            if len(rows) >= BATCH_RECORDS or held >= BATCH_BYTES:
+                yield pa.RecordBatch.from_pylist(rows, _BATCH)
+                rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, _BATCH)
+
+    def _rows(self, partition: _Files) -> Iterator[dict]:
         store, root = fs.FileSystem.from_uri(self.path)
         for name in partition.names:
             with store.open_input_file(f"{root}/{name}") as file:
-                yield from self._records(file)
+                if name.endswith(".gz"):  # any number of members
+                    with gzip.GzipFile(fileobj=file) as unpacked:
+                        yield from self._records(unpacked)
+                else:
+                    yield from self._records(file)
 
-    def _records(self, file: pa.NativeFile) -> Iterator[tuple]:
+    def _records(self, file) -> Iterator[dict]:
         reader = _Buffered(file)
-        while reader.line() is not None:  # the version line
+        while (version := reader.line()) is not None:
+            if not version:  # blank lines between records
+                continue
+            if not version.startswith(b"WARC/"):
+                raise ValueError(f"no WARC record where one should begin: {version[:40]!r}")
             head = reader.headers()
             size = int(head["content-length"])
-            begin = reader.place
-            reader.line()  # the HTTP status
-            http = reader.headers()
-            digest = head["warc-payload-digest"].removeprefix("sha1:")
+            begin, length = reader.place, None
+            if head.get("content-type", "").startswith("application/http") and size:
+                reader.line()  # the HTTP status
+                length = reader.headers().get("content-length", "")
+            left = size - (reader.place - begin)
+            kind = head.get("warc-type")
+            if not (length or "").isdecimal():  # the block's own, but a revisit's leaves out the payload
+                length = None if kind == "revisit" else left
+            digest = head.get("warc-payload-digest")
             record = {
-                "record_id": head["warc-record-id"].strip("<>"),
-                "record_type": head["warc-type"],
-                "target_uri": head["warc-target-uri"],
-                "date": head["warc-date"],
-                "payload_digest": digest,
-                "payload_bytes": int(http["content-length"]),
-                "refers_to": head["warc-refers-to"].strip("<>") if "warc-refers-to" in head else None,
+                "record_id": _bare(head.get("warc-record-id")),
+                "record_type": kind,
+                "target_uri": head.get("warc-target-uri"),
+                "date": head.get("warc-date"),
+                "payload_digest": digest and digest.rpartition(":")[2],
+                "payload_bytes": None if length is None else int(length),
+                "refers_to": _bare(head.get("warc-refers-to")),
             }
-            wanted, left = self._wanted(record), size - (reader.place - begin)
-            payload = None
-            if wanted and self.payload and record["record_type"] == "response":
+            wanted, payload = self._wanted(record), None
+            if wanted and self.payload and kind != "revisit":
                 payload = reader.take(left)
             else:
                 reader.skip(left)
-            reader.skip(4)
             if wanted:
-                yield (*record.values(), payload)
+                yield record | {"payload": payload}
+
+
+def _bare(value: str | None) -> str | None:
+    """A record id without its angle brackets."""
+    return value and value.strip("<>")
 
 
 class _Buffered:
     """Lines and stretches of a file, read in blocks; long stretches are stepped over unread."""
 
-    def __init__(self, file: pa.NativeFile, block: int = 1 << 18):
+    def __init__(self, file, block: int = 1 << 18):
         self._file, self._block, self._held, self._at = file, block, b"", 0
         self.place = 0
 
@@ -228,8 +269,8 @@ class _Buffered:
     def headers(self) -> dict[str, str]:
         found = {}
         while line := self.line():
-            name, _, value = line.decode().partition(":")
-            found[name.lower()] = value.strip()
+            name, _, value = line.decode(errors="replace").partition(":")
+            found[name.strip().lower()] = value.strip()
         return found
 
     def take(self, size: int) -> bytes:
@@ -309,8 +350,34 @@ def archive_records(
     )
 
 
+def base32_of_hex(digits: Column) -> Column:
+    """Upper-case base32 of a 160-bit number in hexadecimal."""
+    # five hexadecimal digits are four of base 32
+    groups = [F.lpad(F.conv(F.substring(digits, 5 * i + 1, 5), 16, 32), 4, "0") for i in range(8)]
+    return F.translate(F.concat(*groups), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+
+
+def read_back(spark: SparkSession, path: str) -> DataFrame:
+    """Every response and revisit of the archives in ``path``.
+
+    record_id, record_type, refers_to, payload_bytes and payload_digest. Of responses the payloads are read, and length and
+    digest are theirs, whatever the headers say; revisits have no payload, theirs come from headers. Each of the
+    two reads pushes its record type down, so it steps over the other's payloads.
+    """
+    register(spark)
+    whole = spark.read.format("warc").load(path).filter("record_type = 'response'")
+    heads = spark.read.format("warc").option("payload", "false").load(path).filter("record_type = 'revisit'")
+    columns = ["record_id", "record_type", "refers_to"]
+    responses = whole.select(
+        *columns,
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        base32_of_hex(F.sha1("payload")).alias("payload_digest"),
+    )
+    return responses.unionByName(heads.select(*columns, "payload_bytes", "payload_digest"))
+
+
 def roundtrip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Every page written as a WARC record and read back from the archives, headers only.
+    """Every page written as a WARC record and read back from the archives.
 
     One row per page: page_id, payload_bytes, payload_digest, record_type, refers_to.
     """
@@ -318,7 +385,7 @@ def roundtrip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     register(spark)
     path = new_path(spark, "warc")
     archive_records(pages, least_bytes).write.format("warc").mode("append").save(path)
-    read = spark.read.format("warc").option("payload", "false").load(path)
+    read = read_back(spark, path)
 
     def page(column: str):
         return F.nullif(F.regexp_extract(column, "^urn:page:(-?[0-9]+)$", 1), F.lit("")).cast("long")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import zlib
 from collections import Counter, defaultdict
 from math import ceil
@@ -326,6 +327,62 @@ def test_warc_filters_and_payloads(spark, tmp_path):
     assert read.filter("record_id in ('urn:page:3', 'urn:page:19')").count() == 2
 
 
+def test_warc_of_other_writers(spark, tmp_path):
+    """No manifest, gzip members, warcinfo and request records, absent headers, a wrong digest, odd blank lines."""
+
+    def record(head, block=b""):
+        return b"WARC/1.0\r\n" + head + f"Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    http, long = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n", b"z" * 700_000
+    response = b"WARC-Type: response\r\nContent-Type: application/http; msgtype=response\r\n"
+    records = [
+        record(b"WARC-Type: warcinfo\r\nContent-Type: application/warc-fields\r\n", b"software: x\r\n\r\n"),
+        record(b"WARC-Type: request\r\nContent-Type: application/http\r\n", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n"),
+        record(response + b"WARC-Record-ID: <r1>\r\nWARC-Payload-Digest: sha1:WRONG\r\n", http + b"body\r\n\r\nmore"),
+        record(response + b"WARC-Record-ID: <r2>\r\n", http + long) + b"\r\n",
+        record(b"WARC-Type: resource\r\nWARC-Record-ID: <r3>\r\nContent-Type: text/plain\r\n", b"plain"),
+        record(b"WARC-Type: revisit\r\nWARC-Record-ID: <r4>\r\nWARC-Refers-To: <r1>\r\nWARC-Payload-Digest: sha1:ABC\r\n"),
+        record(response + b"WARC-Record-ID: <r5>\r\n", http),
+    ]
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
+    (tmp_path / "note.txt").write_text("no archive")
+    warc.register(spark)
+    read = spark.read.format("warc").load(str(tmp_path))
+    assert Counter(r.record_type for r in read.collect()) == Counter(
+        {"warcinfo": 2, "request": 2, "response": 6, "resource": 2, "revisit": 2}
+    )
+    payloads = {(r.record_id, bytes(r.payload)) for r in read.filter("record_type in ('response', 'resource')").collect()}
+    assert payloads == {("r1", b"body\r\n\r\nmore"), ("r2", long), ("r3", b"plain"), ("r5", b"")}
+    found = Counter(tuple(r) for r in warc.read_back(spark, str(tmp_path)).collect())
+    bodies = {"r1": b"body\r\n\r\nmore", "r2": long, "r5": b""}
+    wanted = {(i, "response", None, len(b), warc.base32_sha1(b)): 2 for i, b in bodies.items()}
+    assert found == Counter(wanted | {("r4", "revisit", "r1", None, "ABC"): 2})
+
+
+def test_hot_ids(spark, monkeypatch):
+    """Half of the rows without an id, and one id in a sixth, of one text: shards and slots stay spread."""
+    monkeypatch.setattr(mixing, "SHARD_ROWS", 200)
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 200)
+    rows = [(None if k % 2 else k, f"{'w ' * (k % 40)}text {k}", "a") for k in range(5000)] + [(7, "same words here", "a")] * 1000
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    mixed = mixing.mix(docs).collect()
+    assert Counter((r.doc_id, r["size"]) for r in mixed) == Counter((i, len(t.split())) for i, t, _ in rows)
+    total = sum(len(t.split()) for _, t, _ in rows)
+    # a shard's last block may be short
+    assert abs(sum(r.taken for r in mixed) - 1.5 * total) <= mixing.BLOCK_WORDS * len(rows) / 200
+    held = common.salted(
+        spark.createDataFrame([(i, hash(t), n) for n, (i, t, _) in enumerate(rows)], "_id bigint, _hash bigint, _row bigint"),
+        ["_id", "_hash"], 200,
+    )
+    assert Counter(r._salt != 0 for r in held.collect()) == Counter({False: 5000, True: 1000})
+    shards = sharding.shard_documents(docs, 3).collect()
+    slots = defaultdict(list)
+    for r in shards:
+        slots[r.shard].append(r.slot)
+    assert len(shards) == len(rows) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_empty_tables(spark, frame):
     empty = frame([(0, "x")]).filter("doc_id < 0")
     none = labels_of(spark, [])
