@@ -21,7 +21,7 @@ from engagemart.session import build_session
 from engagemart.sinks.publish import TableStore
 from engagemart.sinks.tables import TableTarget
 from engagemart.sources.contract import load_contract
-from engagemart.sources.tables import RAW_TABLE_NAMES, TableSource, read_tables
+from engagemart.sources.tables import RAW_TABLE_NAMES, PlannedSplit, TableSource, read_tables
 from engagemart.streaming.ingest import ingest_available
 
 ENTITIES = ("brand", "media", "media_hashtag")
@@ -32,6 +32,14 @@ def _pair(text: str) -> tuple[str, str]:
     return key, value
 
 
+def _split(text: str) -> tuple[str, PlannedSplit]:
+    table, sep, rest = text.partition("=")
+    column, colon, partitions = rest.rpartition(":")
+    if not (sep and colon and column and partitions.isdecimal() and int(partitions)):
+        raise argparse.ArgumentTypeError(f"{text!r} is not TABLE=COLUMN:PARTITIONS")
+    return table, PlannedSplit(column, int(partitions))
+
+
 def _ingestion_arguments(job: argparse.ArgumentParser) -> None:
     job.add_argument("entity", choices=ENTITIES)
     job.add_argument("--stage", required=True, help="folder for staged slices")
@@ -66,6 +74,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     source.add_argument("--store", help="root of the raw tables")
     source.add_argument("--source", help="path or table template with {table}")
     _connection_arguments(elt)
+    elt.add_argument(
+        "--split", action="append", type=_split, default=[], metavar="TABLE=COLUMN:PARTITIONS",
+        help="read a JDBC table in parallel, by about equal rows of a whole-number column",
+    )
     elt.add_argument("--marts", required=True)
     elt.add_argument("--run-id", required=True)
     elt.add_argument("--all-marts", action="store_true")
@@ -128,7 +140,7 @@ def main(argv: list[str] | None = None) -> None:
             store = raw_store(spark, args.store)
             raw = {name: store.read(name) for name in RAW_TABLE_NAMES}
         else:
-            raw = read_tables(spark, TableSource(args.source, args.format, dict(args.option)))
+            raw = read_tables(spark, TableSource(args.source, args.format, dict(args.option), dict(args.split)))
         run_elt(
             raw,
             TableStore(spark, args.marts),
