@@ -20,8 +20,8 @@ from engagemart.schemas import CONTRACT
 from engagemart.session import build_session
 from engagemart.sinks.publish import TableStore
 from engagemart.sinks.tables import TableTarget
-from engagemart.sources.contract import load_contract
-from engagemart.sources.tables import RAW_TABLE_NAMES, PlannedSplit, TableSource, read_tables
+from engagemart.sources.contract import catalog_contract, load_contract
+from engagemart.sources.tables import RAW_TABLE_NAMES, PlannedSplit, TableSource, read_query, read_tables
 from engagemart.streaming.ingest import ingest_available
 
 ENTITIES = ("brand", "media", "media_hashtag")
@@ -45,7 +45,11 @@ def _ingestion_arguments(job: argparse.ArgumentParser) -> None:
     job.add_argument("--stage", required=True, help="folder for staged slices")
     job.add_argument("--store", required=True, help="root of the raw tables")
     job.add_argument("--logical-date", required=True, help="ISO time of the run")
-    job.add_argument("--contract", help="JSON lines with the table's contract rows, in order")
+    contract = job.add_mutually_exclusive_group()
+    contract.add_argument("--contract", help="JSON lines with the table's contract rows, in order")
+    contract.add_argument("--catalog", metavar="SCHEMA", help="take the contract from this schema of a database's catalog")
+    job.add_argument("--catalog-format", default="jdbc", help="jdbc or a connector that takes a query")
+    job.add_argument("--catalog-option", action="append", type=_pair, default=[], metavar="KEY=VALUE")
     job.add_argument("--json-lines", action="store_true", help="one document per line")
     job.add_argument("--stage-format", default="parquet")
 
@@ -101,15 +105,20 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def _contract(spark: SparkSession, path: str | None) -> list[Row] | None:
+def _contract(spark: SparkSession, args: argparse.Namespace) -> list[Row] | None:
+    if args.catalog:
+        options = dict(args.catalog_option)
+        return catalog_contract(
+            lambda query: read_query(spark, query, args.catalog_format, options), args.catalog, args.entity
+        )
     # coalesce(1) keeps the file's column order; a contract is one row per column.
-    return load_contract(spark.read.schema(CONTRACT).json(path).coalesce(1)) if path else None
+    return load_contract(spark.read.schema(CONTRACT).json(args.contract).coalesce(1)) if args.contract else None
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session(f"engagemart-{args.job}", args.input_bytes)
-    contract = _contract(spark, args.contract) if args.job in ("etl", "ingest") else None
+    contract = _contract(spark, args) if args.job in ("etl", "ingest") else None
     further = {args.entity: contract} if contract else {}
     if args.job == "etl":
         run_etl(

@@ -6,7 +6,7 @@ built from the four catalog relations of a warehouse.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -43,6 +43,33 @@ def contract_columns(columns: DataFrame, unique: DataFrame, schema: str, table:
     )
 
 
+#: The columns a contract needs of each catalog relation, as the database is asked for them.
+CATALOG_QUERIES = {
+    "constraints": "select conrelid, contype, conkey from pg_catalog.pg_constraint where contype = 'u'",
+    "relations": "select c.oid, c.relname from pg_catalog.pg_class c join pg_catalog.pg_namespace n "
+    "on n.oid = c.relnamespace where n.nspname = '{schema}' and c.relname = '{table}'",
+    "attributes": "select attrelid, attnum, attname from pg_catalog.pg_attribute where attnum > 0",
+    "columns": "select table_schema, table_name, ordinal_position, column_name, is_nullable, data_type, "
+    "character_maximum_length from information_schema.columns where table_schema = '{schema}' and table_name = '{table}'",
+}
+
+
+def catalog_contract(query: Callable[[str], DataFrame], schema: str, table: str) -> list[Row]:
+    """Contract of ``schema.table`` from the catalog of a database that ``query`` reads.
+
+    Raises if the catalog knows no column of the table, rather than giving a contract that fits anything.
+    """
+    for name in (schema, table):
+        if not name.isidentifier():
+            raise ContractError(f"{name!r} is no plain name of a schema or table")
+    parts = {name: query(text.format(schema=schema, table=table)) for name, text in CATALOG_QUERIES.items()}
+    unique = unique_columns(parts["constraints"], parts["relations"], parts["attributes"], table)
+    contract = load_contract(contract_columns(parts["columns"], unique, schema, table))
+    if not contract:
+        raise ContractError(f"the catalog has no columns of {schema}.{table}")
+    return contract
+
+
 def load_contract(contract: DataFrame) -> list[Row]:
     """The contract on the driver: one row per column, collected once per run."""
     return contract.collect()

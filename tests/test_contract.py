@@ -56,6 +56,42 @@ def test_contract_columns(catalog):
     )
 
 
+def test_catalog_contract(catalog):
+    constraints, relations, attributes, columns = catalog
+    frames = {
+        "pg_constraint": constraints.where("contype = 'u'"), "pg_class": relations, "pg_attribute": attributes,
+        "information_schema": columns,
+    }
+    asked = []
+
+    def query(text):
+        asked.append(text)
+        return next(frame for name, frame in frames.items() if name in text)
+
+    rows = C.catalog_contract(query, "raw_data", "media")
+    assert [(r.column_name, r.data_type, r.unique_name) for r in rows] == [
+        ("media_id", "character varying", "media_id"), ("user_id", "character varying", None), ("code", "integer", "code"),
+    ]
+    assert len(asked) == 4 and "'raw_data' and c.relname = 'media'" in asked[1]
+    with pytest.raises(C.ContractError, match="no columns"):
+        C.catalog_contract(query, "raw_data", "nothing")
+    with pytest.raises(C.ContractError, match="plain name"):
+        C.catalog_contract(query, "raw' or 1=1 --", "media")
+
+
+def test_catalog_on_the_command_line(spark, monkeypatch):
+    from engagemart import __main__ as cli
+
+    base = ["etl", "media", "--slice", "s", "--stage", "g", "--store", "t", "--logical-date", "2024-02-01"]
+    with pytest.raises(SystemExit):
+        cli.parse([*base, "--contract", "c", "--catalog", "raw_data"])
+    args = cli.parse([*base, "--catalog", "raw_data", "--catalog-option", "url=jdbc:x"])
+    monkeypatch.setattr(cli, "read_query", lambda *given: given)
+    monkeypatch.setattr(cli, "catalog_contract", lambda query, *names: (query("q")[1:], *names))
+    assert cli._contract(spark, args) == (("q", "jdbc", {"url": "jdbc:x"}), "raw_data", "media")
+    assert cli._contract(spark, cli.parse(base)) is None
+
+
 def test_project(spark, catalog):
     constraints, relations, attributes, columns = catalog
     unique = C.unique_columns(constraints, relations, attributes, "media")
