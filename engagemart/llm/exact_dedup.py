@@ -1,15 +1,15 @@
 """Exact deduplication: group by a 128-bit content hash, compare bytes inside groups.
 
-One pass hashes every normalised text. Groups are formed on (hash, bytes), so the sums
-that tasks make before the shuffle already collapse most copies, and two different texts
-with one hash never share a group. Every document then looks up its group by the hash
-alone; only hashes that turned out to hold several texts are looked up by bytes too.
+One pass hashes every normalised text; only ids, lengths and hashes are written and shuffled. Groups are formed on
+the hash alone. Texts matter only where a hash has two rows or more: there they are grouped by their bytes, with the
+sums that tasks make before the shuffle collapsing most copies, and a hash that turns out to hold several texts is
+split by them, so two different texts with one hash never share a group.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,32 +18,48 @@ from pyspark.sql import functions as F
 from engagemart.llm.common import BLANKS, given_ids, id_and_text, keep_rows, row_keys, with_keys, without_keys, written
 
 _BLANKS = BLANKS.encode()
+#: A hash with more than one part in so many of the repeated rows is spread over as many tasks.
+HOT_PARTS = 256
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, hash_bytes: int = 16) -> DataFrame:
-    """(_id, _chars, _hash, _sha, _norm) of every row; ``hash_bytes`` shortens the hash for tests."""
+    """(_id, _chars, _hash, _sha) of every row; ``hash_bytes`` shortens the hash for tests."""
     given = id_and_text(docs, id_col, text_col)
-    fields = [("_chars", pa.int64()), ("_hash", pa.binary()), ("_sha", pa.string()), ("_norm", pa.binary())]
+    fields = [("_chars", pa.int64()), ("_hash", pa.binary()), ("_sha", pa.string())]
 
+    def row(text: str) -> tuple:
+        norm = text.encode().translate(None, _BLANKS)
+        return len(text), hashlib.md5(norm).digest()[:hash_bytes], hashlib.sha256(norm).hexdigest()
+
+    kind = given.schema["_id"].dataType.simpleString()
+    return given.mapInArrow(_by_text(row, fields), f"_id {kind}, _chars bigint, _hash binary, _sha string")
+
+
+def contents(docs: DataFrame, id_col: str, text_col: str, hash_bytes: int = 16) -> DataFrame:
+    """(_id, _chars, _hash, _norm) of every row, with the normalised bytes."""
+    given = id_and_text(docs, id_col, text_col)
+    fields = [("_chars", pa.int64()), ("_hash", pa.binary()), ("_norm", pa.binary())]
+
+    def row(text: str) -> tuple:
+        norm = text.encode().translate(None, _BLANKS)
+        return len(text), hashlib.md5(norm).digest()[:hash_bytes], norm
+
+    kind = given.schema["_id"].dataType.simpleString()
+    return given.mapInArrow(_by_text(row, fields), f"_id {kind}, _chars bigint, _hash binary, _norm binary")
+
+
+def _by_text(
+    row: Callable[[str], tuple], fields: list[tuple[str, pa.DataType]]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 piece = batch.slice(start, 1000)
-                chars, hashes, shas, norms = [], [], [], []
-                for text in piece.column("_text"):
-                    text = text.as_py()
-                    norm = text.encode().translate(None, _BLANKS)
-                    chars.append(len(text))
-                    hashes.append(hashlib.md5(norm).digest()[:hash_bytes])
-                    shas.append(hashlib.sha256(norm).hexdigest())
-                    norms.append(norm)
-                columns = [pa.array(v, t) for v, (_, t) in zip((chars, hashes, shas, norms), fields, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("_id"), *columns], ["_id", *(name for name, _ in fields)]
-                )
+                rows = [row(text.as_py()) for text in piece.column("_text")]
+                columns = [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(fields)]
+                yield pa.RecordBatch.from_arrays([piece.column("_id"), *columns], ["_id", *(n for n, _ in fields)])
 
-    kind = given.schema["_id"].dataType.simpleString()
-    return given.mapInArrow(run, f"_id {kind}, _chars bigint, _hash binary, _sha string, _norm binary")
+    return run
 
 
 def exact_groups(
@@ -58,25 +74,27 @@ def exact_groups(
     columns of ``docs`` are not read. An empty table gives an empty result.
     """
     named, (docs, last) = docs, with_keys(docs, id_col)
-    prints = fingerprints(docs, id_col, text_col, hash_bytes)
+    prints = written(fingerprints(docs, id_col, text_col, hash_bytes), "exact-prints")
     # the best row as one number: most code points first, then the smallest id
     best = F.max(F.struct("_chars", (-F.col("_id")).alias("_minus")))
-    groups = (
-        prints.groupBy("_hash", "_norm")
-        .agg(best.alias("_best"), F.count(F.lit(1)).alias("_size"))
-        .select("_hash", "_norm", (-F.col("_best._minus")).alias("_keep"), "_size")
-    )
-    by_hash = written(groups.drop("_norm"), "exact-groups")
+    sizes = [(-F.col("_best._minus")).alias("_keep"), "_size"]
+    formed = prints.groupBy("_hash").agg(best.alias("_best"), F.count(F.lit(1)).alias("_size"))
+    by_hash = written(formed.select("_hash", *sizes), "exact-groups")
+    repeated = written(by_hash.filter("_size > 1").select("_hash", "_size"), "exact-repeated")
+    # texts of repeated hashes meet their equals, byte by byte
+    texts = contents(docs, id_col, text_col, hash_bytes)
+    grouped = _of_hashes(texts, repeated).groupBy("_hash", "_norm").agg(best.alias("_best"), F.count(F.lit(1)).alias("_size"))
+    by_text = written(grouped.select("_hash", *sizes), "exact-texts")
+    shared = by_text.groupBy("_hash").agg(F.count(F.lit(1)).alias("_texts")).filter("_texts > 1").select("_hash")
     rows = prints.select("_id", "_hash", "_sha")
-    shared = by_hash.groupBy("_hash").agg(F.count(F.lit(1)).alias("_texts")).filter("_texts > 1").select("_hash")
     if shared.isEmpty():
         joined = rows.join(by_hash, "_hash")
     else:  # several texts under one hash: those rows find their group by its bytes
         shared = written(shared, "exact-shared")
         single = rows.join(shared, "_hash", "left_anti").join(by_hash, "_hash")
-        several = prints.join(shared, "_hash", "left_semi").join(
-            groups.join(shared, "_hash", "left_semi"), ["_hash", "_norm"]
-        )
+        forms = grouped.select("_hash", "_norm", *sizes).join(shared, "_hash", "left_semi")
+        several = texts.join(shared, "_hash", "left_semi").join(forms, ["_hash", "_norm"])
+        several = several.withColumn("_sha", F.sha2("_norm", 256))
         joined = single.unionByName(several.select(single.columns))
     result = joined.select(
         F.col("_id").alias(id_col),
@@ -88,6 +106,19 @@ def exact_groups(
     return without_keys(result, last, named, id_col, "keep_id")
 
 
+def _of_hashes(texts: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The texts whose hash is in ``repeated``; those of a hash with very many rows meet it in many tasks."""
+    rows = F.broadcast(repeated.agg(F.sum("_size").alias("_rows")))
+    hot = repeated.join(rows, F.col("_size") * HOT_PARTS > F.col("_rows")).select("_hash", F.lit(True).alias("_hot"))
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    # fewer than HOT_PARTS hashes can hold more than one part in HOT_PARTS of the rows each
+    hot = F.broadcast(hot)
+    wanted = repeated.join(hot, "_hash", "left").select("_hash", F.explode(salts).alias("_salt"))
+    salt = F.when(F.col("_hot"), F.monotonically_increasing_id() % HOT_PARTS).otherwise(0).cast("int")
+    dealt = texts.join(hot, "_hash", "left").withColumn("_salt", salt).drop("_hot")
+    return dealt.join(wanted, ["_hash", "_salt"], "left_semi")
+
+
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, also of rows repeating an id and text. All columns unchanged."""
     keyed = row_keys(docs, id_col)
