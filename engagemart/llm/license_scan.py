@@ -3,11 +3,13 @@
 A block is a run of twice a template's words. It meets a template when it holds at least a threshold
 share of its distinct words and, whole, a name that the template asks for: sentences of other
 licences share most words with it. Labels and score count blocks from every word on; those listed
-overlap by half. Words are ordered by how many documents of the whole corpus
-hold them, rarest first: a block that meets a template of n words must share one of the
-rarest n - needed + 1 (prefix filter), have enough distinct words (length filter), and,
-from the first shared word on, both must have enough words left (positional filter). Blocks
-that pass are counted in full.
+overlap by half. Words are ordered by how many documents of the whole corpus hold them, rarest first.
+
+An inverted index of the templates' rarest n - needed + 1 words names the templates a text may meet (prefix filter).
+In a text, only blocks that begin at one of the template's words, or at its name, can hold the most. Such a block is
+passed over without a count unless it holds a prefix word, has enough of the template's words with repeats (length
+filter), and, from its rarest one on, the template and the block have enough left, and more than the best block yet
+(positional filter). Blocks that pass are counted in full.
 """
 
 from __future__ import annotations
@@ -34,23 +36,77 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at"
     ),
+    "apache-2.0-spdx": "SPDX-License-Identifier: Apache-2.0",
     "apache-2.0-statement": "Licensed under the Apache License, Version 2.0.",
+    "bsd-2-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+        "CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+        "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+        "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+        "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+        "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
     "bsd-terms": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted "
         "provided that the following conditions are met"
     ),
+    "cc-by-nc-4.0-name": "Creative Commons Attribution-NonCommercial 4.0",
     "cc-by-nc-4.0-statement": "Licensed under CC BY-NC 4.0.",
     "gpl-3.0-statement": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation"
     ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE "
+        "SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+        "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+        "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "mit-license": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the Software), to deal in the Software without restriction, including without limitation "
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, "
+        "and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The "
+        "above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
+        "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+        "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN "
+        "AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE "
+        "OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "mit-spdx": "SPDX-License-Identifier: MIT",
     "mit-statement": "Released under the MIT License.",
     "mit-terms": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files, to deal in the Software without restriction"
     ),
+    "mit-warranty": (
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+        "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT"
+    ),
+    "zlib": (
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+        "software for any purpose, including commercial applications, and to alter it and redistribute it freely, "
+        "subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not "
+        "claim that you wrote the original software. If you use this software in a product, an acknowledgment in the "
+        "product documentation would be appreciated but is not required. 2. Altered source versions must be plainly "
+        "marked as such, and must not be misrepresented as being the original software. 3. This notice may not be "
+        "removed or altered from any source distribution."
+    ),
 }
+
+
 def _numbered(name: bytes, number: bytes) -> bytes:
     """``name`` with ``number`` as its version: the first one after it, one of a choice, or "version N of the" before it."""
     other = rb"(?!v?[0-9]{1,2} )[^ ]+ |v?[0-9] (?:[0-9] )?(?=(?:or|and) (?:version )?v?" + number + rb" )"
@@ -60,20 +116,25 @@ def _numbered(name: bytes, number: bytes) -> bytes:
 
 
 _APACHE = _numbered(b"apache ", b"2")
+_CC_BY_NC = _numbered(
+    rb"(?<!sa )(?<!nd )(?:nc|noncommercial|non commercial) (?!(?:by )?(?:sa |nd |share|noderiv|no deriv))", b"4"
+)
 _GPL = rb"(?<!lesser )(?<!library )(?<!affero )(?:gnu (?:general )?|(?<!gnu )general )(?:public )?licen[cs]es? "
 #: What a block must name, by template, as patterns over words that are each followed by one blank. Terms without
-#: a name (bsd-terms, mit-terms) belong to several licences and ask for none.
+#: a name (bsd-terms, mit-terms, whole licences) ask for none.
 NAMES = {
     "apache-2.0-notice": _APACHE,
+    "apache-2.0-spdx": _APACHE,
     "apache-2.0-statement": _APACHE,
-    "cc-by-nc-4.0-statement": _numbered(
-        rb"(?<!sa )(?<!nd )(?:nc|noncommercial|non commercial) (?!(?:by )?(?:sa |nd |share|noderiv|no deriv))", b"4"
-    ),
+    "cc-by-nc-4.0-name": _CC_BY_NC,
+    "cc-by-nc-4.0-statement": _CC_BY_NC,
     "gpl-3.0-statement": _numbered(_GPL, b"3").replace(b"(?:gnu )?" + _GPL, _GPL),
     "gpl-notice": rb"(?<![^ ])" + _GPL,
+    "mit-spdx": rb"(?<![^ ])spdx license identifier mit (?!0 )",
     "mit-statement": (
         rb"(?<![^ ])(?:under|or|and|licen[cs]e) (?:the |terms |of |an? |is )*mit (?!0 )|(?<![^ ])mit (?!0 )(?:[^ ]+ )?licen[cs]es? "
     ),
+    "mit-warranty": rb"(?<![^ ])noninfringement ",
 }
 #: Word characters are a-z, 0-9 and all that is not ASCII; A-Z is lower-cased, the rest is blank.
 _FOLD = bytes(
@@ -151,58 +212,85 @@ def least_ends(places: list[tuple[int, int]] | None, count: int) -> list[int]:
     return ends
 
 
-def best_share(words: list[bytes], template: Template, ends: list[int]) -> int:
-    """The most of the template's words that a block from any word holds, if it has the name; 0 if too few."""
-    rank = {word: k for k, word in enumerate(template.words)}
-    ranks = [rank.get(word, -1) for word in words]
-    held, distinct, best, length = [0] * len(rank), 0, 0, 2 * template.length
-    for end, entering in enumerate(ranks, 1):
-        if entering >= 0:
-            held[entering] += 1
-            distinct += held[entering] == 1
-        start = max(0, end - length)
-        if start and (leaving := ranks[start - 1]) >= 0:
-            held[leaving] -= 1
-            distinct -= held[leaving] == 0
-        if distinct > best and distinct >= template.needed and ends[start] <= end:
-            best = distinct
-    return best
-
-
-def meetings(words: list[bytes], templates: list[Template]) -> Iterator[tuple[Template, int, list[tuple[int, int]]]]:
-    """(template, its most words in a block, blocks) of every template met.
-
-    The blocks are (first word, shared words) of those that start at multiples of the template's length.
+class Blocks:
+    """The blocks of one text against one template: filters first, counts of what passes.
+
+    ``tally`` counts the blocks looked at and those counted in full.
     """
-    present = set(words)
-    for template in templates:
-        if present.isdisjoint(template.prefix):
-            continue
-        places = name_places(words, template)
-        if places == []:
-            continue
-        ends = least_ends(places, len(words))
-        best = best_share(words, template, ends)
-        if not best:
-            continue
-        step, rank = template.length, {word: k for k, word in enumerate(template.words)}
-        starts = {
-            max(0, at // step + back) * step
-            for at, word in enumerate(words)
-            if rank.get(word, len(rank)) < len(template.prefix)
-            for back in (-1, 0)
-        }
-        blocks = []
-        for start in sorted(starts):
-            block = set(words[start : start + 2 * step])
-            if len(block) < template.needed or ends[start] > start + 2 * step:
-                continue
-            own = sorted(rank[word] for word in block if word in rank)
-            # from the first shared word on, neither side may run out of words
-            if not own or min(len(rank) - own[0], len(own)) < template.needed:
+
+    def __init__(self, words: list[bytes], template: Template, tally: Counter | None = None):
+        rank = {word: k for k, word in enumerate(template.words)}
+        self.template, self.size, self.tally = template, 2 * template.length, tally
+        held = [(at, rank[word]) for at, word in enumerate(words) if word in rank]
+        self.places, self.ranks = [at for at, _ in held], [k for _, k in held]
+        rare = [(at, k) for at, k in held if k < len(template.prefix)]
+        self.rare_places, self.rare_ranks = [at for at, _ in rare], [k for _, k in rare]
+        self.names = name_places(words, template)
+        self.ends = least_ends(self.names, len(words))
+
+    def shared(self, start: int, least: int) -> int:
+        """How many of the template's words the block from ``start`` on holds; 0 if under ``least`` or unnamed."""
+        if self.tally is not None:
+            self.tally["blocks"] += 1
+        end = start + self.size
+        first, last = bisect_left(self.rare_places, start), bisect_left(self.rare_places, end)
+        if first == last:  # prefix filter
+            return 0
+        low, high = bisect_left(self.places, start), bisect_left(self.places, end)
+        if high - low < least or self.ends[start] > end:  # length filter
+            return 0
+        rarest = min(self.rare_ranks[first:last])
+        if len(self.template.words) - rarest < least:  # positional filter
+            return 0
+        if self.tally is not None:
+            self.tally["counted"] += 1
+        found = len(set(self.ranks[low:high]))
+        return found if found >= least else 0
+
+    def best(self) -> int:
+        """The most of the template's words that a block from any word on holds; 0 if too few."""
+        best, least = 0, self.template.needed
+        starts = sorted({*self.places, *(first for first, _ in self.names or ())})
+        at = 0
+        while at < len(starts) and least <= len(self.template.words):
+            start = starts[at]
+            near = bisect_left(self.rare_places, start)
+            if near == len(self.rare_places):
+                break
+            if (reach := self.rare_places[near] - self.size + 1) > start:  # no prefix word before there
+                at = bisect_left(starts, reach, at + 1)
                 continue
-            blocks.append((start, len(own)))
-        yield template, best, blocks
+            if found := self.shared(start, least):
+                best, least = found, found + 1
+            at += 1
+        return best
+
+    def listed(self) -> list[tuple[int, int]]:
+        """(first word, shared words) of the blocks met that start at multiples of the template's length."""
+        step = self.template.length
+        starts = {max(0, at // step + back) * step for at in self.rare_places for back in (-1, 0)}
+        found = ((start, self.shared(start, self.template.needed)) for start in sorted(starts))
+        return [(start, count) for start, count in found if count]
+
+
+def prefix_index(templates: list[Template]) -> dict[bytes, list[int]]:
+    """Numbers of the templates that have a word in their prefix, by word."""
+    index: dict[bytes, list[int]] = {}
+    for number, template in enumerate(templates):
+        for word in template.prefix:
+            index.setdefault(word, []).append(number)
+    return index
+
+
+def meetings(
+    words: list[bytes], templates: list[Template], index: dict[bytes, list[int]], tally: Counter | None = None
+) -> Iterator[tuple[Template, int, list[tuple[int, int]]]]:
+    """(template, its most words in a block, blocks) of every template met."""
+    met = {number for word in index.keys() & set(words) for number in index[word]}
+    for number in sorted(met):
+        blocks = Blocks(words, templates[number], tally)
+        if blocks.names != [] and (best := blocks.best()):
+            yield templates[number], best, blocks.listed()
 
 
 def base_places(words: list[bytes], phrases: dict[bytes, str]) -> list[tuple[int, str]]:
@@ -230,11 +318,13 @@ def license_scan(
     stands in the text, else the largest share of a met template's words that a block
     holds, else 0. Blocks from every word count. ``blocks`` lists (label, first word, share) of those that start at
     multiples of their template's length. A block meets a template in ``names`` only if it has its name. NULL and empty texts
-    have no words. Templates are a short list and travel with the job.
+    have no words. Rows without an id, or repeating one, are judged one by one like all others; further columns are not
+    read, and an empty table gives an empty result. Templates are a short list and travel with the job.
     """
     vocabulary = {word for text in templates.values() for word in words_of(text)}
     ready = prepare(templates, threshold, word_frequencies(docs, vocabulary, id_col, text_col), names)
     spelled = {b" ".join(words_of(phrase)): label for phrase, label in phrases.items()}
+    index = prefix_index(ready)
     given = id_and_text(docs, id_col, text_col)
     block = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("share", pa.float64())])
     kinds = {
@@ -251,7 +341,7 @@ def license_scan(
     def scan(text: str) -> tuple:
         words = words_of(text)
         places = base_places(words, spelled)
-        found = list(meetings(words, ready))
+        found = list(meetings(words, ready, index))
         met = [(t.label, start, shared / len(t.words)) for t, _, blocks in found for start, shared in blocks]
         base = {label for _, label in places}
         return (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import random
 import zlib
 from collections import Counter, defaultdict
 from math import ceil
@@ -156,6 +157,52 @@ def test_license_blocks_from_every_word_count(frame):
         assert best >= ready.needed and found[k] == ("mit-terms", best / len(ready.words))
 
 
+def test_license_filters_lose_nothing_and_save_counts(nasty):
+    texts = [text or "" for _, text in nasty] + list(license_scan.TEMPLATES.values())
+    long = " ".join(license_scan.TEMPLATES.values())
+    shuffled = license_scan.words_of(long)
+    random.Random(3).shuffle(shuffled)
+    texts += [long, b" ".join(shuffled).decode(), ("filler of the words " * 40 + license_scan.TEMPLATES["isc"]) * 3]
+    frequency = Counter(word for text in texts for word in set(license_scan.words_of(text)))
+    ready = license_scan.prepare(license_scan.TEMPLATES, 0.8, frequency)
+    index, tally, every = license_scan.prefix_index(ready), Counter(), 0
+    for text in texts:
+        words = license_scan.words_of(text)
+        found = {t.label: best for t, best, _ in license_scan.meetings(words, ready, index, tally)}
+        wanted = {}
+        for t in ready:  # every block from every word on, no filter
+            names = license_scan.name_places(words, t)
+            for start in range(len(words)):
+                end = start + 2 * t.length
+                if names is None or any(start <= a and b <= end for a, b in names):
+                    every += 1
+                    count = len(set(words[start:end]) & set(t.words))
+                    if count >= t.needed:
+                        wanted[t.label] = max(count, wanted.get(t.label, 0))
+        assert found == wanted
+    assert 0 < tally["counted"] < tally["blocks"] < every and tally["counted"] * 20 < every
+
+
+def test_whole_licenses_and_short_forms(frame):
+    wanted = {
+        "SPDX-License-Identifier: Apache-2.0": {"apache-2.0-spdx"},
+        "SPDX-License-Identifier: MIT": {"mit-spdx"},
+        "SPDX-License-Identifier: MIT-0": set(),
+        "SPDX-License-Identifier: BSD-3-Clause": set(),
+        "Creative Commons Attribution-NonCommercial 4.0": {"cc-by-nc-4.0-name"},
+        "Creative Commons Attribution-NonCommercial-ShareAlike 4.0": set(),
+        "Creative Commons Attribution 4.0": set(),
+        license_scan.TEMPLATES["mit-warranty"]: {"mit-warranty"},
+        license_scan.TEMPLATES["mit-license"]: {"mit-license", "mit-terms", "mit-warranty"},
+        license_scan.TEMPLATES["bsd-2-clause"]: {"bsd-2-clause", "bsd-terms"},
+        license_scan.TEMPLATES["isc"]: {"isc"},
+        license_scan.TEMPLATES["zlib"]: {"zlib"},
+    }
+    found = license_scan.license_scan(frame(list(enumerate(wanted)))).collect()
+    labels = list(wanted.values())
+    assert {r.doc_id: set(r.labels.split(",")) - {""} for r in found} == dict(enumerate(labels))
+
+
 def test_quality_counts(spark, frame, nasty):
     df = decision_list.quality(frame(nasty), labels_of(spark, []))
     rows = got(df, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
