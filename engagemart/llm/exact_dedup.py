@@ -1,7 +1,8 @@
 """Exact deduplication: group by a 128-bit content hash, compare bytes inside groups.
 
 One pass hashes every normalised text; only ids, lengths and hashes are written and shuffled. Groups are formed on
-the hash alone. Texts matter only where a hash has two rows or more: there they are grouped by their bytes, with the
+the hash alone. Texts travel only where a hash has two rows or more (or falls on the slot of one that has): there
+they are grouped by their bytes, with the
 sums that tasks make before the shuffle collapsing most copies, and a hash that turns out to hold several texts is
 split by them, so two different texts with one hash never share a group.
 """
@@ -20,6 +21,8 @@ from engagemart.llm.common import BLANKS, given_ids, id_and_text, keep_rows, row
 _BLANKS = BLANKS.encode()
 #: A hash with more than one part in so many of the repeated rows is spread over as many tasks.
 HOT_PARTS = 256
+#: Slots that hashes of repeated texts mark, and how many of them one row of marks holds: 2,048 rows of 4 KB.
+SLOTS, SLOTS_PER_ROW = 1 << 26, 1 << 15
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, hash_bytes: int = 16) -> DataFrame:
@@ -106,16 +109,30 @@ def exact_groups(
     return without_keys(result, last, named, id_col, "keep_id")
 
 
+def _marked(texts: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The texts whose hash falls on a slot that a hash of ``repeated`` has marked: all of those, few others.
+
+    The marks have a fixed size (``SLOTS`` bits) whatever the input; if most slots are marked, most texts pass.
+    """
+    slot = F.pmod(F.xxhash64("_hash"), F.lit(SLOTS))
+    place = {"_group": F.floor(slot / SLOTS_PER_ROW), "_bit": F.pmod(slot, F.lit(SLOTS_PER_ROW))}
+    marks = repeated.withColumns(place).groupBy("_group").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = "cast(conv(hex(substring(_bits, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    set_there = F.expr(f"(shiftright({byte}, cast(_bit % 8 as int)) & 1) = 1")
+    columns = texts.columns
+    return texts.withColumns(place).join(F.broadcast(marks), "_group").filter(set_there).select(*columns)
+
+
 def _of_hashes(texts: DataFrame, repeated: DataFrame) -> DataFrame:
     """The texts whose hash is in ``repeated``; those of a hash with very many rows meet it in many tasks."""
-    rows = F.broadcast(repeated.agg(F.sum("_size").alias("_rows")))
-    hot = repeated.join(rows, F.col("_size") * HOT_PARTS > F.col("_rows")).select("_hash", F.lit(True).alias("_hot"))
+    rows = repeated.agg(F.sum("_size")).head()[0] or 0
+    hot = repeated.filter(F.col("_size") * HOT_PARTS > rows).select("_hash", F.lit(True).alias("_hot"))
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
     # fewer than HOT_PARTS hashes can hold more than one part in HOT_PARTS of the rows each
     hot = F.broadcast(hot)
     wanted = repeated.join(hot, "_hash", "left").select("_hash", F.explode(salts).alias("_salt"))
     salt = F.when(F.col("_hot"), F.monotonically_increasing_id() % HOT_PARTS).otherwise(0).cast("int")
-    dealt = texts.join(hot, "_hash", "left").withColumn("_salt", salt).drop("_hot")
+    dealt = _marked(texts, repeated).join(hot, "_hash", "left").withColumn("_salt", salt).drop("_hot")
     return dealt.join(wanted, ["_hash", "_salt"], "left_semi")
 
 

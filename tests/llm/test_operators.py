@@ -12,6 +12,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from engagemart.llm import (
@@ -51,6 +52,19 @@ def test_exact_repeated_rows_share_their_verdict(frame, nasty):
     assert len(rows) == len(nasty) + 7 and len(set(rows)) == len(nasty)
 
 
+def test_only_texts_of_marked_slots_travel(spark):
+    rows = spark.range(20_000).select(F.md5(F.col("id").cast("string")).cast("binary").alias("_hash"), "id")
+    repeated = rows.filter("id % 10 = 0")
+    passed = {r.id for r in exact_dedup._marked(rows, repeated).collect()}
+    assert {r.id for r in repeated.collect()} <= passed and len(passed) < 2_100
+
+
+def test_exact_with_one_text_in_most_rows(frame):
+    rows = [(k, "the same  text" if k % 3 else f"text {k // 6}") for k in range(900)]
+    df = exact_dedup.exact_groups(frame(rows))
+    assert got(df, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == brute.exact(rows)
+
+
 def test_sharding(frame, nasty):
     rows = sharding.shard_documents(frame(nasty, repeat=True), 4).collect()
     texts = dict(nasty)
