@@ -5,11 +5,12 @@ Both forms are exact:
 
 * rates per tag: whole hundredths, rated posts and posts, with a sign. A post that replaces an older one
   takes the older one's contribution back;
-* distinct posts per tag: bitmaps over post numbers, merged with OR, so a post that recurs counts once.
+* distinct posts per tag: bits over post numbers, merged with OR, so a post that recurs counts once.
 
 States are written through the append manifest, one per slice, so a slice that is loaded again does not count twice.
-Ids of posts must be whole numbers for the bitmaps, one bit a number; a bitmap covers 32,768 of them. Posts
-without an id have no bit, so a tag with no other posts is left out.
+Ids of posts must be whole numbers for the bits, one bit a number; a row of the state is a word of 64 of them,
+so a state has no more rows than its slice, however far apart the numbers lie. Posts without an id have no bit, so
+a tag with no other posts is left out.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ STATE_TABLES = {
     RATE_STATES: struct(
         tag_name=T.StringType(), hundredths=T.DecimalType(38, 0), rated=T.LongType(), posts=T.LongType()
     ),
-    REACH_STATES: struct(tag_name=T.StringType(), bucket=T.LongType(), bits=T.BinaryType()),
+    REACH_STATES: struct(tag_name=T.StringType(), bucket=T.LongType(), bits=T.LongType()),
 }
 
 
@@ -104,16 +105,24 @@ def load_with_rates(
     store.upsert("media", posts, "media_id", recency, slice_id)
 
 
+def _words(rows: DataFrame, groups: list[str], bits: str) -> DataFrame:
+    """One word per group. Tasks hold the words of one partition each, of as many as the session plans; a scan's
+    task, or one of partitions merged by their packed size, would hold far more."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, *groups).groupBy(*groups).agg(F.bit_or(bits).alias("bits"))
+
+
 def reach_state(search: DataFrame, *slices: str) -> DataFrame:
-    """Bitmaps of the posts of each tag, by the slice columns if there are any."""
+    """Bits of the posts of each tag, by the slice columns if there are any: one word for 64 numbers."""
     number = F.col("media_id").cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(F.lit(63)).cast("int"))
     numbered = search.where("media_id is not null").select(
-        *slices, "tag_name", F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("_bit")
+        *slices, "tag_name", F.shiftright(number, 6).alias("bucket"), bit.alias("_bit")
     )
-    return numbered.groupBy(*slices, "tag_name", "bucket").agg(F.bitmap_construct_agg("_bit").alias("bits"))
+    return _words(numbered, [*slices, "tag_name", "bucket"], "_bit")
 
 
 def merged_reach(states: DataFrame) -> DataFrame:
     """The mart ``aggregated_hashtag_search`` from the states of all slices."""
-    merged = states.groupBy("tag_name", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    return merged.groupBy("tag_name").agg(F.sum(F.bitmap_count("bits")).alias("hashtaged_media_cnt"))
+    merged = _words(states, ["tag_name", "bucket"], "bits")
+    return merged.groupBy("tag_name").agg(F.sum(F.bit_count("bits")).alias("hashtaged_media_cnt"))

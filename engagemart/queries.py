@@ -480,7 +480,7 @@ def incremental_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct posts per tag from the bitmaps of 24 slices, in which posts recur."""
+    """Distinct posts per tag from the bits of 24 slices, in which posts recur."""
     store = RawStore(spark, new_path(spark, "tables"), I.STATE_TABLES)
     search = hashtag_search(spark, sf_dir)
     hour = F.pmod(F.xxhash64("media_id", "caption", "created_at"), F.lit(24)).cast("string")

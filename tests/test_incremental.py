@@ -44,3 +44,17 @@ def test_reach_of_slices_in_any_cut(spark, rows):
     for cut in (F.lit("one"), F.monotonically_increasing_id().cast("string"), F.col("media_id")):
         states = I.reach_state(search.withColumn("slice", cut), "slice")
         assert rows(I.merged_reach(states)) == wanted
+
+
+def test_reach_state_grows_with_its_posts_not_with_their_numbers(spark, rows, plan):
+    search = spark.range(3000).selectExpr("concat('t', id % 3) tag_name", "cast(id % 1500 * 1000003 - 7 as string) media_id")
+    states = I.reach_state(search)
+    held = [len(row.bits) if isinstance(row.bits, bytes | bytearray) else 8 for row in states.collect()]
+    assert sum(held) <= 8 * 3000
+    assert "SortAggregate" not in plan(I.merged_reach(states))  # buffers of fixed size
+    assert rows(I.merged_reach(states)) == rows(M.aggregated_hashtag_search(search))
+
+
+def test_reach_of_all_bits_of_a_word(spark, rows):
+    search = spark.range(-70, 200).selectExpr("'x' tag_name", "cast(id as string) media_id")
+    assert rows(I.merged_reach(I.reach_state(search))) == [("x", 270)]
