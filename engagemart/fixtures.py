@@ -6,11 +6,17 @@ posts and orders for the follower history. Every mapping covers its whole table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engagemart.sources.tables import TableSource
 
+#: Text of an array file at which a producer begins the next.
+ARRAY_BYTES = 256 << 20
+
 
 def source(sf_dir: str) -> TableSource:
     return TableSource(f"{sf_dir}/{{table}}.parquet")
@@ -133,17 +139,24 @@ def wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_array(df: DataFrame, path: str) -> None:
-    """One file with all rows as one JSON array, a field a line, as upstream producers write it.
+def write_array(df: DataFrame, path: str, file_bytes: int = ARRAY_BYTES) -> None:
+    """All rows as indented JSON, a field a line, as upstream producers write it: one file that is one array.
 
-    A text sink of one partition stands in for such a producer; it only lays out test data.
+    Beyond ``file_bytes`` of text a producer begins the next file, also an array, so no task writes more than that or
+    than a partition of ``df``. Rows pass one after the other and are not sorted.
     """
-    document = F.to_json(F.struct("*"), {"pretty": "true"})
-    rows = df.select(document.alias("value"), F.lit(1).alias("_order"), F.monotonically_increasing_id().alias("_row"))
-    edges = df.sparkSession.sql("select '[' value, 0 _order, 0L _row union all select ']', 2, 0L")
-    # commas close all documents but the last
-    last = rows.agg(F.max("_row").alias("_last"))
-    rows = rows.join(F.broadcast(last)).select(
-        F.when(F.col("_row") < F.col("_last"), F.concat("value", F.lit(","))).otherwise(F.col("value")).alias("value"), "_order", "_row"
-    )
-    rows.unionByName(edges).coalesce(1).sortWithinPartitions("_order", "_row").select("value").write.text(path)
+    rows = df.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
+    size = rows.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+
+    def array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # commas close all documents but the last
+        yield pa.RecordBatch.from_pydict({"value": ["["]})
+        for batch in batches:
+            for first in range(0, batch.num_rows, 1000):
+                values = batch.column(0).slice(first, 1000).to_pylist()
+                given = [f"{value}," for value in ([] if last is None else [last]) + values[:-1]]
+                last = values[-1]
+                yield pa.RecordBatch.from_pydict({"value": pa.array(given, pa.string())})
+        yield pa.RecordBatch.from_pydict({"value": ["]"] if last is None else [last, "]"]})
+
+    rows.coalesce(max(1, -(-size // file_bytes))).mapInArrow(array, "value string").write.text(path)

@@ -250,7 +250,7 @@ WIDER_CONTRACT = [
 
 
 def etl_contract_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One multi-line array file, read by many tasks, with columns that only the contract knows of."""
+    """Multi-line array files of about 256 MB, each read by many tasks, with columns that only the contract knows of."""
     root = new_path(spark, "etl-wide")
     documents = X.wide_documents(spark, sf_dir).where("media_type = 'IMAGE' and media_product_type is not null")
     X.write_array(documents, f"{root}/raw")
@@ -260,7 +260,7 @@ def etl_contract_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as one indented JSON array file, cut into documents by many tasks."""
+    """Pages as indented JSON array files of about 256 MB, each cut into documents by many tasks."""
     path = new_path(spark, "json-array")
     pages = X.source(sf_dir).read(spark, "pages")
     X.write_array(pages, path)

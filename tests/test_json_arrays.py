@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from engagemart import fixtures
 from engagemart.schemas import text_documents
 from engagemart.sources import json_arrays as J
 from engagemart.sources import slices
@@ -75,6 +76,21 @@ def test_one_file_is_read_by_many_tasks(spark, rows, tmp_path):
     assert parts.where(F.col("path").endswith("a.json")).select("p").distinct().count() > 4
 
 
+def test_arrays_are_written_by_many_tasks(spark, rows, tmp_path):
+    documents = spark.range(0, 3000, 1, 12).selectExpr("id", "concat('a\"]},[\\n', id) text", "if(id % 2 = 0, id, null) even")
+    counts = {}
+    for size in (1 << 30, 20_000, 1):
+        path = str(tmp_path / str(size))
+        fixtures.write_array(documents, path, size)
+        arrays = [json.loads(file.read_text()) for file in (tmp_path / str(size)).glob("part-*")]
+        counts[size] = len(arrays)
+        assert sorted(d["id"] for array in arrays for d in array) == list(range(3000))
+        assert rows(J.read_documents(spark, path, documents.schema, range_bytes=4000)) == rows(documents)
+    assert counts[1 << 30] == 1 and counts[20_000] > 4 and counts[1] == 12
+    fixtures.write_array(documents.where("id < 0"), str(tmp_path / "none"))
+    assert [json.loads(file.read_text()) for file in (tmp_path / "none").glob("part-*")] == [[]]
+
+
 def test_split_slices_of_nothing_fail(spark, tmp_path):
     with pytest.raises(slices.EmptySliceError):
         slices.read_slice(spark, str(tmp_path / "none"), text_documents("media"), split=True)
