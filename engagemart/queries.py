@@ -37,6 +37,8 @@ RANGE_ROWS = 5_000
 BUCKETS = 8
 BACKLOG_HOURS = 4
 SMALL_BATCHES = 50
+#: Rows of one file of a batch, so a large batch is read by many tasks.
+BATCH_FILE_ROWS = 100_000
 
 MEDIA_CONTRACT = [
     Row(column_name=name, is_nullable=null, data_type=kind,
@@ -403,7 +405,7 @@ def load_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         "batch", F.pmod(F.xxhash64("media_id", "updated_at"), F.lit(SMALL_BATCHES))
     )
     path = new_path(spark, "batches")
-    posts.repartition("batch").write.partitionBy("batch").parquet(path)
+    posts.repartition("batch").write.partitionBy("batch").option("maxRecordsPerFile", BATCH_FILE_ROWS).parquet(path)
     for number in range(SMALL_BATCHES):
         arrived = spark.read.schema(posts.drop("batch").schema).parquet(f"{path}/batch={number}")
         store.upsert("media", arrived, "media_id", ["updated_at"], f"batch-{number:02d}")

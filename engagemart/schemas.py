@@ -130,4 +130,5 @@ CHECK_RESULTS = struct(
     passed=T.BooleanType(),
 )
 
-BUCKET_LAYOUT = struct(key=_STRING, buckets=_INT, recency=T.ArrayType(_STRING))
+BUCKET_LAYOUT = struct(key=_STRING, buckets=_INT)
+STORE_LAYOUT = T.StructType([*BUCKET_LAYOUT.fields, T.StructField("recency", T.ArrayType(_STRING))])

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from engagemart.constants import LOAD_METHODS
 from engagemart.operators.latest import latest_per_key
 from engagemart.operators.lookup import BROADCAST_BYTES, row_bytes
-from engagemart.schemas import BUCKET_LAYOUT
+from engagemart.schemas import STORE_LAYOUT
 from engagemart.scratch import literal_rows, no_rows
 from engagemart.sinks.log import CommitConflict, State
 from engagemart.sinks.publish import Run, TableStore, publish
@@ -261,19 +261,20 @@ class RawStore:
         """Base and runs, one row per key.
 
         While the runs fit a broadcast, the base's rows stay in their tasks and are compared with the runs' there;
-        beyond that both are aggregated by key.
+        beyond that all of them are aggregated by key together, in one shuffle.
         """
         key, precedence = layout["key"], _precedence(layout["recency"])
         schema = self.schemas[table]
         stored = self.versions(table).read_paths(base, schema)
         if not runs:
             return stored
-        newest = latest_per_key(self._runs(table, runs).drop(BUCKET_COLUMN), key, precedence)
+        loaded = self._runs(table, runs).drop(BUCKET_COLUMN)
+        newest = latest_per_key(loaded, key, precedence)
         if not base:
             return newest.select(*schema.names)
         stored = stored.withColumn(_ORDER, F.lit(0).cast("long"))
         if sum(entry["bytes"] for entry in runs) > BROADCAST_BYTES:
-            return latest_per_key(stored.unionByName(newest), key, precedence).select(*schema.names)
+            return latest_per_key(stored.unionByName(loaded), key, precedence).select(*schema.names)
         ordered = [*precedence, *[n for n in stored.columns if n != key and n not in precedence]]
         low, high = min(entry["low"] for entry in runs), max(entry["high"] for entry in runs)
         known = stored.where(F.col(key).between(low, high)).select(key)
@@ -305,10 +306,11 @@ class RawStore:
         """Key, number of buckets and recency columns a table was created with; recorded on first use."""
         if not isinstance(self.schemas[table][key].dataType, (T.StringType, T.IntegralType)):
             raise ValueError(f"{table} cannot be keyed by {key}: keys are texts or whole numbers")
-        made = literal_rows(
-            self.spark, [{"key": key, "buckets": self.buckets, "recency": list(recency)}], BUCKET_LAYOUT
-        )
-        made.write.mode("ignore").json(self._layout_path(table))
+        if table not in self._layouts:
+            made = literal_rows(
+                self.spark, [{"key": key, "buckets": self.buckets, "recency": list(recency)}], STORE_LAYOUT
+            )
+            made.write.mode("ignore").json(self._layout_path(table))
         stored = self._stored_layout(table)
         if stored["key"] != key:
             raise ValueError(f"{table} is keyed by {stored['key']}, not {key}")
@@ -321,7 +323,7 @@ class RawStore:
 
     def _stored_layout(self, table: str) -> dict[str, Any]:
         if table not in self._layouts:
-            row = self.spark.read.schema(BUCKET_LAYOUT).json(self._layout_path(table)).first()
+            row = self.spark.read.schema(STORE_LAYOUT).json(self._layout_path(table)).first()
             self._layouts[table] = {"key": row["key"], "buckets": row["buckets"], "recency": row["recency"] or []}
         return self._layouts[table]
 

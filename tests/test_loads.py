@@ -304,3 +304,13 @@ def test_merge_into_needs_a_table_format_with_merge(spark):
             L.merge_into(batch(spark, ("a", 2, T2)), name, "media_id", ["updated_at"])
     finally:
         spark.sql(f"drop table {name}")
+
+
+def test_base_and_runs_beyond_a_broadcast_are_merged_in_one_shuffle(spark, plan, monkeypatch):
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
+    s = store(spark)
+    for n in range(3):  # the first is folded into the base, the others are runs
+        s.upsert("media", batch(spark, ("a", n, T1), ("b", 5 - n, T1), (f"c{n}", n, T2)), "media_id")
+    merged = s.read("media")
+    assert stored(s) == [("a", 2), ("b", 3), ("c0", 0), ("c1", 1), ("c2", 2)]
+    assert plan(merged.select("media_id", "like_count")).split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
