@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from math import ceil
@@ -11,11 +12,13 @@ from math import ceil
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from engagemart.llm import (
+    anchors,
     bwt_dedup,
     common,
     decision_list,
@@ -271,6 +274,41 @@ def test_byte_spans(frame, nasty, width, reach, group):
     assert got(df, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.byte_spans(nasty, width)
 
 
+def test_hashing_windows_takes_bounded_memory():
+    class Texts:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    r = random.Random(3)
+    texts = ["".join(r.choices("abcdefgh \n", k=2000)) for _ in range(1500)]
+    batch = pa.record_batch([pa.array(range(1500), pa.int64()), pa.array(texts)], ["_id", "_text"])
+    run = anchors.anchor_blobs(Texts(), 4, bwt_dedup.WINDOWS, bwt_dedup._sequences)
+    tracemalloc.start()
+    blobs = list(run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = sum(len(blob) for b in blobs for blob in b.column("_key").to_pylist()) // 8
+    assert found >= 1500 * (2000 - 400) / 64
+    assert peak < 48 << 20
+
+
+def test_contexts_are_compared_in_as_many_tasks_as_slots(frame):
+    def passage(k):
+        return " ".join(f"p{k}x{n}" for n in range(90))
+
+    def compare(table):
+        from pyspark import TaskContext
+
+        return pa.table({"_doc": [TaskContext.get().partitionId()], "_from": [0], "_to": [1]})
+
+    rows = [(2 * k + side, f"{side}" * (k + 7) + passage(k) + f"{side}" * 70) for k in range(40) for side in (0, 1)]
+    tasks = anchors.repeated_windows(
+        frame(rows), "doc_id", "text", bwt_dedup.WINDOWS, lambda size, doc, least: np.zeros(len(size), bool),
+        bwt_dedup._sequences, bwt_dedup._symbols, compare, None, group_contexts=4,
+    )
+    assert tasks.count() >= 20
+
+
 @pytest.mark.parametrize("shards", [1, 2, 3, 5])
 def test_merged_transforms_find_repeats(shards):
     r = np.random.default_rng(shards)
